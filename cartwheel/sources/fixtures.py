@@ -77,7 +77,9 @@ def customer_sequence(o: DataFrame) -> DataFrame:
     )
     within_day = Window.partitionBy("user_id", "day").orderBy("order_id")
     ranked = o.withColumn("rank_in_day", F.row_number().over(within_day))
-    joined = ranked.join(per_day, ["user_id", "day"], "inner")
+    # Left join: every order finds its (customer, day) row; a query that does
+    # not use the sequence columns lets Catalyst drop the join altogether.
+    joined = ranked.join(per_day, ["user_id", "day"], "left")
     return joined.select(
         "order_id", "user_id", *extra,
         (F.col("before") + F.col("rank_in_day")).cast("bigint").alias("order_number"),

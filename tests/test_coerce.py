@@ -1,0 +1,53 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cartwheel.functions.coerce import to_double, to_long, to_text
+
+INTEGER_CELLS = [
+    ("1", 1), ("1.0", 1), ("1e3", 1000), (" 7 ", 7),
+    ("9007199254740993", 9007199254740993),
+    ("1.5", None), ("abc", None), ("", None), ("NaN", None), ("Infinity", None), (None, None),
+    ("-3", -3), ("99999999999999999999", None),
+]
+
+
+@pytest.mark.parametrize("cell,expected", INTEGER_CELLS)
+def test_text_to_long(spark, cell, expected):
+    df = spark.createDataFrame([(cell,)], "v string")
+    got = df.select(to_long(F.col("v"), T.StringType()).alias("x")).first().x
+    assert got == expected
+
+
+def test_typed_to_long(spark):
+    df = spark.createDataFrame([(1.0, 2.5, True, 7), (float("nan"), float("inf"), False, None)],
+                               "d double, f double, b boolean, i int")
+    rows = df.select(*[to_long(F.col(c), df.schema[c].dataType).alias(c) for c in df.columns]).collect()
+    assert tuple(rows[0]) == (1, None, 1, 7)
+    assert tuple(rows[1]) == (None, None, 0, None)
+
+
+def test_variant_to_long_booleans_and_strings(spark):
+    df = spark.createDataFrame([('{"a":true}',), ('{"a":"true"}',), ('{"a":"3"}',), ('{"a":1.0}',),
+                                ('{"a":1.5}',), ('{"a":null}',), ('{}',)], "j string")
+    v = F.try_variant_get(F.parse_json("j"), "$.a", "variant")
+    got = [r.x for r in df.select(to_long(v, T.VariantType()).alias("x")).collect()]
+    assert got == [1, None, 3, 1, None, None, None]
+
+
+def test_to_double_nan_becomes_null(spark):
+    df = spark.createDataFrame([("1.5",), ("NaN",), ("x",), (None,), ("7",)], "v string")
+    got = [r.x for r in df.select(to_double(F.col("v"), T.StringType()).alias("x")).collect()]
+    assert got == [1.5, None, None, None, 7.0]
+    df2 = spark.createDataFrame([(float("nan"),), (2.0,)], "d double")
+    got2 = [r.x for r in df2.select(to_double(F.col("d"), T.DoubleType()).alias("x")).collect()]
+    assert got2[0] is None and got2[1] == 2.0 and not any(isinstance(x, float) and math.isnan(x) for x in got2)
+
+
+def test_to_text(spark):
+    df = spark.createDataFrame([(None, None), ("a", 5)], "s string, i int")
+    rows = df.select(to_text(F.col("s"), T.StringType()).alias("s"),
+                     to_text(F.col("i"), T.IntegerType()).alias("i")).collect()
+    assert [tuple(r) for r in rows] == [("", ""), ("a", "5")]
