@@ -95,24 +95,21 @@ def products_json(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         part.select("p_partkey", "p_name", "p_type", "p_brand"),
         F.col("l_partkey") == F.col("p_partkey"), "inner")
     reordered = _code_map(F.col("l_returnflag"), REORDERED_BY_RETURNFLAG)
+    # Field order is the list order: structs compare field by field and NULL
+    # sorts first, so the native sort_array orders by (l_linenumber,
+    # l_partkey, reordered with NULL as lowest) with no lambda comparator.
+    # JSON object key order carries no meaning for the consumer.
     item = F.struct(
+        F.col("l_linenumber").alias("add_to_cart_order"),
         F.col("l_partkey").alias("product_id"),
+        reordered.alias("reordered"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("aisle"),
         F.col("p_brand").alias("department"),
-        F.col("l_linenumber").alias("add_to_cart_order"),
-        reordered.alias("reordered"),
-    )
-    keyed = F.struct(
-        F.col("l_linenumber").alias("k1"), F.col("l_partkey").alias("k2"),
-        F.coalesce(reordered, F.lit(-1)).alias("k3"), item.alias("item"),
     )
     per_order = lines.groupBy(F.col("l_orderkey").alias("order_id")).agg(
-        F.array_sort(F.collect_list(keyed)).alias("items"))
-    return per_order.select(
-        "order_id",
-        F.to_json(F.transform("items", lambda x: x["item"])).alias("products"),
-    )
+        F.sort_array(F.collect_list(item)).alias("items"))
+    return per_order.select("order_id", F.to_json("items").alias("products"))
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
