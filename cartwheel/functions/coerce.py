@@ -25,10 +25,20 @@ def _whole_double_to_long(d: Column) -> Column:
     return F.when((d % F.lit(1.0)) == F.lit(0.0), d.try_cast("bigint"))
 
 
-def _text_to_long(s: Column) -> Column:
+def _numeric_text_to_long(s: Column) -> Column:
     return F.coalesce(s.try_cast("bigint"), _whole_double_to_long(s.try_cast("double")))
 
 
+def _text_to_long(s: Column) -> Column:
+    # Landed text keeps JSON booleans as 'true' / 'false'; they are numbers
+    # to the source (Python bools), so they map to 1 / 0.
+    return (
+        F.when(s == F.lit("true"), F.lit(1).cast("bigint"))
+        .when(s == F.lit("false"), F.lit(0).cast("bigint"))
+        .otherwise(_numeric_text_to_long(s))
+    )
+
+
 def to_long(c: Column, dtype: T.DataType | None = None) -> Column:
     """Coerce ``c`` to BIGINT; anything not an exact integer becomes NULL."""
     if isinstance(dtype, _INTEGRAL):
@@ -56,7 +66,7 @@ def variant_to_long(v: Column) -> Column:
     text = F.try_variant_get(v, "$", "string")
     return (
         F.when(kind == F.lit("BOOLEAN"), F.try_variant_get(v, "$", "boolean").cast("bigint"))
-        .otherwise(_text_to_long(text))
+        .otherwise(_numeric_text_to_long(text))
     )
 
 

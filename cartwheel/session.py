@@ -54,13 +54,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     file system). Only when it is unset — tests, local runs — a scratch
     folder is created and registered.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     path = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
-    return path
+    return spark.sparkContext.getCheckpointDir() or path

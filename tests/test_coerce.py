@@ -10,7 +10,7 @@ INTEGER_CELLS = [
     ("1", 1), ("1.0", 1), ("1e3", 1000), (" 7 ", 7),
     ("9007199254740993", 9007199254740993),
     ("1.5", None), ("abc", None), ("", None), ("NaN", None), ("Infinity", None), (None, None),
-    ("-3", -3), ("99999999999999999999", None),
+    ("-3", -3), ("99999999999999999999", None), ("true", 1), ("false", 0), ("True", None),
 ]
 
 
