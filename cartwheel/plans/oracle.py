@@ -189,6 +189,8 @@ _BODIES = {
                 FROM fact_orders) AS invalid_order_hour""",
     "fact_orders": "SELECT * FROM fact_orders",
     "fact_order_products": "SELECT * FROM fact_order_products",
+    "landed_fact_orders": "SELECT * FROM fact_orders",
+    "landed_fact_order_products": "SELECT * FROM fact_order_products",
 }
 
 ORACLE_SQL: dict[str, str] = {name: FACTS + body for name, body in _BODIES.items()}

@@ -54,6 +54,20 @@ def fact_order_products_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.fact_order_products(spark, sf_dir).drop("loaded_at")
 
 
+def landed_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fact_orders built from the tables by way of JSON payloads and landing."""
+    from cartwheel.operators.facts import build_fact_orders
+    raw = fixtures.landed_raw_orders(spark, sf_dir)
+    return build_fact_orders(raw, fixtures.FIXTURE_LOADED_AT).drop("loaded_at")
+
+
+def landed_fact_order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fact_order_products built by way of JSON payloads and landing."""
+    from cartwheel.operators.facts import build_fact_order_products
+    raw = fixtures.landed_raw_orders(spark, sf_dir)
+    return build_fact_order_products(raw, fixtures.FIXTURE_LOADED_AT).drop("loaded_at")
+
+
 QUERIES: dict[str, QueryFn] = {
     # dashboard
     "total_orders": _orders(Q.total_orders),
@@ -84,4 +98,7 @@ QUERIES: dict[str, QueryFn] = {
     # the ingest output itself
     "fact_orders": fact_orders_rows,
     "fact_order_products": fact_order_products_rows,
+    # the same facts by way of payload envelopes and landing (text columns)
+    "landed_fact_orders": landed_fact_orders,
+    "landed_fact_order_products": landed_fact_order_products,
 }

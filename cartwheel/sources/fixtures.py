@@ -141,3 +141,32 @@ def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_fact_order_products(raw_orders(spark, sf_dir), FIXTURE_LOADED_AT)
+
+
+def payload_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw orders as API payloads: one JSON document per order,
+    ``{"status": "ok", "data": [order]}``, with ``products`` a nested list.
+
+    source_file, text — the shape ``landing.read_payloads`` produces from
+    payload files, so the envelope and landing steps run on table data.
+    """
+    raw = raw_orders(spark, sf_dir)
+    record = F.struct(
+        *[F.col(c) for c in raw.columns if c != "products"],
+        F.try_parse_json(F.col("products")).alias("products"),
+    )
+    doc = F.struct(F.lit("ok").alias("status"), F.array(record).alias("data"))
+    return raw.select(
+        F.concat(F.lit("order-"), F.col("order_id").cast("string"), F.lit(".json")).alias("source_file"),
+        F.to_json(doc).alias("text"),
+    )
+
+
+def landed_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload documents pushed through envelope normalisation and landing
+    projection: raw orders with every column as landed text."""
+    from cartwheel.sources.landing import envelope_records, record_columns, records_to_rows
+    docs = payload_documents(spark, sf_dir)
+    payloads = docs.select("source_file", "text", F.try_parse_json("text").alias("payload"))
+    records = envelope_records(payloads)
+    return records_to_rows(records, record_columns(records))

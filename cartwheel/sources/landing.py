@@ -44,28 +44,42 @@ def read_payloads(spark: SparkSession, path: str, glob: str = "*.json") -> DataF
     return text.select(SOURCE_FILE, "text", F.try_parse_json("text").alias("payload"))
 
 
-def _first_list_key(payload: Column, text: Column) -> Column:
-    """Name of the first key, in document order, whose value is a JSON list."""
-    keys = F.json_object_keys(text)
-    as_map = F.try_variant_get(payload, "$", "map<string,variant>")
-    listed = F.filter(
-        keys,
-        lambda k: F.try_variant_get(F.element_at(as_map, k), "$", "array<variant>").isNotNull(),
-    )
-    return F.get(listed, 0)
+def _as_list(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "array<variant>")
+
+
+def _as_map(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "map<string,variant>")
+
+
+def _is_nested(v: Column) -> Column:
+    """True for a JSON list or object. Looks at the top level only (unlike
+    ``schema_of_variant``, which walks every nested value)."""
+    return _as_list(v).isNotNull() | _as_map(v).isNotNull()
+
+
+def _first_list_key(as_map: Column, text: Column) -> Column:
+    """Name of the first key, in document order, whose value is a JSON list.
+
+    VARIANT objects keep their keys sorted, so document order comes from
+    re-reading the key names of the text — only when more than one key
+    holds a list and the order actually matters.
+    """
+    def holds_list(k):
+        return _as_list(F.element_at(as_map, k)).isNotNull()
+    listed = F.filter(F.map_keys(as_map), holds_list)
+    in_document_order = F.filter(F.json_object_keys(text), holds_list)
+    return F.when(F.size(listed) <= 1, F.get(listed, 0)).otherwise(F.get(in_document_order, 0))
 
 
 def envelope_records(payloads: DataFrame) -> DataFrame:
     """source_file, row_index, record (VARIANT): one row per record."""
     payload, text = F.col("payload"), F.col("text")
-    kind = F.schema_of_variant(payload)
-    as_list = F.try_variant_get(payload, "$", "array<variant>")
-    as_map = F.try_variant_get(payload, "$", "map<string,variant>")
-    first_key = _first_list_key(payload, text)
+    as_list, as_map = _as_list(payload), _as_map(payload)
     records = (
-        F.when(kind.startswith("ARRAY"), as_list)
-        .when(kind.startswith("OBJECT"),
-              F.coalesce(F.try_variant_get(F.element_at(as_map, first_key), "$", "array<variant>"),
+        F.when(as_list.isNotNull(), as_list)
+        .when(as_map.isNotNull(),
+              F.coalesce(_as_list(F.element_at(as_map, _first_list_key(as_map, text))),
                          F.array(payload)))
         .otherwise(F.array(payload))
     )
@@ -75,32 +89,41 @@ def envelope_records(payloads: DataFrame) -> DataFrame:
 def record_columns(records: DataFrame) -> list[tuple[str, bool]]:
     """[(key, nested)] over all records: nested when any value is a list/object.
 
-    Non-object records contribute the single column ``"0"``.
+    Non-object records contribute the single column ``"0"``. The result is
+    the landing schema: one row per distinct field name.
     """
-    fields = records.select(
-        F.explode_outer(F.try_variant_get("record", "$", "map<string,variant>")).alias("key", "value"),
-        F.schema_of_variant("record").alias("kind"),
-    )
-    fields = fields.select(
-        F.when(F.col("kind").startswith("OBJECT"), F.col("key"))
-        .otherwise(F.lit(SCALAR_RECORD_COLUMN)).alias("key"),
-        F.when(F.col("kind").startswith("OBJECT"), F.schema_of_variant("value"))
-        .otherwise(F.col("kind")).alias("value_kind"),
+    record = F.col("record")
+    as_map = _as_map(record)
+    entries = records.select(
+        F.explode_outer(as_map).alias("key", "value"),
+        as_map.isNull().alias("scalar"), record)
+    fields = entries.select(
+        F.when(F.col("scalar"), F.lit(SCALAR_RECORD_COLUMN)).otherwise(F.col("key")).alias("key"),
+        _is_nested(F.when(F.col("scalar"), record).otherwise(F.col("value"))).alias("nested"),
     ).where(F.col("key").isNotNull())
-    summary = fields.groupBy("key").agg(
-        F.max(F.col("value_kind").startswith("ARRAY") | F.col("value_kind").startswith("OBJECT"))
-        .alias("nested"))
+    summary = fields.groupBy("key").agg(F.max("nested").alias("nested"))
     return sorted((r.key, bool(r.nested)) for r in summary.collect())
 
 
+def _struct_type(columns: list[tuple[str, bool]]) -> str:
+    fields = ", ".join("`{}`: variant".format(k.replace("`", "``")) for k, _ in columns)
+    return f"struct<{fields}>"
+
+
 def records_to_rows(records: DataFrame, columns: list[tuple[str, bool]]) -> DataFrame:
-    """Project each record to the discovered columns (text / JSON text)."""
-    is_object = F.schema_of_variant("record").startswith("OBJECT")
-    as_map = F.try_variant_get("record", "$", "map<string,variant>")
+    """Project each record to the discovered columns (text / JSON text).
+
+    One ``struct<…>`` cast per record pulls every field at once; it is NULL
+    for a record that is not an object.
+    """
+    named = [(k, n) for k, n in columns if k != SCALAR_RECORD_COLUMN]
     out = [F.col(SOURCE_FILE), F.col(ROW_INDEX).cast("bigint").alias(ROW_INDEX)]
+    fields = F.try_variant_get(F.col("record"), "$", _struct_type(named)) if named else None
     for key, nested in columns:
-        value = (F.when(is_object, F.element_at(as_map, F.lit(key))) if key != SCALAR_RECORD_COLUMN
-                 else F.when(~is_object, F.col("record")))
+        if key == SCALAR_RECORD_COLUMN:
+            value = F.when(_as_map(F.col("record")).isNull(), F.col("record"))
+        else:
+            value = fields.getField(key)
         if nested:
             cell = F.when(F.is_variant_null(value), F.lit("")).otherwise(
                 F.coalesce(F.to_json(value), F.lit("")))
