@@ -124,3 +124,18 @@ def test_describe_and_preview(spark, env):
     desc = {r.col_name: r.data_type for r in warehouse.describe(spark, env["wh"], "fact_orders").collect()}
     assert desc["order_id"] == "bigint" and desc["loaded_at"] == "timestamp"
     assert [r.order_id for r in warehouse.preview(spark, env["wh"], "fact_orders").collect()] == list(range(1, 11))
+
+
+def test_daily_load_end_to_end(spark, env):
+    from cartwheel.daily import run_daily_load
+    src = payload_dir({"a.json": {"status": "ok", "data": [
+        order(1, products=[{"product_id": 1, "add_to_cart_order": 1, "reordered": True}]),
+        order(2, dow=6, hour=23)]}})
+    out = run_daily_load(spark, src, env["landing"], env["wh"], env["ckpt"])
+    assert out["rows_landed"] == 2 and out["orders_loaded"] == 2 and out["products_loaded"] == 1
+    assert out["gate"]["orders_count"] == 2
+    fp = warehouse.read_table(spark, env["wh"], "fact_order_products").collect()
+    assert [r.reordered for r in fp] == [1]     # JSON true survives landing as 1
+    bad = payload_dir({"b.json": [order(3, dow=9)]})
+    with pytest.raises(LoadValidationError, match="order_dow"):
+        run_daily_load(spark, bad, env["landing"], env["wh"], env["ckpt"])
