@@ -26,9 +26,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from cartwheel.schemas import ROW_INDEX, SOURCE_FILE
+from cartwheel.schemas import ORDER_COLUMNS, PRODUCTS_COLUMN, ROW_INDEX, SOURCE_FILE
 
 SCALAR_RECORD_COLUMN = "0"
+# The declared landing schema for order payloads: (column, holds nested JSON).
+CONTRACT_COLUMNS = [(c, False) for c in ORDER_COLUMNS] + [(PRODUCTS_COLUMN, True)]
 
 
 class PayloadError(ValueError):
@@ -134,18 +136,22 @@ def records_to_rows(records: DataFrame, columns: list[tuple[str, bool]]) -> Data
 
 
 def land_payloads(spark: SparkSession, payload_dir: str, landing_dir: str,
-                  glob: str = "*.json") -> int:
+                  glob: str = "*.json",
+                  columns: list[tuple[str, bool]] | None = None) -> int:
     """Read every payload file, normalise it and append the rows to ``landing_dir``.
 
-    Returns the number of rows landed. An unparseable payload fails the whole
-    call before anything is written.
+    ``columns`` declares the landing schema (e.g. ``CONTRACT_COLUMNS``); when
+    omitted it is inferred from the records, like the source does: a column
+    for every key any record has. Returns the number of rows landed. An
+    unparseable payload fails the whole call before anything is written.
     """
     payloads = read_payloads(spark, payload_dir, glob)
     bad = payloads.where(F.col("payload").isNull()).select(SOURCE_FILE).limit(5).collect()
     if bad:
         raise PayloadError(f"payload is not valid JSON: {[r[SOURCE_FILE] for r in bad]}")
     records = envelope_records(payloads)
-    columns = record_columns(records)
+    if columns is None:
+        columns = record_columns(records)
     rows = records_to_rows(records, columns)
     landed = Observation("landed")
     rows.observe(landed, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(landing_dir)

@@ -73,3 +73,13 @@ def test_unparseable_payload_fails_before_writing(spark):
     with pytest.raises(PayloadError):
         land_payloads(spark, src, landing)
     assert not os.path.exists(landing)
+
+
+def test_declared_columns_skip_inference(spark):
+    from cartwheel.sources.landing import CONTRACT_COLUMNS
+    doc = json.dumps([{"order_id": 1, "products": [{"product_id": 2}], "extra": "ignored"}])
+    landing = tempfile.mkdtemp(prefix="cartwheel-landing-")
+    assert land_payloads(spark, write_payloads({"a.json": doc}), landing, columns=CONTRACT_COLUMNS) == 1
+    (row,) = spark.read.parquet(landing).collect()
+    assert "extra" not in row.asDict() and row.user_id is None
+    assert json.loads(row.products) == [{"product_id": 2}]
