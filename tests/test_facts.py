@@ -93,3 +93,13 @@ def test_largest_basket_counts_duplicate_orders(spark):
     got = [tuple(r) for r in Q.largest_basket_orders(fo, fp).collect()]
     # Order 1 appears twice in fact_orders; one non-null product id each join → 2.
     assert got == [(1, 5, 1, "Monday", "9:00", 2), (2, 6, 1, "Tuesday", "10:00", 0)]
+
+
+def test_day_hour_matrix_fills_empty_cells(spark):
+    rows = [("1", "1", "1", "0", "7", None, "prior", ""), ("2", "1", "2", "0", "7", None, "prior", ""),
+            ("3", "1", "3", "6", "23", None, "prior", ""), ("4", "1", "4", "9", "1", None, "prior", "")]
+    got = {r.order_dow: r for r in Q.day_hour_matrix(build_fact_orders(raw_frame(spark, rows))).collect()}
+    assert sorted(got) == [0, 6, 9]
+    assert got[0].hour_7 == 2 and got[0].hour_8 == 0 and got[6].hour_23 == 1
+    assert got[9].day_name == "Unknown" and got[9].hour_1 == 1
+    assert sum(got[0][f"hour_{h}"] for h in range(24)) == 2

@@ -139,3 +139,15 @@ def test_daily_load_end_to_end(spark, env):
     bad = payload_dir({"b.json": [order(3, dow=9)]})
     with pytest.raises(LoadValidationError, match="order_dow"):
         run_daily_load(spark, bad, env["landing"], env["wh"], env["ckpt"])
+
+
+def test_archive_lags_one_batch_and_never_reprocesses(spark, env):
+    def archived():
+        return sum(f.endswith(".parquet") for _, _, fs in os.walk(env["archive"]) for f in fs)
+    land_payloads(spark, payload_dir({"a.json": [order(1)]}), env["landing"])
+    ingest(spark, env["landing"], env["wh"], env["ckpt"], archive_dir=env["archive"])
+    assert archived() == 0                      # moved when the next batch commits
+    land_payloads(spark, payload_dir({"b.json": [order(2)]}), env["landing"])
+    stats = ingest(spark, env["landing"], env["wh"], env["ckpt"], archive_dir=env["archive"])
+    assert archived() == 1
+    assert stats["orders_loaded"] == 1 and stats["total_orders_in_db"] == 2
