@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartwheel.operators.facts import build_fact_order_products, build_fact_orders
 from cartwheel.plans import dashboard as Q
 from cartwheel.plans import quality as D
 from cartwheel.sources import fixtures
@@ -19,28 +20,52 @@ from cartwheel.sources import fixtures
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
-def _orders(fn) -> QueryFn:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(fixtures.fact_orders(spark, sf_dir))
-    run.__name__ = fn.__name__
-    return run
+# Which fact tables each query reads: "o" orders, "p" products, "op" both.
+FACT_QUERIES: dict[str, tuple[str, Callable[..., DataFrame]]] = {
+    "total_orders": ("o", Q.total_orders),
+    "total_product_line_items": ("p", Q.total_product_line_items),
+    "product_reorder_rate": ("p", Q.product_reorder_rate),
+    "average_basket_size": ("p", Q.average_basket_size),
+    "orders_by_day_of_week": ("o", Q.orders_by_day_of_week),
+    "orders_by_hour_of_day": ("o", Q.orders_by_hour_of_day),
+    "top_ordering_time_windows": ("o", Q.top_ordering_time_windows),
+    "reorder_interval_distribution": ("o", Q.reorder_interval_distribution),
+    "product_reorder_status": ("p", Q.product_reorder_status),
+    "basket_size_category": ("p", Q.basket_size_category),
+    "largest_basket_orders": ("op", Q.largest_basket_orders),
+    "top_purchased_products": ("p", Q.top_purchased_products),
+    "products_by_department": ("p", Q.products_by_department),
+    "product_reorder_opportunity": ("p", Q.product_reorder_opportunity),
+    "day_hour_matrix": ("o", Q.day_hour_matrix),
+    "dq_order_duplicates": ("o", D.dq_order_duplicates),
+    "dq_order_nulls": ("o", D.dq_order_nulls),
+    "dq_order_ranges": ("o", D.dq_order_ranges),
+    "dq_eval_set_distribution": ("o", D.dq_eval_set_distribution),
+    "dq_product_rows": ("p", D.dq_product_rows),
+    "dq_average_basket": ("p", D.dq_average_basket),
+    "dq_orphan_products": ("op", D.dq_orphan_products),
+    "dq_product_line_consistency": ("p", D.dq_product_line_consistency),
+    "validate_load": ("op", D.load_metrics),
+}
 
 
-def _products(fn) -> QueryFn:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(fixtures.fact_order_products(spark, sf_dir))
-    run.__name__ = fn.__name__
-    return run
+def run_on_facts(name: str, fo: DataFrame | None, fp: DataFrame | None) -> DataFrame:
+    """Run a named dashboard / quality query on given fact DataFrames
+    (e.g. the warehouse tables)."""
+    needs, fn = FACT_QUERIES[name]
+    args = {"o": (fo,), "p": (fp,), "op": (fo, fp)}[needs]
+    return fn(*args)
+
 
+def _from_tables(name: str) -> QueryFn:
+    needs, _ = FACT_QUERIES[name]
 
-def _both(fn) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = fixtures.raw_orders(spark, sf_dir)
-        from cartwheel.operators.facts import build_fact_order_products, build_fact_orders
-        fo = build_fact_orders(raw, fixtures.FIXTURE_LOADED_AT)
-        fp = build_fact_order_products(raw, fixtures.FIXTURE_LOADED_AT)
-        return fn(fo, fp)
-    run.__name__ = fn.__name__
+        fo = build_fact_orders(raw, fixtures.FIXTURE_LOADED_AT) if "o" in needs else None
+        fp = build_fact_order_products(raw, fixtures.FIXTURE_LOADED_AT) if "p" in needs else None
+        return run_on_facts(name, fo, fp)
+    run.__name__ = name
     return run
 
 
@@ -56,45 +81,18 @@ def fact_order_products_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fact_orders built from the tables by way of JSON payloads and landing."""
-    from cartwheel.operators.facts import build_fact_orders
     raw = fixtures.landed_raw_orders(spark, sf_dir)
     return build_fact_orders(raw, fixtures.FIXTURE_LOADED_AT).drop("loaded_at")
 
 
 def landed_fact_order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fact_order_products built by way of JSON payloads and landing."""
-    from cartwheel.operators.facts import build_fact_order_products
     raw = fixtures.landed_raw_orders(spark, sf_dir)
     return build_fact_order_products(raw, fixtures.FIXTURE_LOADED_AT).drop("loaded_at")
 
 
 QUERIES: dict[str, QueryFn] = {
-    # dashboard
-    "total_orders": _orders(Q.total_orders),
-    "total_product_line_items": _products(Q.total_product_line_items),
-    "product_reorder_rate": _products(Q.product_reorder_rate),
-    "average_basket_size": _products(Q.average_basket_size),
-    "orders_by_day_of_week": _orders(Q.orders_by_day_of_week),
-    "orders_by_hour_of_day": _orders(Q.orders_by_hour_of_day),
-    "top_ordering_time_windows": _orders(Q.top_ordering_time_windows),
-    "reorder_interval_distribution": _orders(Q.reorder_interval_distribution),
-    "product_reorder_status": _products(Q.product_reorder_status),
-    "basket_size_category": _products(Q.basket_size_category),
-    "largest_basket_orders": _both(Q.largest_basket_orders),
-    "top_purchased_products": _products(Q.top_purchased_products),
-    "products_by_department": _products(Q.products_by_department),
-    "product_reorder_opportunity": _products(Q.product_reorder_opportunity),
-    "day_hour_matrix": _orders(Q.day_hour_matrix),
-    # data quality
-    "dq_order_duplicates": _orders(D.dq_order_duplicates),
-    "dq_order_nulls": _orders(D.dq_order_nulls),
-    "dq_order_ranges": _orders(D.dq_order_ranges),
-    "dq_eval_set_distribution": _orders(D.dq_eval_set_distribution),
-    "dq_product_rows": _products(D.dq_product_rows),
-    "dq_average_basket": _products(D.dq_average_basket),
-    "dq_orphan_products": _both(D.dq_orphan_products),
-    "dq_product_line_consistency": _products(D.dq_product_line_consistency),
-    "validate_load": _both(D.load_metrics),
+    **{name: _from_tables(name) for name in FACT_QUERIES},
     # the ingest output itself
     "fact_orders": fact_orders_rows,
     "fact_order_products": fact_order_products_rows,

@@ -91,3 +91,9 @@ def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
     (out.repartition("order_id").sortWithinPartitions(*sort_key)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BATCH_COLUMN).parquet(table_path(root, name)))
+
+
+def register_views(spark: SparkSession, root: str) -> None:
+    """Expose both fact tables as temporary views for ad-hoc ``spark.sql``."""
+    for name in TABLES:
+        read_table(spark, root, name).createOrReplaceTempView(name)

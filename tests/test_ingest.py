@@ -151,3 +151,20 @@ def test_archive_lags_one_batch_and_never_reprocesses(spark, env):
     stats = ingest(spark, env["landing"], env["wh"], env["ckpt"], archive_dir=env["archive"])
     assert archived() == 1
     assert stats["orders_loaded"] == 1 and stats["total_orders_in_db"] == 2
+
+
+def test_queries_on_warehouse_tables_and_views(spark, env):
+    from cartwheel.plans.registry import run_on_facts
+    land_payloads(spark, payload_dir({"a.json": [
+        order(1, products=[{"product_id": 1, "product_name": "apple", "add_to_cart_order": 1}]),
+        order(2, products=[{"product_id": 1, "product_name": "apple", "add_to_cart_order": 1},
+                           {"product_id": 2, "product_name": "pear", "add_to_cart_order": 2}])]}),
+        env["landing"])
+    ingest(spark, env["landing"], env["wh"], env["ckpt"])
+    fo = warehouse.read_table(spark, env["wh"], "fact_orders")
+    fp = warehouse.read_table(spark, env["wh"], "fact_order_products")
+    top = [tuple(r) for r in run_on_facts("top_purchased_products", fo, fp).collect()]
+    assert top == [("apple", 2), ("pear", 1)]
+    assert run_on_facts("average_basket_size", fo, fp).first()[0] == 1.5
+    warehouse.register_views(spark, env["wh"])
+    assert spark.sql("SELECT count(*) FROM fact_order_products").first()[0] == 3
