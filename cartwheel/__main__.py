@@ -3,7 +3,7 @@
   list                               the named queries
   query NAME --warehouse ROOT        run a query on the warehouse fact tables
   query NAME --tables SF_DIR         run it on the test tables (built on the fly)
-  daily --payloads P --landing L --warehouse W [--archive A]
+  daily --payloads P --landing L --warehouse W [--archive A] [--lines]
                                      land, load and validate
 """
 
@@ -30,6 +30,7 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--warehouse", required=True)
     d.add_argument("--archive")
     d.add_argument("--checkpoint")
+    d.add_argument("--lines", action="store_true", help="payloads are JSON Lines")
     args = parser.parse_args(argv)
 
     from cartwheel.plans.registry import FACT_QUERIES, QUERIES
@@ -56,7 +57,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     from cartwheel.daily import run_daily_load
     stats = run_daily_load(spark, args.payloads, args.landing, args.warehouse,
-                           args.checkpoint, args.archive)
+                           args.checkpoint, args.archive, lines=args.lines)
     print(json.dumps(stats, default=str))
     return 0
 

@@ -9,8 +9,8 @@ Semantics preserved from the contract:
   rows without ``order_id`` dropped, then the first row kept per
   ``(order_id, product_id, add_to_cart_order)`` within one source file.
 
-"First" means: smallest source row (``row_index`` when the frame was read
-from files), then the position inside the ``products`` list. A frame without
+"First" means: smallest source row (``row_block``, ``row_index`` when the
+frame was read from files), then the position inside the ``products`` list. A frame without
 row positions falls back to its remaining columns as the tie-break, which
 is deterministic under any partitioning.
 """
@@ -31,6 +31,7 @@ from cartwheel.schemas import (
     ORDER_COLUMNS,
     PRODUCT_KEY,
     PRODUCTS_COLUMN,
+    ROW_BLOCK,
     ROW_INDEX,
     SOURCE_FILE,
     nullable,
@@ -57,7 +58,7 @@ def loaded_at_literal(loaded_at: datetime | None) -> Column:
 def _provenance(df: DataFrame) -> tuple[list[str], list[str]]:
     """(per-file key columns, row-rank columns) available on this frame."""
     keys = [SOURCE_FILE] if SOURCE_FILE in df.columns else []
-    rank = [ROW_INDEX] if ROW_INDEX in df.columns else []
+    rank = [c for c in (ROW_BLOCK, ROW_INDEX) if c in df.columns]
     return keys, rank
 
 

@@ -30,7 +30,8 @@ PRODUCT_TEXT_FIELDS = ["product_name", "aisle", "department"]
 
 # Optional provenance columns a raw frame may carry (set by the file readers).
 SOURCE_FILE = "source_file"
-ROW_INDEX = "row_index"
+ROW_BLOCK = "row_block"    # start offset of the file split a row came from (line files)
+ROW_INDEX = "row_index"    # position of the row (within its file, or its split)
 
 FACT_ORDERS = T.StructType([
     T.StructField("order_id", T.LongType(), False),

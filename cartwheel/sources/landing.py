@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from cartwheel.schemas import ORDER_COLUMNS, PRODUCTS_COLUMN, ROW_INDEX, SOURCE_FILE
+from cartwheel.schemas import ORDER_COLUMNS, PRODUCTS_COLUMN, ROW_BLOCK, ROW_INDEX, SOURCE_FILE
 
 SCALAR_RECORD_COLUMN = "0"
 # The declared landing schema for order payloads: (column, holds nested JSON).
@@ -46,6 +46,27 @@ def read_payloads(spark: SparkSession, path: str, glob: str = "*.json") -> DataF
     return text.select(SOURCE_FILE, "text", F.try_parse_json("text").alias("payload"))
 
 
+def read_record_lines(spark: SparkSession, path: str, glob: str = "*.jsonl") -> DataFrame:
+    """JSON Lines files: one record per non-blank line, read in parallel splits.
+
+    source_file, row_block, row_index, text, record (VARIANT, NULL if the line
+    is not JSON). Large files split across tasks; the file order of lines is
+    kept as (start of the split, increasing id within the split), which is
+    what "keep the first row" needs, without a window over the whole file.
+    """
+    lines = spark.read.option("pathGlobFilter", glob).text(path)
+    return (
+        lines.where(F.trim(F.col("value")) != "")
+        .select(
+            F.col("_metadata.file_path").alias(SOURCE_FILE),
+            F.col("_metadata.file_block_start").alias(ROW_BLOCK),
+            F.monotonically_increasing_id().alias(ROW_INDEX),
+            F.col("value").alias("text"),
+            F.try_parse_json("value").alias("record"),
+        )
+    )
+
+
 def _as_list(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
@@ -85,7 +106,8 @@ def envelope_records(payloads: DataFrame) -> DataFrame:
                          F.array(payload)))
         .otherwise(F.array(payload))
     )
-    return payloads.select(SOURCE_FILE, F.posexplode(records).alias(ROW_INDEX, "record"))
+    return payloads.select(SOURCE_FILE, F.lit(0).cast("bigint").alias(ROW_BLOCK),
+                           F.posexplode(records).alias(ROW_INDEX, "record"))
 
 
 def record_columns(records: DataFrame) -> list[tuple[str, bool]]:
@@ -119,7 +141,8 @@ def records_to_rows(records: DataFrame, columns: list[tuple[str, bool]]) -> Data
     for a record that is not an object.
     """
     named = [(k, n) for k, n in columns if k != SCALAR_RECORD_COLUMN]
-    out = [F.col(SOURCE_FILE), F.col(ROW_INDEX).cast("bigint").alias(ROW_INDEX)]
+    out = [F.col(SOURCE_FILE), F.col(ROW_BLOCK).cast("bigint").alias(ROW_BLOCK),
+           F.col(ROW_INDEX).cast("bigint").alias(ROW_INDEX)]
     fields = F.try_variant_get(F.col("record"), "$", _struct_type(named)) if named else None
     for key, nested in columns:
         if key == SCALAR_RECORD_COLUMN:
@@ -136,20 +159,32 @@ def records_to_rows(records: DataFrame, columns: list[tuple[str, bool]]) -> Data
 
 
 def land_payloads(spark: SparkSession, payload_dir: str, landing_dir: str,
-                  glob: str = "*.json",
-                  columns: list[tuple[str, bool]] | None = None) -> int:
+                  glob: str | None = None,
+                  columns: list[tuple[str, bool]] | None = None,
+                  lines: bool = False) -> int:
     """Read every payload file, normalise it and append the rows to ``landing_dir``.
 
+    ``lines=False``: each file is one JSON document in any envelope (the
+    source's API response). ``lines=True``: JSON Lines, one record per line,
+    which Spark splits across tasks — the form to use for large landings.
     ``columns`` declares the landing schema (e.g. ``CONTRACT_COLUMNS``); when
     omitted it is inferred from the records, like the source does: a column
     for every key any record has. Returns the number of rows landed. An
-    unparseable payload fails the whole call before anything is written.
+    unparseable payload (or line) fails the whole call before anything is
+    written.
     """
-    payloads = read_payloads(spark, payload_dir, glob)
-    bad = payloads.where(F.col("payload").isNull()).select(SOURCE_FILE).limit(5).collect()
+    if lines:
+        records = read_record_lines(spark, payload_dir, glob or "*.jsonl")
+        bad_rows = records.where(F.col("record").isNull())
+    else:
+        payloads = read_payloads(spark, payload_dir, glob or "*.json")
+        bad_rows = payloads.where(F.col("payload").isNull())
+        records = None
+    bad = bad_rows.select(SOURCE_FILE).limit(5).collect()
     if bad:
         raise PayloadError(f"payload is not valid JSON: {[r[SOURCE_FILE] for r in bad]}")
-    records = envelope_records(payloads)
+    if records is None:
+        records = envelope_records(payloads)
     if columns is None:
         columns = record_columns(records)
     rows = records_to_rows(records, columns)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from cartwheel.operators.facts import build_fact_order_products, build_fact_orders
-from cartwheel.schemas import ORDER_COLUMNS, PRODUCTS_COLUMN, ROW_INDEX, SOURCE_FILE
+from cartwheel.schemas import ORDER_COLUMNS, PRODUCTS_COLUMN, ROW_BLOCK, ROW_INDEX, SOURCE_FILE
 from cartwheel.session import checkpoint_dir
 from cartwheel.sources import warehouse
 
@@ -34,6 +34,7 @@ from cartwheel.sources import warehouse
 LANDING_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType(), True) for c in (*ORDER_COLUMNS, PRODUCTS_COLUMN)]
     + [T.StructField(SOURCE_FILE, T.StringType(), True),
+       T.StructField(ROW_BLOCK, T.LongType(), True),
        T.StructField(ROW_INDEX, T.LongType(), True)]
 )
 
@@ -60,6 +61,7 @@ def with_provenance(df: DataFrame) -> DataFrame:
     return df.select(
         *ORDER_COLUMNS, PRODUCTS_COLUMN,
         F.coalesce(F.col(SOURCE_FILE), F.col("_metadata.file_path")).alias(SOURCE_FILE),
+        F.coalesce(F.col(ROW_BLOCK), F.lit(0).cast("bigint")).alias(ROW_BLOCK),
         F.coalesce(F.col(ROW_INDEX), F.col("_metadata.row_index")).alias(ROW_INDEX),
         F.col("_metadata.file_path").alias("_landing_file"),
     )

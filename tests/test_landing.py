@@ -83,3 +83,34 @@ def test_declared_columns_skip_inference(spark):
     (row,) = spark.read.parquet(landing).collect()
     assert "extra" not in row.asDict() and row.user_id is None
     assert json.loads(row.products) == [{"product_id": 2}]
+
+
+def test_json_lines_split_across_tasks_keep_file_order(spark):
+    from cartwheel.operators.facts import build_fact_orders
+    from cartwheel.sources.landing import CONTRACT_COLUMNS, read_record_lines
+    d = tempfile.mkdtemp(prefix="cartwheel-lines-")
+    pad = "x" * 400
+    with open(os.path.join(d, "orders.jsonl"), "w") as f:
+        for i in range(6000):
+            # order ids repeat every 1000 lines: the first pass (user 0) must win
+            f.write(json.dumps({"order_id": i % 1000, "user_id": i // 1000, "eval_set": pad}) + "\n")
+            if i % 7 == 0:
+                f.write("\n")                          # blank lines are skipped
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024))
+    try:
+        assert read_record_lines(spark, d).rdd.getNumPartitions() > 3
+        landing = tempfile.mkdtemp(prefix="cartwheel-landing-")
+        assert land_payloads(spark, d, landing, columns=CONTRACT_COLUMNS, lines=True) == 6000
+        raw = spark.read.parquet(landing)
+        fo = build_fact_orders(raw)
+        got = fo.groupBy("user_id").count().collect()
+        assert [(r.user_id, r["count"]) for r in got] == [(0, 1000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_json_lines_reject_bad_line(spark):
+    d = write_payloads({"a.jsonl": '{"order_id":1}\n{"order_id":\n'})
+    with pytest.raises(PayloadError):
+        land_payloads(spark, d, tempfile.mkdtemp(prefix="cartwheel-landing-"), lines=True)
