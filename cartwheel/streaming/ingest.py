@@ -56,17 +56,35 @@ class IngestStats:
 
 
 def with_provenance(df: DataFrame) -> DataFrame:
-    """Fill source_file / row_index from the file metadata when the landing
-    writer did not record them (plain raw Parquet dropped in the folder)."""
+    """Fill source_file / row_block / row_index from the file metadata when the
+    landing writer did not record them (plain raw Parquet dropped in the folder)."""
+    def have(c):
+        return F.col(c) if c in df.columns else F.lit(None)
+    payload = [c for c in (*ORDER_COLUMNS, PRODUCTS_COLUMN) if c in df.columns]
     return df.select(
-        *ORDER_COLUMNS, PRODUCTS_COLUMN,
-        F.coalesce(F.col(SOURCE_FILE), F.col("_metadata.file_path")).alias(SOURCE_FILE),
-        F.coalesce(F.col(ROW_BLOCK), F.lit(0).cast("bigint")).alias(ROW_BLOCK),
-        F.coalesce(F.col(ROW_INDEX), F.col("_metadata.row_index")).alias(ROW_INDEX),
+        *payload,
+        F.coalesce(have(SOURCE_FILE), F.col("_metadata.file_path")).alias(SOURCE_FILE),
+        F.coalesce(have(ROW_BLOCK), F.lit(0)).cast("bigint").alias(ROW_BLOCK),
+        F.coalesce(have(ROW_INDEX), F.col("_metadata.row_index")).cast("bigint").alias(ROW_INDEX),
         F.col("_metadata.file_path").alias("_landing_file"),
     )
 
 
+def landing_schema(spark: SparkSession, landing_dir: str) -> T.StructType:
+    """The schema to stream the landing folder with.
+
+    A deployment's landing files all come from one producer: ``land_payloads``
+    writes text columns, the source's own writer writes typed ones. Take the
+    schema of the files already there (one footer, no data read); an empty or
+    missing folder gets the text contract.
+    """
+    try:
+        found = spark.read.option("pathGlobFilter", "*.parquet").parquet(landing_dir).schema
+    except Exception:  # no files yet
+        return LANDING_SCHEMA
+    return found if found.fields else LANDING_SCHEMA
+
+
 def load_batch(raw: DataFrame, warehouse_root: str, batch_id: int,
                loaded_at: datetime | None = None) -> IngestStats:
     """Build both facts from one batch of raw rows and (re)write them."""
@@ -92,15 +110,21 @@ def load_batch(raw: DataFrame, warehouse_root: str, batch_id: int,
 
 def ingest(spark: SparkSession, landing_dir: str, warehouse_root: str,
            checkpoint: str | None = None, archive_dir: str | None = None,
-           max_files_per_batch: int | None = None) -> dict:
-    """Process every landing file not processed before; return load statistics."""
+           max_files_per_batch: int | None = None,
+           schema: T.StructType | None = None) -> dict:
+    """Process every landing file not processed before; return load statistics.
+
+    ``schema`` fixes the landing files' schema; by default it is taken from
+    the files present (``landing_schema``). It must stay the same for the
+    life of the checkpoint.
+    """
     warehouse.require_tables(spark, warehouse_root)
     if checkpoint is None:
         # One stream checkpoint per (landing folder, warehouse) pair, kept in
         # the cluster's shared checkpoint folder.
         key = hashlib.sha1(f"{landing_dir}|{warehouse_root}".encode()).hexdigest()[:16]
         checkpoint = os.path.join(checkpoint_dir(spark), f"cartwheel-ingest-{key}")
-    reader = (spark.readStream.schema(LANDING_SCHEMA)
+    reader = (spark.readStream.schema(schema or landing_schema(spark, landing_dir))
               .option("pathGlobFilter", "*.parquet"))
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
