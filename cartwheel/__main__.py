@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--archive")
     d.add_argument("--checkpoint")
     d.add_argument("--lines", action="store_true", help="payloads are JSON Lines")
+    d.add_argument("--buckets", type=int, help="bucket a new warehouse by order_id")
     args = parser.parse_args(argv)
 
     from cartwheel.plans.registry import FACT_QUERIES, QUERIES
@@ -57,7 +58,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     from cartwheel.daily import run_daily_load
     stats = run_daily_load(spark, args.payloads, args.landing, args.warehouse,
-                           args.checkpoint, args.archive, lines=args.lines)
+                           args.checkpoint, args.archive, lines=args.lines,
+                           buckets=args.buckets)
     print(json.dumps(stats, default=str))
     return 0
 

@@ -19,15 +19,18 @@ from cartwheel.streaming.ingest import ingest
 
 def run_daily_load(spark: SparkSession, payload_dir: str | None, landing_dir: str,
                    warehouse_root: str, checkpoint: str | None = None,
-                   archive_dir: str | None = None, lines: bool = False) -> dict:
+                   archive_dir: str | None = None, lines: bool = False,
+                   buckets: int | None = None) -> dict:
     """Land new payloads (if a payload folder is given), load, validate.
 
     ``lines=True`` reads the payload folder as JSON Lines (one record per line).
+    ``buckets`` creates a new warehouse bucketed by order_id (see
+    ``warehouse.create_tables``); an existing warehouse keeps its layout.
 
     Returns the load statistics merged with the gate's counts; raises
     ``LoadValidationError`` when the gate fails.
     """
-    warehouse.create_tables(spark, warehouse_root)
+    warehouse.create_tables(spark, warehouse_root, buckets=buckets)
     landed = land_payloads(spark, payload_dir, landing_dir, lines=lines) if payload_dir else 0
     stats = ingest(spark, landing_dir, warehouse_root, checkpoint, archive_dir)
     report = validate_load(

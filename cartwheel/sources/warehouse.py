@@ -9,6 +9,7 @@ Parquet row groups tight min/max ranges on ``order_id`` for pruning.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,6 +26,10 @@ TABLES = {
 }
 
 
+LAYOUT_MARKER = "_cartwheel_layout"
+_layouts: dict[str, int | None] = {}
+
+
 class MissingTableError(RuntimeError):
     """A fact table the load needs does not exist yet."""
 
@@ -38,18 +43,71 @@ def table_schema(name: str) -> T.StructType:
     return T.StructType(nullable(schema).fields + [T.StructField(BATCH_COLUMN, T.LongType(), True)])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _fs(spark, path)
     return fs.exists(hpath)
 
 
-def create_tables(spark: SparkSession, root: str) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` for both facts: an empty, typed table."""
+def buckets_of(spark: SparkSession, root: str) -> int | None:
+    """The bucket count the warehouse was created with (None: not bucketed)."""
+    if root not in _layouts:
+        marker = os.path.join(root, LAYOUT_MARKER)
+        _layouts[root] = (spark.read.json(marker).first()["buckets"]
+                          if _exists(spark, marker) else None)
+    return _layouts[root]
+
+
+def catalog_name(root: str, name: str) -> str:
+    """Catalog name of a bucketed table: one database per warehouse root."""
+    return f"cartwheel_{hashlib.sha1(root.encode()).hexdigest()[:12]}.{name}"
+
+
+def _register(spark: SparkSession, root: str, name: str, buckets: int) -> str:
+    """CREATE TABLE IF NOT EXISTS over the table folder, bucketed by order_id.
+
+    The catalog entry is session metadata; the layout lives in the files, so
+    every new session re-registers the same folders and recovers partitions.
+    """
+    qualified = catalog_name(root, name)
+    if not spark.catalog.tableExists(qualified):
+        schema, sort_key = TABLES[name]
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified.split('.')[0]}")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {qualified} ({cols}, `{BATCH_COLUMN}` bigint) "
+            f"USING parquet PARTITIONED BY ({BATCH_COLUMN}) "
+            f"CLUSTERED BY (order_id) SORTED BY ({', '.join(sort_key)}) INTO {buckets} BUCKETS "
+            f"LOCATION '{table_path(root, name)}'")
+        spark.catalog.recoverPartitions(qualified)
+    return qualified
+
+
+def create_tables(spark: SparkSession, root: str, buckets: int | None = None) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` for both facts: an empty, typed table.
+
+    With ``buckets`` the tables are bucketed by ``order_id``: joins and
+    groupings by order between the two facts then need no shuffle at all.
+    The layout is fixed at creation; an existing warehouse keeps its own.
+    """
+    marker = os.path.join(root, LAYOUT_MARKER)
+    if buckets and not _exists(spark, marker) and not _exists(
+            spark, table_path(root, FACT_ORDERS_TABLE)):
+        spark.createDataFrame([(int(buckets),)], "buckets int").coalesce(1).write.json(marker)
+    _layouts.pop(root, None)
+    n = buckets_of(spark, root)
     for name in TABLES:
         path = table_path(root, name)
-        if not _exists(spark, path):
+        if n:
+            fs, hpath = _fs(spark, path)
+            fs.mkdirs(hpath)
+            _register(spark, root, name, n)
+        elif not _exists(spark, path):
             (spark.createDataFrame([], table_schema(name)).write
              .partitionBy(BATCH_COLUMN).mode("ignore").parquet(path))
 
@@ -62,6 +120,12 @@ def require_tables(spark: SparkSession, root: str) -> None:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    n = buckets_of(spark, root)
+    if n:
+        qualified = _register(spark, root, name, n)
+        spark.catalog.recoverPartitions(qualified)   # batches other sessions wrote
+        spark.catalog.refreshTable(qualified)
+        return spark.table(qualified)
     return spark.read.schema(table_schema(name)).parquet(table_path(root, name))
 
 
@@ -88,11 +152,24 @@ def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
     """
     _, sort_key = TABLES[name]
     out = df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
+    n = buckets_of(spark_of(df), root)
+    if n:
+        # One task per bucket: each batch partition gets exactly one file per
+        # bucket, sorted by the table's sort key.
+        qualified = _register(spark_of(df), root, name, n)
+        (out.select(*TABLES[name][0].fieldNames(), BATCH_COLUMN)
+         .repartition(n, "order_id").sortWithinPartitions(*sort_key)
+         .write.option("partitionOverwriteMode", "dynamic").insertInto(qualified, overwrite=True))
+        return
     (out.sortWithinPartitions(*sort_key)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BATCH_COLUMN).parquet(table_path(root, name)))
 
 
+def spark_of(df: DataFrame) -> SparkSession:
+    return df.sparkSession
+
+
 def register_views(spark: SparkSession, root: str) -> None:
     """Expose both fact tables as temporary views for ad-hoc ``spark.sql``."""
     for name in TABLES:

@@ -12,21 +12,21 @@ from cartwheel.streaming.ingest import ingest
 from conftest import SF_SMALL
 
 
-@pytest.fixture(scope="module")
-def loaded(spark):
+@pytest.fixture(scope="module", params=[None, 4], ids=["plain", "bucketed"])
+def loaded(spark, request):
     root = tempfile.mkdtemp(prefix="cartwheel-e2e-")
     landing, wh = os.path.join(root, "landing"), os.path.join(root, "wh")
     # Raw orders land as three Parquet files (the source's typed columns).
     fixtures.raw_orders(spark, SF_SMALL).repartition(3, "order_id").write.parquet(landing)
-    warehouse.create_tables(spark, wh)
+    warehouse.create_tables(spark, wh, buckets=request.param)
     stats = ingest(spark, landing, wh, os.path.join(root, "ckpt"), max_files_per_batch=2)
     fo = warehouse.read_table(spark, wh, warehouse.FACT_ORDERS_TABLE)
     fp = warehouse.read_table(spark, wh, warehouse.FACT_ORDER_PRODUCTS_TABLE)
-    return stats, fo, fp
+    return stats, fo, fp, request.param
 
 
 def test_load_statistics(loaded):
-    stats, _, _ = loaded
+    stats = loaded[0]
     assert stats["files_processed"] == 3
     assert stats["orders_loaded"] == stats["total_orders_in_db"] == 1500
     assert stats["products_loaded"] == stats["total_products_in_db"] == 5996
@@ -34,7 +34,24 @@ def test_load_statistics(loaded):
 
 @pytest.mark.parametrize("name", sorted(FACT_QUERIES))
 def test_warehouse_query_matches_in_memory_plan(spark, loaded, name):
-    _, fo, fp = loaded
+    _, fo, fp, _ = loaded
     got = sorted(tuple(r) for r in run_on_facts(name, fo, fp).collect())
     want = sorted(tuple(r) for r in QUERIES[name](spark, SF_SMALL).collect())
     assert got == want
+
+
+def test_bucketed_tables_join_without_shuffle(spark, loaded):
+    _, fo, fp, buckets = loaded
+    if not buckets:
+        pytest.skip("plain layout")
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = run_on_facts("largest_basket_orders", fo, fp)._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+    below_topk = plan[plan.index("TakeOrderedAndProject"):]
+    assert "SortMergeJoin" in below_topk
+    assert "Exchange" not in below_topk      # both sides read bucket by bucket
+    assert "Bucketed: true" in plan
