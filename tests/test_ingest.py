@@ -168,3 +168,17 @@ def test_queries_on_warehouse_tables_and_views(spark, env):
     assert run_on_facts("average_basket_size", fo, fp).first()[0] == 1.5
     warehouse.register_views(spark, env["wh"])
     assert spark.sql("SELECT count(*) FROM fact_order_products").first()[0] == 3
+
+
+def test_tmp_and_other_files_are_ignored(spark, env):
+    land_payloads(spark, payload_dir({"a.json": [order(1)]}), env["landing"])
+    real = [f for f in os.listdir(env["landing"]) if f.endswith(".parquet")][0]
+    with open(os.path.join(env["landing"], real), "rb") as f:
+        data = f.read()
+    # An in-flight upload and a stray file: neither ends in .parquet.
+    with open(os.path.join(env["landing"], "orders_20260101_000000.parquet.tmp"), "wb") as f:
+        f.write(data)
+    with open(os.path.join(env["landing"], "notes.txt"), "w") as f:
+        f.write("not data")
+    stats = ingest(spark, env["landing"], env["wh"], env["ckpt"])
+    assert stats["files_processed"] == 1 and stats["orders_loaded"] == 1
