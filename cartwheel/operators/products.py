@@ -20,13 +20,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from cartwheel.functions.coerce import to_text, variant_to_long
-from cartwheel.schemas import PRODUCT_INT_FIELDS, PRODUCT_TEXT_FIELDS, PRODUCTS_COLUMN
+from cartwheel.schemas import (
+    PRODUCT_FIELDS,
+    PRODUCT_INT_FIELDS,
+    PRODUCT_TEXT_FIELDS,
+    PRODUCTS_COLUMN,
+)
 
 _ELEMENT = "struct<{}>".format(", ".join(
-    [f"{f}: variant" for f in ("product_id",)]
-    + [f"{f}: string" for f in PRODUCT_TEXT_FIELDS]
-    + [f"{f}: variant" for f in ("add_to_cart_order", "reordered")]
-))
+    f"{f}: {'variant' if f in PRODUCT_INT_FIELDS else 'string'}" for f in PRODUCT_FIELDS))
 PRODUCTS_TYPE = f"array<{_ELEMENT}>"
 
 
