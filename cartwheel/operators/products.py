@@ -56,3 +56,12 @@ def explode_products(raw: DataFrame, carry: list[Column]) -> DataFrame:
     fields += [to_text(F.col(f"item.{f}"), T.StringType()).alias(f) for f in PRODUCT_TEXT_FIELDS]
     carried = [c for c in items.columns if c not in ("item",)]
     return items.select(*carried, *fields)
+
+
+def unparsed_cell(cell: Column, dtype: T.DataType | None = None) -> Column:
+    """True for a non-blank ``products`` cell that is not a JSON list
+    (invalid JSON such as a ``NaN`` token, or a JSON object / scalar): such an
+    order contributes no products, so the load counts these cells."""
+    text = cell.cast("string")
+    blank = cell.isNull() | (F.trim(text) == F.lit(""))
+    return ~blank & parse_products(cell, dtype).isNull()

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from cartwheel.operators.facts import build_fact_order_products, build_fact_orders
+from cartwheel.operators.products import unparsed_cell
 from cartwheel.schemas import ORDER_COLUMNS, PRODUCTS_COLUMN, ROW_BLOCK, ROW_INDEX, SOURCE_FILE
 from cartwheel.session import checkpoint_dir
 from cartwheel.sources import warehouse
@@ -44,6 +45,7 @@ class IngestStats:
     files_processed: int = 0
     orders_loaded: int = 0
     products_loaded: int = 0
+    unparsed_product_cells: int = 0
     total_orders_in_db: int | None = None
     total_products_in_db: int | None = None
 
@@ -97,7 +99,13 @@ def load_batch(raw: DataFrame, warehouse_root: str, batch_id: int,
         return stats
     raw = raw.drop("_landing_file")
     orders_obs, products_obs = Observation("orders"), Observation("products")
+    cells_obs = Observation("cells")
     fo = build_fact_orders(raw, loaded_at)
+    if PRODUCTS_COLUMN in raw.columns:
+        # Counted on the same pass that flattens the cells.
+        dtype = raw.schema[PRODUCTS_COLUMN].dataType
+        raw = raw.observe(cells_obs, F.count_if(
+            unparsed_cell(F.col(PRODUCTS_COLUMN), dtype)).alias("n"))
     fp = build_fact_order_products(raw, loaded_at)
     warehouse.write_batch(fo.observe(orders_obs, F.count(F.lit(1)).alias("n")),
                           warehouse_root, warehouse.FACT_ORDERS_TABLE, batch_id)
@@ -105,6 +113,8 @@ def load_batch(raw: DataFrame, warehouse_root: str, batch_id: int,
                           warehouse_root, warehouse.FACT_ORDER_PRODUCTS_TABLE, batch_id)
     stats.orders_loaded = int(orders_obs.get.get("n", 0) or 0)
     stats.products_loaded = int(products_obs.get.get("n", 0) or 0)
+    if PRODUCTS_COLUMN in raw.columns:
+        stats.unparsed_product_cells = int(cells_obs.get.get("n", 0) or 0)
     return stats
 
 
@@ -139,6 +149,7 @@ def ingest(spark: SparkSession, landing_dir: str, warehouse_root: str,
         totals.files_processed += s.files_processed
         totals.orders_loaded += s.orders_loaded
         totals.products_loaded += s.products_loaded
+        totals.unparsed_product_cells += s.unparsed_product_cells
 
     query = (stream.writeStream.foreachBatch(per_batch)
              .option("checkpointLocation", checkpoint)

@@ -44,12 +44,13 @@ def test_two_files_then_nothing_new(spark, env):
     landed_files = [f for f in os.listdir(env["landing"]) if f.endswith(".parquet")]
     stats = ingest(spark, env["landing"], env["wh"], env["ckpt"])
     assert stats == {"files_processed": len(landed_files),
-                     "orders_loaded": 3, "products_loaded": 2,
+                     "orders_loaded": 3, "products_loaded": 2, "unparsed_product_cells": 0,
                      "total_orders_in_db": 3, "total_products_in_db": 2}
     fo = warehouse.read_table(spark, env["wh"], "fact_orders")
     assert {(r.order_id, r.user_id) for r in fo.collect()} == {(1, 1), (2, 1), (3, 1)}
     again = ingest(spark, env["landing"], env["wh"], env["ckpt"])
-    assert again == {"files_processed": 0, "orders_loaded": 0, "products_loaded": 0}
+    assert again == {"files_processed": 0, "orders_loaded": 0, "products_loaded": 0,
+                     "unparsed_product_cells": 0}
     report = validate_load(fo, warehouse.read_table(spark, env["wh"], "fact_order_products"))
     assert report.orders_count == 3
 
@@ -115,7 +116,8 @@ def test_missing_tables_fail_before_loading(spark):
 def test_empty_landing(spark, env):
     os.makedirs(env["landing"])
     assert ingest(spark, env["landing"], env["wh"], env["ckpt"]) == {
-        "files_processed": 0, "orders_loaded": 0, "products_loaded": 0}
+        "files_processed": 0, "orders_loaded": 0, "products_loaded": 0,
+        "unparsed_product_cells": 0}
 
 
 def test_describe_and_preview(spark, env):
@@ -182,3 +184,19 @@ def test_tmp_and_other_files_are_ignored(spark, env):
         f.write("not data")
     stats = ingest(spark, env["landing"], env["wh"], env["ckpt"])
     assert stats["files_processed"] == 1 and stats["orders_loaded"] == 1
+
+
+def test_unparseable_product_cells_are_counted(spark, env):
+    os.makedirs(env["landing"])
+    df = spark.createDataFrame(
+        [("1", "1", "1", "0", "7", None, "prior", '[{"product_id":1,"reordered":NaN}]'),
+         ("2", "1", "1", "0", "7", None, "prior", "not json"),
+         ("3", "1", "1", "0", "7", None, "prior", '{"product_id":3}'),
+         ("4", "1", "1", "0", "7", None, "prior", ""),
+         ("5", "1", "1", "0", "7", None, "prior", '[{"product_id":5}]')],
+        "order_id string, user_id string, order_number string, order_dow string, "
+        "order_hour_of_day string, days_since_prior_order string, eval_set string, products string")
+    df.coalesce(1).write.parquet(env["landing"], mode="append")
+    stats = ingest(spark, env["landing"], env["wh"], env["ckpt"])
+    assert stats["orders_loaded"] == 5 and stats["products_loaded"] == 1
+    assert stats["unparsed_product_cells"] == 3
