@@ -1,6 +1,6 @@
 """Plan-shape checks: the properties that matter at scale, pinned as tests.
 
-* no cartesian products or nested-loop joins anywhere;
+* no cartesian products, nested-loop joins or Python evaluation anywhere;
 * scans read only the columns a query needs;
 * keep-first de-duplication combines copies map-side (partial aggregate
   before the shuffle), so a hot key never lands whole in one task;
@@ -19,9 +19,12 @@ def plan_of(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
-def test_no_cartesian_or_nested_loop(spark, name):
+def test_no_cartesian_nested_loop_or_python(spark, name):
     plan = plan_of(entry_module.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    # Everything stays JVM-side: no Python UDF or pandas operator anywhere.
+    for python_node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
+        assert python_node not in plan
 
 
 def test_order_queries_never_read_line_items(spark):
