@@ -3,8 +3,9 @@
 Mirrors the reference's three steps without a scheduler: payload files are
 landed as Parquet, every unprocessed landing file is loaded into the fact
 tables (idempotent, checkpointed), then the load gate runs on the tables.
-A failure in any step raises; re-running the same call resumes safely
-(landing is per payload file, loading replays only uncommitted batches).
+A failure in any step raises; re-running the same call resumes safely:
+payload files already landed are skipped, and loading replays only
+uncommitted batches (each overwriting its own partition).
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ def run_daily_load(spark: SparkSession, payload_dir: str | None, landing_dir: st
     ``LoadValidationError`` when the gate fails.
     """
     warehouse.create_tables(spark, warehouse_root, buckets=buckets)
-    landed = land_payloads(spark, payload_dir, landing_dir, lines=lines) if payload_dir else 0
+    landed = (land_payloads(spark, payload_dir, landing_dir, lines=lines, archive_dir=archive_dir)
+              if payload_dir else 0)
     stats = ingest(spark, landing_dir, warehouse_root, checkpoint, archive_dir)
     report = validate_load(
         warehouse.read_table(spark, warehouse_root, warehouse.FACT_ORDERS_TABLE),

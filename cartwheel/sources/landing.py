@@ -158,35 +158,60 @@ def records_to_rows(records: DataFrame, columns: list[tuple[str, bool]]) -> Data
     return records.select(*out)
 
 
+def landed_sources(spark: SparkSession, *folders: str | None) -> DataFrame | None:
+    """Distinct ``source_file`` values already landed in ``folders`` (the
+    landing folder and, recursively, its archive); None when there are none."""
+    found = None
+    for folder in folders:
+        if not folder:
+            continue
+        try:
+            df = (spark.read.option("recursiveFileLookup", True)
+                  .option("pathGlobFilter", "*.parquet").parquet(folder))
+        except Exception:   # folder missing or empty
+            continue
+        if SOURCE_FILE not in df.columns:
+            continue
+        names = df.select(SOURCE_FILE).distinct()
+        found = names if found is None else found.unionByName(names).distinct()
+    return found
+
+
 def land_payloads(spark: SparkSession, payload_dir: str, landing_dir: str,
                   glob: str | None = None,
                   columns: list[tuple[str, bool]] | None = None,
-                  lines: bool = False) -> int:
-    """Read every payload file, normalise it and append the rows to ``landing_dir``.
+                  lines: bool = False, archive_dir: str | None = None) -> int:
+    """Read every payload file not landed before, normalise it and append the
+    rows to ``landing_dir``.
 
     ``lines=False``: each file is one JSON document in any envelope (the
     source's API response). ``lines=True``: JSON Lines, one record per line,
     which Spark splits across tasks — the form to use for large landings.
     ``columns`` declares the landing schema (e.g. ``CONTRACT_COLUMNS``); when
     omitted it is inferred from the records, like the source does: a column
-    for every key any record has. Returns the number of rows landed. An
-    unparseable payload (or line) fails the whole call before anything is
-    written.
+    for every key any record has. Payload files whose name is already
+    recorded in the landing folder (or its archive) are skipped, so a re-run
+    lands nothing twice. Returns the number of rows landed. An unparseable
+    payload (or line) fails the whole call before anything is written.
     """
     if lines:
-        records = read_record_lines(spark, payload_dir, glob or "*.jsonl")
-        bad_rows = records.where(F.col("record").isNull())
+        source = read_record_lines(spark, payload_dir, glob or "*.jsonl")
+        bad_rows = source.where(F.col("record").isNull())
     else:
-        payloads = read_payloads(spark, payload_dir, glob or "*.json")
-        bad_rows = payloads.where(F.col("payload").isNull())
-        records = None
+        source = read_payloads(spark, payload_dir, glob or "*.json")
+        bad_rows = source.where(F.col("payload").isNull())
+    done = landed_sources(spark, landing_dir, archive_dir)
+    if done is not None:
+        source = source.join(done, SOURCE_FILE, "left_anti")
+        bad_rows = bad_rows.join(done, SOURCE_FILE, "left_anti")
     bad = bad_rows.select(SOURCE_FILE).limit(5).collect()
     if bad:
         raise PayloadError(f"payload is not valid JSON: {[r[SOURCE_FILE] for r in bad]}")
-    if records is None:
-        records = envelope_records(payloads)
+    records = source if lines else envelope_records(source)
     if columns is None:
         columns = record_columns(records)
+    if not columns:
+        return 0
     rows = records_to_rows(records, columns)
     landed = Observation("landed")
     rows.observe(landed, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(landing_dir)

@@ -200,3 +200,17 @@ def test_unparseable_product_cells_are_counted(spark, env):
     stats = ingest(spark, env["landing"], env["wh"], env["ckpt"])
     assert stats["orders_loaded"] == 5 and stats["products_loaded"] == 1
     assert stats["unparsed_product_cells"] == 3
+
+
+def test_daily_load_rerun_lands_and_loads_nothing_twice(spark, env):
+    from cartwheel.daily import run_daily_load
+    src = payload_dir({"a.json": [order(1), order(2)], "b.json": [order(3)]})
+    first = run_daily_load(spark, src, env["landing"], env["wh"], env["ckpt"], env["archive"])
+    assert first["rows_landed"] == 3 and first["orders_loaded"] == 3
+    again = run_daily_load(spark, src, env["landing"], env["wh"], env["ckpt"], env["archive"])
+    assert again["rows_landed"] == 0 and again["orders_loaded"] == 0
+    assert again["gate"]["orders_count"] == 3       # the gate still passes
+    with open(os.path.join(src, "c.json"), "w") as f:
+        json.dump([order(4)], f)
+    third = run_daily_load(spark, src, env["landing"], env["wh"], env["ckpt"], env["archive"])
+    assert third["rows_landed"] == 1 and third["gate"]["orders_count"] == 4
