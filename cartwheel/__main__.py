@@ -3,7 +3,8 @@
   list                               the named queries
   query NAME --warehouse ROOT        run a query on the warehouse fact tables
   query NAME --tables SF_DIR         run it on the test tables (built on the fly)
-  daily --payloads P --landing L --warehouse W [--archive A] [--lines]
+  daily --payloads P --landing L --warehouse W [--archive A] [--lines] [--buckets N]
+  validate --warehouse W             run the load gate on the warehouse
                                      land, load and validate
 """
 
@@ -32,6 +33,8 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--checkpoint")
     d.add_argument("--lines", action="store_true", help="payloads are JSON Lines")
     d.add_argument("--buckets", type=int, help="bucket a new warehouse by order_id")
+    v = sub.add_parser("validate")
+    v.add_argument("--warehouse", required=True)
     args = parser.parse_args(argv)
 
     from cartwheel.plans.registry import FACT_QUERIES, QUERIES
@@ -56,6 +59,14 @@ def main(argv: list[str] | None = None) -> int:
                 warehouse.read_table(spark, args.warehouse, warehouse.FACT_ORDER_PRODUCTS_TABLE))
         df.show(args.rows, truncate=False)
         return 0
+    if args.cmd == "validate":
+        from cartwheel.plans.quality import validate_load
+        from cartwheel.sources import warehouse
+        report = validate_load(
+            warehouse.read_table(spark, args.warehouse, warehouse.FACT_ORDERS_TABLE),
+            warehouse.read_table(spark, args.warehouse, warehouse.FACT_ORDER_PRODUCTS_TABLE))
+        print(json.dumps(report.__dict__))
+        return 0
     from cartwheel.daily import run_daily_load
     stats = run_daily_load(spark, args.payloads, args.landing, args.warehouse,
                            args.checkpoint, args.archive, lines=args.lines,

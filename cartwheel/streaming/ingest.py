@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
 
 from cartwheel.operators.facts import build_fact_order_products, build_fact_orders
@@ -118,6 +119,24 @@ def load_batch(raw: DataFrame, warehouse_root: str, batch_id: int,
     return stats
 
 
+def _landing_stream(spark: SparkSession, landing_dir: str, schema: T.StructType | None,
+                    archive_dir: str | None, max_files_per_batch: int | None) -> DataFrame:
+    reader = (spark.readStream.schema(schema or landing_schema(spark, landing_dir))
+              .option("pathGlobFilter", "*.parquet"))
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return with_provenance(reader.parquet(landing_dir))
+
+
+def _default_checkpoint(spark: SparkSession, landing_dir: str, warehouse_root: str) -> str:
+    # One stream checkpoint per (landing folder, warehouse) pair, kept in the
+    # cluster's shared checkpoint folder.
+    key = hashlib.sha1(f"{landing_dir}|{warehouse_root}".encode()).hexdigest()[:16]
+    return os.path.join(checkpoint_dir(spark), f"cartwheel-ingest-{key}")
+
+
 def ingest(spark: SparkSession, landing_dir: str, warehouse_root: str,
            checkpoint: str | None = None, archive_dir: str | None = None,
            max_files_per_batch: int | None = None,
@@ -129,18 +148,8 @@ def ingest(spark: SparkSession, landing_dir: str, warehouse_root: str,
     life of the checkpoint.
     """
     warehouse.require_tables(spark, warehouse_root)
-    if checkpoint is None:
-        # One stream checkpoint per (landing folder, warehouse) pair, kept in
-        # the cluster's shared checkpoint folder.
-        key = hashlib.sha1(f"{landing_dir}|{warehouse_root}".encode()).hexdigest()[:16]
-        checkpoint = os.path.join(checkpoint_dir(spark), f"cartwheel-ingest-{key}")
-    reader = (spark.readStream.schema(schema or landing_schema(spark, landing_dir))
-              .option("pathGlobFilter", "*.parquet"))
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    stream = with_provenance(reader.parquet(landing_dir))
+    checkpoint = checkpoint or _default_checkpoint(spark, landing_dir, warehouse_root)
+    stream = _landing_stream(spark, landing_dir, schema, archive_dir, max_files_per_batch)
 
     totals = IngestStats()
 
@@ -161,3 +170,22 @@ def ingest(spark: SparkSession, landing_dir: str, warehouse_root: str,
         totals.total_products_in_db = warehouse.read_table(
             spark, warehouse_root, warehouse.FACT_ORDER_PRODUCTS_TABLE).count()
     return totals.as_dict()
+
+
+def start_ingest_stream(spark: SparkSession, landing_dir: str, warehouse_root: str,
+                        interval: str = "1 minute", checkpoint: str | None = None,
+                        archive_dir: str | None = None,
+                        max_files_per_batch: int | None = None,
+                        schema: T.StructType | None = None) -> StreamingQuery:
+    """Run the same load continuously: a micro-batch every ``interval`` for
+    files that arrived since. Returns the running query (``stop()`` it); its
+    ``recentProgress`` carries per-batch input counts. Shares the checkpoint
+    with ``ingest``, so the two modes can alternate on one landing folder.
+    """
+    warehouse.require_tables(spark, warehouse_root)
+    checkpoint = checkpoint or _default_checkpoint(spark, landing_dir, warehouse_root)
+    stream = _landing_stream(spark, landing_dir, schema, archive_dir, max_files_per_batch)
+    return (stream.writeStream
+            .foreachBatch(lambda df, batch_id: load_batch(df, warehouse_root, batch_id))
+            .option("checkpointLocation", checkpoint)
+            .trigger(processingTime=interval).start())

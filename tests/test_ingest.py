@@ -214,3 +214,18 @@ def test_daily_load_rerun_lands_and_loads_nothing_twice(spark, env):
         json.dump([order(4)], f)
     third = run_daily_load(spark, src, env["landing"], env["wh"], env["ckpt"], env["archive"])
     assert third["rows_landed"] == 1 and third["gate"]["orders_count"] == 4
+
+
+def test_continuous_stream_picks_up_new_files(spark, env):
+    from cartwheel.streaming import start_ingest_stream
+    land_payloads(spark, payload_dir({"a.json": [order(1)]}), env["landing"])
+    query = start_ingest_stream(spark, env["landing"], env["wh"], "1 second", env["ckpt"])
+    try:
+        query.processAllAvailable()
+        land_payloads(spark, payload_dir({"b.json": [order(2), order(3)]}), env["landing"])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert warehouse.read_table(spark, env["wh"], "fact_orders").count() == 3
+    # The batch-mode ingest continues from the same checkpoint: nothing new.
+    assert ingest(spark, env["landing"], env["wh"], env["ckpt"])["files_processed"] == 0
