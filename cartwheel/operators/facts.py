@@ -89,6 +89,23 @@ def build_fact_orders(raw: DataFrame, loaded_at: datetime | None = None) -> Data
     )
 
 
+NUMERIC_ORDER_COLUMNS = [c for c in ORDER_COLUMNS if c != "eval_set"]
+
+
+def coercion_failures(raw: DataFrame) -> Column:
+    """Aggregate: order values that were present (not NULL, not blank) but
+    did not coerce to a number — they load as NULL, and the load counts them."""
+    dtypes = {f.name: f.dataType for f in raw.schema.fields}
+    total = F.lit(0).cast("bigint")
+    for c in NUMERIC_ORDER_COLUMNS:
+        if c not in dtypes:
+            continue
+        present = F.col(c).isNotNull() & (F.trim(F.col(c).cast("string")) != F.lit(""))
+        coerced = (to_double if c == "days_since_prior_order" else to_long)(F.col(c), dtypes[c])
+        total = total + F.count_if(present & coerced.isNull())
+    return total
+
+
 def empty_fact_order_products(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], nullable(FACT_ORDER_PRODUCTS))
 

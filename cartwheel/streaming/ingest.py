@@ -25,7 +25,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
 
-from cartwheel.operators.facts import build_fact_order_products, build_fact_orders
+from cartwheel.operators.facts import (
+    build_fact_order_products,
+    build_fact_orders,
+    coercion_failures,
+)
 from cartwheel.operators.products import unparsed_cell
 from cartwheel.schemas import ORDER_COLUMNS, PRODUCTS_COLUMN, ROW_BLOCK, ROW_INDEX, SOURCE_FILE
 from cartwheel.session import checkpoint_dir
@@ -47,6 +51,7 @@ class IngestStats:
     orders_loaded: int = 0
     products_loaded: int = 0
     unparsed_product_cells: int = 0
+    coercion_failures: int = 0
     total_orders_in_db: int | None = None
     total_products_in_db: int | None = None
 
@@ -100,8 +105,9 @@ def load_batch(raw: DataFrame, warehouse_root: str, batch_id: int,
         return stats
     raw = raw.drop("_landing_file")
     orders_obs, products_obs = Observation("orders"), Observation("products")
-    cells_obs = Observation("cells")
-    fo = build_fact_orders(raw, loaded_at)
+    cells_obs, coerce_obs = Observation("cells"), Observation("coercion")
+    # Counted on the scan that builds the orders.
+    fo = build_fact_orders(raw.observe(coerce_obs, coercion_failures(raw).alias("n")), loaded_at)
     if PRODUCTS_COLUMN in raw.columns:
         # Counted on the same pass that flattens the cells.
         dtype = raw.schema[PRODUCTS_COLUMN].dataType
@@ -116,6 +122,7 @@ def load_batch(raw: DataFrame, warehouse_root: str, batch_id: int,
     stats.products_loaded = int(products_obs.get.get("n", 0) or 0)
     if PRODUCTS_COLUMN in raw.columns:
         stats.unparsed_product_cells = int(cells_obs.get.get("n", 0) or 0)
+    stats.coercion_failures = int(coerce_obs.get.get("n", 0) or 0)
     return stats
 
 
@@ -159,6 +166,7 @@ def ingest(spark: SparkSession, landing_dir: str, warehouse_root: str,
         totals.orders_loaded += s.orders_loaded
         totals.products_loaded += s.products_loaded
         totals.unparsed_product_cells += s.unparsed_product_cells
+        totals.coercion_failures += s.coercion_failures
 
     query = (stream.writeStream.foreachBatch(per_batch)
              .option("checkpointLocation", checkpoint)

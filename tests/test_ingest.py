@@ -44,13 +44,13 @@ def test_two_files_then_nothing_new(spark, env):
     landed_files = [f for f in os.listdir(env["landing"]) if f.endswith(".parquet")]
     stats = ingest(spark, env["landing"], env["wh"], env["ckpt"])
     assert stats == {"files_processed": len(landed_files),
-                     "orders_loaded": 3, "products_loaded": 2, "unparsed_product_cells": 0,
+                     "orders_loaded": 3, "products_loaded": 2, "unparsed_product_cells": 0, "coercion_failures": 0,
                      "total_orders_in_db": 3, "total_products_in_db": 2}
     fo = warehouse.read_table(spark, env["wh"], "fact_orders")
     assert {(r.order_id, r.user_id) for r in fo.collect()} == {(1, 1), (2, 1), (3, 1)}
     again = ingest(spark, env["landing"], env["wh"], env["ckpt"])
     assert again == {"files_processed": 0, "orders_loaded": 0, "products_loaded": 0,
-                     "unparsed_product_cells": 0}
+                     "unparsed_product_cells": 0, "coercion_failures": 0}
     report = validate_load(fo, warehouse.read_table(spark, env["wh"], "fact_order_products"))
     assert report.orders_count == 3
 
@@ -117,7 +117,7 @@ def test_empty_landing(spark, env):
     os.makedirs(env["landing"])
     assert ingest(spark, env["landing"], env["wh"], env["ckpt"]) == {
         "files_processed": 0, "orders_loaded": 0, "products_loaded": 0,
-        "unparsed_product_cells": 0}
+        "unparsed_product_cells": 0, "coercion_failures": 0}
 
 
 def test_describe_and_preview(spark, env):
@@ -200,6 +200,20 @@ def test_unparseable_product_cells_are_counted(spark, env):
     stats = ingest(spark, env["landing"], env["wh"], env["ckpt"])
     assert stats["orders_loaded"] == 5 and stats["products_loaded"] == 1
     assert stats["unparsed_product_cells"] == 3
+    assert stats["coercion_failures"] == 0
+
+
+def test_coercion_failures_are_counted(spark, env):
+    os.makedirs(env["landing"])
+    df = spark.createDataFrame(
+        [("1", "1", "x", "0", "7.5", "NaN", "prior", ""),      # 'x', '7.5' and 'NaN' fail
+         ("2", "1", "2", "", "7", None, "prior", ""),          # blank is missing, not a failure
+         ("3", "1", "1e3", "0", "7", "3", "prior", "")],
+        "order_id string, user_id string, order_number string, order_dow string, "
+        "order_hour_of_day string, days_since_prior_order string, eval_set string, products string")
+    df.coalesce(1).write.parquet(env["landing"], mode="append")
+    stats = ingest(spark, env["landing"], env["wh"], env["ckpt"])
+    assert stats["orders_loaded"] == 3 and stats["coercion_failures"] == 3
 
 
 def test_daily_load_rerun_lands_and_loads_nothing_twice(spark, env):
