@@ -114,3 +114,61 @@ def test_facts_match_python_model(spark, rows):
         (tuple(r) for r in build_fact_order_products(raw).drop("loaded_at").collect()), key=repr)
     assert got_orders == want_orders
     assert got_products == want_products
+
+
+# ----------------------------------------------------------------- envelopes
+def model_records(doc):
+    if isinstance(doc, list):
+        return doc
+    if isinstance(doc, dict):
+        return next((v for v in doc.values() if isinstance(v, list)), [doc])
+    return [doc]
+
+
+def model_scalar_text(v):
+    if v is None:
+        return None
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    return str(v)
+
+
+record = st.fixed_dictionaries({}, optional={
+    "order_id": st.one_of(st.none(), st.integers(0, 99), st.text("ab1", max_size=3), st.booleans()),
+    "products": st.lists(st.fixed_dictionaries({"product_id": st.integers(0, 5)}), max_size=2),
+})
+document = st.one_of(
+    st.lists(record, max_size=4),
+    st.dictionaries(st.sampled_from(["status", "zdata", "adata", "meta", "b"]),
+                    st.one_of(st.lists(record, max_size=3), st.text("ok", max_size=2),
+                              st.integers(0, 3), record),
+                    max_size=4),
+    st.integers(0, 9),
+    record,
+)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(document, min_size=1, max_size=4))
+def test_envelopes_match_python_model(spark, docs):
+    from pyspark.sql import functions as F
+    from cartwheel.sources.landing import envelope_records, record_columns, records_to_rows
+    texts = [(f"p{i}.json", json.dumps(d)) for i, d in enumerate(docs)]
+    payloads = spark.createDataFrame(texts, "source_file string, text string").select(
+        "source_file", "text", F.try_parse_json("text").alias("payload"))
+    records = envelope_records(payloads)
+    columns = dict(record_columns(records))
+    rows = records_to_rows(records, list(columns.items())).collect()
+
+    want = []
+    for name, text in texts:
+        for i, rec in enumerate(model_records(json.loads(text))):
+            oid = rec.get("order_id") if isinstance(rec, dict) else None
+            want.append((name, i, model_scalar_text(oid)))
+    got = [(r.source_file, r.row_index, r["order_id"] if "order_id" in columns else None)
+           for r in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    if "products" in columns:
+        assert columns["products"] is True or all(
+            not (isinstance(r, dict) and isinstance(r.get("products"), list))
+            for _, t in texts for r in model_records(json.loads(t)))
