@@ -54,12 +54,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     file system). Only when it is unset — tests, local runs — a scratch
     folder is created and registered.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    try:
+        context = spark.sparkContext
+    except Exception:      # Spark Connect: no driver-side context
+        context = None
+    if context is not None:
+        configured = context.getConf().get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        current = context.getCheckpointDir()
+        if current:
+            return current
     path = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() or path
+    if context is not None:
+        context.setCheckpointDir(path)
+        return context.getCheckpointDir() or path
+    return path

@@ -44,14 +44,29 @@ def table_schema(name: str) -> T.StructType:
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+    """Hadoop file system of ``path`` (any scheme the cluster supports), or
+    None when the JVM is not reachable from Python (Spark Connect)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+    except Exception:
+        return None, None
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
     fs, hpath = _fs(spark, path)
-    return fs.exists(hpath)
+    if fs is None:
+        return os.path.exists(path)
+    return bool(fs.exists(hpath))
+
+
+def _mkdirs(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    if fs is None:
+        os.makedirs(path, exist_ok=True)
+    else:
+        fs.mkdirs(hpath)
 
 
 def buckets_of(spark: SparkSession, root: str) -> int | None:
@@ -104,8 +119,7 @@ def create_tables(spark: SparkSession, root: str, buckets: int | None = None) ->
     for name in TABLES:
         path = table_path(root, name)
         if n:
-            fs, hpath = _fs(spark, path)
-            fs.mkdirs(hpath)
+            _mkdirs(spark, path)
             _register(spark, root, name, n)
         elif not _exists(spark, path):
             (spark.createDataFrame([], table_schema(name)).write
