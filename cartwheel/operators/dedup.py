@@ -22,9 +22,20 @@ def keep_first(df: DataFrame, keys: Sequence[str], rank: Sequence[str],
                keep: Sequence[str]) -> DataFrame:
     """One row per ``keys`` (NULLs compare equal): the one smallest by ``rank``.
 
-    ``keep`` are the payload columns carried over from the chosen row. With an
-    empty ``rank`` the smallest payload wins, which is still deterministic.
+    ``keep`` are the payload columns carried over from the chosen row.
+
+    * One rank column (a row position, unique within a key): one
+      ``min_by(column, rank)`` per payload column. All of them pick the same
+      row, Catalyst drops the ones a query does not use (and whatever
+      computed them), and fixed-width columns aggregate in a hash map.
+    * Several rank columns, or none: ``min(struct(rank…, payload…))``; with no
+      rank the smallest payload wins, which is still deterministic.
     """
+    if not keep:
+        return df.select(*keys).distinct()
+    if len(rank) == 1:
+        order = F.col(rank[0])
+        return df.groupBy(*keys).agg(*[F.min_by(F.col(c), order).alias(c) for c in keep])
     ranked = [F.col(c).alias(f"_r{i}") for i, c in enumerate(rank)]
     packed = F.struct(*ranked, *[F.col(c) for c in keep])
     return (

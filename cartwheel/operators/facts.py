@@ -10,7 +10,8 @@ Semantics preserved from the contract:
   ``(order_id, product_id, add_to_cart_order)`` within one source file.
 
 "First" means: smallest source row (``row_block``, ``row_index`` when the
-frame was read from files), then the position inside the ``products`` list. A frame without
+frame was read from files; a row position must identify one row of its
+source file), then the position inside the ``products`` list. A frame without
 row positions falls back to its remaining columns as the tie-break, which
 is deterministic under any partitioning.
 """

@@ -40,6 +40,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cartwheel.operators.facts import build_fact_order_products, build_fact_orders
+from cartwheel.schemas import ROW_INDEX
 
 # --- Fixed values: the mapping from test-table codes to contract values. ---
 EVAL_SET_BY_STATUS = {"F": "prior", "O": "train", "P": "test"}
@@ -136,6 +137,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             "order_id", "user_id", "order_number", "order_dow", "order_hour_of_day",
             "days_since_prior_order", "eval_set",
             F.coalesce(F.col("products"), F.lit("")).alias("products"),
+            # The synthetic source lists its orders by key: that is the row
+            # position "keep first" ranks by.
+            F.col("order_id").alias(ROW_INDEX),
         )
     )
     return raw
@@ -158,7 +162,7 @@ def payload_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     raw = raw_orders(spark, sf_dir)
     record = F.struct(
-        *[F.col(c) for c in raw.columns if c != "products"],
+        *[F.col(c) for c in raw.columns if c not in ("products", ROW_INDEX)],
         F.try_parse_json(F.col("products")).alias("products"),
     )
     doc = F.struct(F.lit("ok").alias("status"), F.array(record).alias("data"))
