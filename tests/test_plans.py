@@ -53,3 +53,11 @@ def test_share_window_runs_after_aggregation(spark):
     window_at = plan.index("Window [sum(")
     # The first aggregate below the window is the final count per label.
     assert "HashAggregate" in plan[window_at:]
+
+
+def test_unused_payload_is_pruned_through_the_dedup(spark):
+    plan = plan_of(entry_module.queries()["orders_by_hour_of_day"](spark, SF_SMALL))
+    assert "Window" not in plan            # the customer sequence is never built
+    assert "o_orderdate" not in plan       # nor its input read
+    needs_sequence = plan_of(entry_module.queries()["reorder_interval_distribution"](spark, SF_SMALL))
+    assert "Window" in needs_sequence
