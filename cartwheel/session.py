@@ -17,8 +17,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# (Dynamic partition overwrite is set per write by the warehouse writer, not
+# on the session, so a caller's own overwrite writes keep their semantics.)
 
 
 def configure(spark: SparkSession) -> SparkSession:

@@ -170,10 +170,20 @@ def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
     if n:
         # One task per bucket: each batch partition gets exactly one file per
         # bucket, sorted by the table's sort key.
-        qualified = _register(spark_of(df), root, name, n)
-        (out.select(*TABLES[name][0].fieldNames(), BATCH_COLUMN)
-         .repartition(n, "order_id").sortWithinPartitions(*sort_key)
-         .write.option("partitionOverwriteMode", "dynamic").insertInto(qualified, overwrite=True))
+        spark = spark_of(df)
+        qualified = _register(spark, root, name, n)
+        columns = TABLES[name][0].fieldNames()
+        view = f"_cartwheel_batch_{name}_{batch_id}"
+        (df.select(*columns).repartition(n, "order_id").sortWithinPartitions(*sort_key)
+         .createOrReplaceTempView(view))
+        try:
+            # A static partition spec replaces exactly this batch's partition,
+            # whatever the session's partition-overwrite mode.
+            spark.sql(f"INSERT OVERWRITE TABLE {qualified} "
+                      f"PARTITION ({BATCH_COLUMN} = {int(batch_id)}) "
+                      f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {view}")
+        finally:
+            spark.catalog.dropTempView(view)
         return
     (out.sortWithinPartitions(*sort_key)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
