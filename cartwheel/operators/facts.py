@@ -28,7 +28,6 @@ from cartwheel.operators.products import explode_products
 from cartwheel.schemas import (
     FACT_ORDER_PRODUCTS,
     FACT_ORDER_PRODUCTS_COLUMNS,
-    FACT_ORDERS_COLUMNS,
     ORDER_COLUMNS,
     PRODUCT_KEY,
     PRODUCTS_COLUMN,

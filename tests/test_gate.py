@@ -2,7 +2,6 @@ import pytest
 
 from cartwheel.operators.facts import build_fact_order_products, build_fact_orders
 from cartwheel.plans.quality import LoadValidationError, validate_load
-from conftest import raw_frame
 
 
 def gate(spark, rows):

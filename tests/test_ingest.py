@@ -3,7 +3,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from cartwheel.plans.quality import LoadValidationError, validate_load
 from cartwheel.sources import warehouse
