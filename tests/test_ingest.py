@@ -242,3 +242,30 @@ def test_continuous_stream_picks_up_new_files(spark, env):
     assert warehouse.read_table(spark, env["wh"], "fact_orders").count() == 3
     # The batch-mode ingest continues from the same checkpoint: nothing new.
     assert ingest(spark, env["landing"], env["wh"], env["ckpt"])["files_processed"] == 0
+
+
+def test_crash_between_writes_then_rerun_is_exact(spark, env, monkeypatch):
+    import importlib
+    ingest_module = importlib.import_module("cartwheel.streaming.ingest")
+    land_payloads(spark, payload_dir({"a.json": [order(1, products=[{"product_id": 1}]),
+                                                 order(2, products=[{"product_id": 2}])]}),
+                  env["landing"])
+    real_write = warehouse.write_batch
+    calls = []
+
+    def crashing_write(df, root, name, batch_id):
+        calls.append((name, batch_id))
+        real_write(df, root, name, batch_id)
+        if name == warehouse.FACT_ORDERS_TABLE and len(calls) == 1:
+            raise RuntimeError("executor lost after the orders write")
+
+    monkeypatch.setattr(ingest_module.warehouse, "write_batch", crashing_write)
+    with pytest.raises(Exception, match="executor lost"):
+        ingest(spark, env["landing"], env["wh"], env["ckpt"])
+    # The orders of batch 0 are on disk, the products are not, nothing committed.
+    assert warehouse.read_table(spark, env["wh"], "fact_orders").count() == 2
+    assert warehouse.read_table(spark, env["wh"], "fact_order_products").count() == 0
+    stats = ingest(spark, env["landing"], env["wh"], env["ckpt"])   # the rerun
+    assert calls[-2:] == [("fact_orders", 0), ("fact_order_products", 0)]   # same batch id
+    assert stats["orders_loaded"] == 2 and stats["total_orders_in_db"] == 2
+    assert stats["total_products_in_db"] == 2
