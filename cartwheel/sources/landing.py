@@ -158,9 +158,31 @@ def records_to_rows(records: DataFrame, columns: list[tuple[str, bool]]) -> Data
     return records.select(*out)
 
 
-def landed_sources(spark: SparkSession, *folders: str | None) -> DataFrame | None:
+# Above this many candidate payload files the name filter is not pushed down
+# (a very long IN list costs more to evaluate than it saves).
+_PUSHDOWN_LIMIT = 10_000
+
+
+def _spellings(paths: list[str]) -> list[str]:
+    """The file listing spells local paths ``file:///x``; file metadata spells
+    them ``file:/x``. Other schemes are spelled the same way by both."""
+    out = set(paths)
+    for p in paths:
+        if p.startswith("file:///"):
+            out.add("file:/" + p[len("file:///"):])
+    return sorted(out)
+
+
+def landed_sources(spark: SparkSession, *folders: str | None,
+                   candidates: list[str] | None = None) -> DataFrame | None:
     """Distinct ``source_file`` values already landed in ``folders`` (the
-    landing folder and, recursively, its archive); None when there are none."""
+    landing folder and, recursively, its archive); None when there are none.
+
+    ``candidates`` (this run's payload files) are pushed into the scan: every
+    landing file holds one payload's rows, so its row groups have one
+    ``source_file`` value and Parquet skips unrelated files from their footer
+    statistics — the check costs footers, not the landing history's rows.
+    """
     found = None
     for folder in folders:
         if not folder:
@@ -172,7 +194,10 @@ def landed_sources(spark: SparkSession, *folders: str | None) -> DataFrame | Non
             continue
         if SOURCE_FILE not in df.columns:
             continue
-        names = df.select(SOURCE_FILE).distinct()
+        names = df.select(SOURCE_FILE)
+        if candidates is not None and len(candidates) <= _PUSHDOWN_LIMIT:
+            names = names.where(F.col(SOURCE_FILE).isin(_spellings(candidates)))
+        names = names.distinct()
         found = names if found is None else found.unionByName(names).distinct()
     return found
 
@@ -200,7 +225,7 @@ def land_payloads(spark: SparkSession, payload_dir: str, landing_dir: str,
     else:
         source = read_payloads(spark, payload_dir, glob or "*.json")
         bad_rows = source.where(F.col("payload").isNull())
-    done = landed_sources(spark, landing_dir, archive_dir)
+    done = landed_sources(spark, landing_dir, archive_dir, candidates=source.inputFiles())
     if done is not None:
         source = source.join(done, SOURCE_FILE, "left_anti")
         bad_rows = bad_rows.join(done, SOURCE_FILE, "left_anti")
