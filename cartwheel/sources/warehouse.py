@@ -150,10 +150,16 @@ def describe(spark: SparkSession, root: str, name: str) -> DataFrame:
                                  "col_name string, data_type string")
 
 
-def preview(spark: SparkSession, root: str, name: str, n: int = 10) -> DataFrame:
-    """The first ``n`` rows in sort-key order (a top-k, not a full sort)."""
-    _, sort_key = TABLES[name]
-    return read_table(spark, root, name).orderBy(*sort_key).limit(n)
+def preview(spark: SparkSession, root: str, name: str, n: int = 10,
+            ordered: bool = False) -> DataFrame:
+    """``SELECT * … LIMIT n``: a bare limit, which stops reading after the
+    first rows (no full scan). ``ordered=True`` returns the first ``n`` rows
+    by the sort key instead — a top-k, which reads the whole table."""
+    df = read_table(spark, root, name)
+    if ordered:
+        _, sort_key = TABLES[name]
+        df = df.orderBy(*sort_key)
+    return df.limit(n)
 
 
 def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:

@@ -124,7 +124,11 @@ def test_describe_and_preview(spark, env):
     ingest(spark, env["landing"], env["wh"], env["ckpt"])
     desc = {r.col_name: r.data_type for r in warehouse.describe(spark, env["wh"], "fact_orders").collect()}
     assert desc["order_id"] == "bigint" and desc["loaded_at"] == "timestamp"
-    assert [r.order_id for r in warehouse.preview(spark, env["wh"], "fact_orders").collect()] == list(range(1, 11))
+    first = warehouse.preview(spark, env["wh"], "fact_orders", ordered=True)
+    assert [r.order_id for r in first.collect()] == list(range(1, 11))
+    bare = warehouse.preview(spark, env["wh"], "fact_orders")
+    assert bare.count() == 10 and set(bare.columns) >= {"order_id", "loaded_at", "batch_id"}
+    assert "TakeOrderedAndProject" not in bare._jdf.queryExecution().executedPlan().toString()
 
 
 def test_daily_load_end_to_end(spark, env):
