@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from cartwheel.schemas import FACT_ORDER_PRODUCTS, FACT_ORDERS, nullable
@@ -191,9 +191,23 @@ def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
         finally:
             spark.catalog.dropTempView(view)
         return
-    (out.sortWithinPartitions(*sort_key)
+    written = Observation(f"written_{name}_{batch_id}")
+    (out.observe(written, F.count(F.lit(1)).alias("n")).sortWithinPartitions(*sort_key)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BATCH_COLUMN).parquet(table_path(root, name)))
+    if not written.get.get("n"):
+        # Dynamic overwrite of nothing replaces nothing: a replayed batch whose
+        # output became empty must not keep the earlier attempt's rows.
+        _delete(spark_of(df), os.path.join(table_path(root, name), f"{BATCH_COLUMN}={int(batch_id)}"))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, hpath = _fs(spark, path)
+    if fs is None:
+        import shutil
+        shutil.rmtree(path, ignore_errors=True)
+    elif fs.exists(hpath):
+        fs.delete(hpath, True)
 
 
 def spark_of(df: DataFrame) -> SparkSession:

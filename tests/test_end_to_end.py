@@ -70,3 +70,16 @@ def test_batch_replay_overwrites_only_its_partition(spark, buckets):
     table = warehouse.read_table(spark, wh, "fact_orders")
     assert table.count() == 1500
     assert dict(table.groupBy("batch_id").count().collect()) == {0: 750, 1: 750}
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_replay_with_empty_output_leaves_no_stale_rows(spark, buckets):
+    from cartwheel.operators.facts import build_fact_orders
+    wh = os.path.join(tempfile.mkdtemp(prefix="cartwheel-empty-"), "wh")
+    warehouse.create_tables(spark, wh, buckets=buckets)
+    fo = build_fact_orders(fixtures.raw_orders(spark, SF_SMALL))
+    warehouse.write_batch(fo, wh, "fact_orders", 0)
+    warehouse.write_batch(fo, wh, "fact_orders", 1)
+    warehouse.write_batch(fo.where("false"), wh, "fact_orders", 1)   # replay, now empty
+    table = warehouse.read_table(spark, wh, "fact_orders")
+    assert dict(table.groupBy("batch_id").count().collect()) == {0: 1500}
