@@ -126,11 +126,36 @@ def create_tables(spark: SparkSession, root: str, buckets: int | None = None) ->
              .partitionBy(BATCH_COLUMN).mode("ignore").parquet(path))
 
 
+class TableSchemaError(RuntimeError):
+    """A fact table's stored files do not match the table contract."""
+
+
+def _stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    try:
+        return spark.read.parquet(path).schema     # one footer, no data
+    except Exception:      # no data files yet (an empty table)
+        return None
+
+
 def require_tables(spark: SparkSession, root: str) -> None:
-    """Fail before loading anything when a fact table is missing."""
+    """Fail before loading anything when a fact table is missing, or when its
+    stored files disagree with the contract (names or types)."""
     for name in TABLES:
-        if not _exists(spark, table_path(root, name)):
+        path = table_path(root, name)
+        if not _exists(spark, path):
             raise MissingTableError(f"table {name} does not exist under {root}; create it first")
+        stored = _stored_schema(spark, path)
+        if stored is None:
+            continue
+        # The partition column's type is inferred from folder names; skip it.
+        want = {f.name: f.dataType for f in table_schema(name).fields if f.name != BATCH_COLUMN}
+        have = {f.name: f.dataType for f in stored.fields}
+        wrong = sorted(c for c in want if c in have and have[c] != want[c])
+        missing = sorted(c for c in want if c not in have)
+        if wrong or missing:
+            raise TableSchemaError(
+                f"table {name} under {root} does not match its schema: "
+                f"missing {missing}, wrong type {wrong}")
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -273,3 +273,13 @@ def test_crash_between_writes_then_rerun_is_exact(spark, env, monkeypatch):
     assert calls[-2:] == [("fact_orders", 0), ("fact_order_products", 0)]   # same batch id
     assert stats["orders_loaded"] == 2 and stats["total_orders_in_db"] == 2
     assert stats["total_products_in_db"] == 2
+
+
+def test_table_with_wrong_schema_fails_before_loading(spark, env):
+    root = tempfile.mkdtemp(prefix="cartwheel-badwh-")
+    wh = os.path.join(root, "wh")
+    warehouse.create_tables(spark, wh)
+    bad = spark.createDataFrame([("x", 1)], "order_id string, batch_id long")
+    bad.write.mode("overwrite").partitionBy("batch_id").parquet(os.path.join(wh, "fact_orders"))
+    with pytest.raises(warehouse.TableSchemaError, match="order_id"):
+        ingest(spark, os.path.join(root, "landing"), wh)
