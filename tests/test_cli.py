@@ -36,3 +36,23 @@ def test_daily_then_validate_and_query_warehouse(spark, capsys):
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["orders_count"] == 1
     assert main(["query", "top_purchased_products", "--warehouse", wh]) == 0
     assert "fig" in capsys.readouterr().out
+
+
+def test_daily_with_json_lines(spark, capsys):
+    root = tempfile.mkdtemp(prefix="cartwheel-cli-lines-")
+    payloads = os.path.join(root, "payloads")
+    os.makedirs(payloads)
+    with open(os.path.join(payloads, "orders.jsonl"), "w") as f:
+        for oid in (1, 2, 2):      # order 2 twice in one file: the first line wins
+            f.write(json.dumps({"order_id": oid, "user_id": 7, "order_number": oid,
+                                "order_dow": 1, "order_hour_of_day": 9,
+                                "days_since_prior_order": None, "eval_set": "prior",
+                                "products": [{"product_id": oid}]}) + "\n")
+    args = ["daily", "--lines", "--payloads", payloads,
+            "--landing", os.path.join(root, "landing"), "--warehouse", os.path.join(root, "wh"),
+            "--checkpoint", os.path.join(root, "ckpt")]
+    assert main(args) == 0
+    stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert stats["rows_landed"] == 3
+    assert stats["orders_loaded"] == 2 and stats["products_loaded"] == 2
+    assert stats["gate"]["duplicate_orders"] == 0
