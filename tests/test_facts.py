@@ -103,3 +103,10 @@ def test_day_hour_matrix_fills_empty_cells(spark):
     assert got[0].hour_7 == 2 and got[0].hour_8 == 0 and got[6].hour_23 == 1
     assert got[9].day_name == "Unknown" and got[9].hour_1 == 1
     assert sum(got[0][f"hour_{h}"] for h in range(24)) == 2
+
+
+def test_dq_raw_orders_counts_what_would_be_lost(spark):
+    raw = spark.createDataFrame(
+        [("1", "x", '[{"a":NaN}]'), ("2", "3", "[]"), (None, "1.5", "{}"), ("4", "", None)],
+        "order_id string, order_number string, products string")
+    assert [tuple(r) for r in D.dq_raw_orders(raw).collect()] == [(4, 2, 2)]
