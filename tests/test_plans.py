@@ -10,6 +10,7 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from cartwheel.plans.registry import QUERIES
 from cartwheel.operators.facts import build_fact_order_products, build_fact_orders
 from conftest import SF_SMALL, raw_frame
 
@@ -18,7 +19,7 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_nested_loop_or_python(spark, name):
     plan = plan_of(entry_module.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
