@@ -50,13 +50,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``did, rk, text``: a row is known by its id and a hash of id and text, so
+    """``did, rk, text, id``: a row is known by its id and a hash of id and text, so
     null and repeated ids need no special case. Rows equal in both are one row
     to the operators, and each of them gets the same result."""
     return docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("did"),
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("rk"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.col(id_col).cast("long").alias("id"))
 
 
 def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
