@@ -163,6 +163,8 @@ def links(docs: DataFrame, k: int = 3, percent: int = 90, frequent: int = 64, ro
             index = materialize(at.join(split, "key").select("key", "sig", "n", "comp"), "index")
             at = index
             index = index.drop("comp")
+            if at.isEmpty():
+                break
         if turn < rounds:
             order = F.xxhash64("sig", F.lit(turn))
             leader = at.groupBy("key").agg(F.min(F.struct(order.alias("o"), "sig", "n", "comp")).alias("l"))

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from cartwheel.llm.decontamination import OP7_SQL, op7_benchmark_windows
+from cartwheel.llm.jaccard_join import OP3_SQL, op3_jaccard_components
+from cartwheel.llm.line_dedup import op6_line_dedup
 from cartwheel.llm.packing import op8_length_buckets
 from cartwheel.llm.repeated_bytes import op5_repeated_bytes
 from cartwheel.llm.secret_scan import OP9_SQL, op9_secret_spans
 from cartwheel.llm.warc import OP10_SQL, op10_warc_records
 
 QUERIES = {
+    "op3_jaccard_components": op3_jaccard_components,
     "op5_repeated_bytes": op5_repeated_bytes,
+    "op6_line_dedup": op6_line_dedup,
     "op7_benchmark_windows": op7_benchmark_windows,
     "op8_length_buckets": op8_length_buckets,
     "op9_secret_spans": op9_secret_spans,
@@ -17,6 +21,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_jaccard_components": OP3_SQL,
     "op7_benchmark_windows": OP7_SQL,
     "op9_secret_spans": OP9_SQL,
     "op10_warc_records": OP10_SQL,
