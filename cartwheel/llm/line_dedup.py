@@ -13,9 +13,9 @@ variant is that line without a word. So equal keys are pairs within the bound,
 up to 64-bit hashes, and the earliest line of a key is a grouped minimum, combined
 before the shuffle: no pairs, no group in one task.
 
-Variants are emitted only by lines that can have a partner. An edit lies in one
-half of a line, so partners agree in the other half; lines that share neither
-half with a different line are passed by.
+Variants are emitted only where a line can have a partner. An edit lies in one
+third of a line, so partners agree in the two others; only words of a third
+whose surroundings another line shares are deleted.
 
 Lines without words always stay. Null text stays null. Identical rows (id and
 text equal) count as one row and get the same result.
@@ -34,6 +34,7 @@ from cartwheel.llm.common import attach, keyed, materialize, table
 from cartwheel.llm.textkit import SPACE, U, chunks, mix, powers, words
 
 NEWLINE = 10
+PARTS = 3
 
 
 def _lines(data: np.ndarray, offs: np.ndarray):
@@ -56,6 +57,12 @@ def _stretch(prefix: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (prefix[b] - prefix[a]) * powers(len(prefix))[1][a]
 
 
+def _part(a: np.ndarray, short: np.ndarray, part: int, longer: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and end word of a third of a line, in which a pair may differ; the
+    longer line of a pair has one word more there."""
+    return a + short * part // PARTS, a + short * (part + 1) // PARTS + longer
+
+
 def _line_rows(min_words: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,66 +73,74 @@ def _line_rows(min_words: int):
                     continue
                 n = b - a
                 whole = mix(_stretch(prefix, a, b) + n.astype(U))
-                halves = []
+                around = []
                 # as the shorter (or equally long) line of a pair, and as the longer one
                 for longer in (0, 1):
                     short = n - longer
-                    h = short // 2
-                    for side, (x, y) in enumerate(((a, a + h), (a + h + longer, b))):
-                        tag = mix((short * 2 + side).astype(U) ^ U(0xA0761D6478BD642F))
-                        halves.append(mix(_stretch(prefix, x, np.maximum(x, y)) ^ tag).view(np.int64))
+                    for part in range(PARTS):
+                        x, y = _part(a, short, part, longer)
+                        tag = mix((short * PARTS + part).astype(U) ^ U(0xA0761D6478BD642F))
+                        rest = mix(_stretch(prefix, a, x) + tag) ^ mix(_stretch(prefix, y, np.maximum(y, b)) - tag)
+                        around.append(mix(rest).view(np.int64))
                 long_enough = n >= min_words
-                keys = np.stack(halves, axis=1)[long_enough].ravel()
-                ends = np.append(0, np.cumsum(long_enough * 4)).astype(np.int32)
+                keys = np.stack(around, axis=1)[long_enough].ravel()
+                ends = np.append(0, np.cumsum(long_enough * 2 * PARTS)).astype(np.int32)
                 yield pa.record_batch({
                     "did": did[lo + doc], "rk": rk[lo + doc], "ln": line.astype(np.int32), "lh": whole.view(np.int64),
-                    "halves": pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))})
+                    "around": pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))})
     return rows
 
 
 def _variant_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys of the chosen lines: one for the line itself, two for each deleted word."""
+    """Keys of the chosen lines: one for the line itself, one for each word of the
+    chosen thirds. ``picks``: line number * 8 + (third, or 3 + third as the longer line)."""
     for batch in batches:
         did, rk = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
         picks = batch.column(3)
         for lo, hi, data, offs in chunks(batch.column(2)):
             doc, line, a, b, prefix = _lines(data, offs)
             mine = picks.slice(lo, hi - lo)
-            wanted = np.repeat(np.arange(hi - lo), np.diff(mine.offsets.to_numpy())) << 32 | mine.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            take = np.isin(doc.astype(np.int64) << 32 | line, wanted)
-            doc, line, a, b = doc[take], line[take], a[take], b[take]
-            n = b - a
-            if not len(n):
+            pick = mine.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(hi - lo), np.diff(mine.offsets.to_numpy()))
+            if not len(pick):
                 continue
-            whole = mix(_stretch(prefix, a, b) + n.astype(U))
-            of = np.repeat(np.arange(len(n)), n)
-            i = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            cut = a[of] + i
-            rest = _stretch(prefix, a[of], cut) + _stretch(prefix, cut + 1, b[of]) * powers(len(prefix))[0][i]
+            at = np.searchsorted(doc.astype(np.int64) << 32 | line, row << 32 | pick >> 3)
+            which = (pick & 7).astype(np.int64)
+            longer, part = which // PARTS, which % PARTS
+            n = b[at] - a[at]
+            whole = mix(_stretch(prefix, a[at], b[at]) + n.astype(U))
+            x = a[at] + (n - longer) * part // PARTS
+            y = a[at] + (n - longer) * (part + 1) // PARTS + longer
+            of = np.repeat(np.arange(len(at)), y - x)
+            cut = np.repeat(x - (np.cumsum(y - x) - (y - x)), y - x) + np.arange(len(of))
+            i = cut - a[at][of]
+            rest = _stretch(prefix, a[at][of], cut) + _stretch(prefix, cut + 1, b[at][of]) * powers(len(prefix))[0][i]
             short = mix(rest + (n[of] - 1).astype(U))            # the hash that the shorter line has itself
             place = mix(short ^ mix(i.astype(U) + U(0xE7037ED1A0B428DB)))
-            idx = np.concatenate([np.arange(len(n)), of, of])
+            self_at = np.flatnonzero(longer == 0)
+            idx = np.concatenate([self_at, of])
+            l_of = longer[of]
             yield pa.record_batch({
-                "key": np.concatenate([whole, short, place]).view(np.int64),
-                "role": np.repeat([0, 1, 2], [len(n), len(of), len(of)]).astype(np.int8),
-                "did": did[lo + doc[idx]], "rk": rk[lo + doc[idx]], "ln": line[idx].astype(np.int32),
+                "key": np.concatenate([whole[self_at], np.where(l_of == 1, short, place)]).view(np.int64),
+                "role": np.concatenate([np.zeros(len(self_at)), np.where(l_of == 1, 1, 2)]).astype(np.int8),
+                "did": did[lo + row[idx]], "rk": rk[lo + row[idx]], "ln": line[at][idx].astype(np.int32),
                 "lh": whole[idx].view(np.int64)})
 
 
 def duplicate_lines(docs: DataFrame, min_words: int = 8) -> DataFrame:
     """``did, rk, drop``: the numbers of the lines to drop from each row that has some."""
     lines = materialize(docs.select("did", "rk", "text").mapInArrow(
-        _line_rows(min_words), "did long, rk long, ln int, lh long, halves array<long>"), "lines")
+        _line_rows(min_words), "did long, rk long, ln int, lh long, around array<long>"), "lines")
     place = F.struct("did", "rk", "ln")
     uniq = materialize(lines.select("lh", "did", "rk", "ln").groupBy("lh").agg(
         F.min(place).alias("first"), F.max(place).alias("last")), "distinct_lines")
-    half = lines.select("lh", F.explode("halves").alias("half"))
-    close = half.groupBy("half").agg(F.min("lh").alias("lo"), F.max("lh").alias("hi")).where("lo <> hi").select("half")
-    able = half.join(close, "half").select("lh").distinct()
-    chosen = materialize(uniq.join(able, "lh").select("first.did", "first.rk", "first.ln"), "close_lines")
-    picks = chosen.groupBy("did", "rk").agg(F.collect_set("ln").alias("picks"))
-    variants = materialize(docs.join(picks, ["did", "rk"]).select("did", "rk", "text", "picks").mapInArrow(
-        _variant_rows, "key long, role byte, did long, rk long, ln int, lh long"), "variants").distinct()
+    around = lines.select("lh", F.posexplode("around").alias("which", "key"))
+    close = around.groupBy("key").agg(F.min("lh").alias("lo"), F.max("lh").alias("hi")).where("lo <> hi").select("key")
+    able = around.join(close, "key").select("lh", "which").distinct()
+    chosen = materialize(uniq.join(able, "lh").select("first.did", "first.rk", (F.col("first.ln") * 8 + F.col("which")).alias("pick")), "close_lines")
+    picks = chosen.groupBy("did", "rk").agg(F.sort_array(F.collect_set("pick")).alias("picks"))
+    variants = materialize(docs.select("did", "rk", "text").join(picks, ["did", "rk"]).select("did", "rk", "text", "picks").mapInArrow(
+        _variant_rows, "key long, role byte, did long, rk long, ln int, lh long"), "variants")
     # a key is of use if two lines meet there; partners: the line itself and its longer ones, or lines cut at one place
     met = variants.groupBy("key").agg(
         F.min("lh").alias("lo"), F.max("lh").alias("hi"),
