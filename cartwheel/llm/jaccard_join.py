@@ -6,8 +6,9 @@ any global order of tokens they share one among the first
 ``n - ceil(t * n) + 1`` (the prefix), and two among one token more.
 
 * Order: rare tokens first, so that prefixes hold tokens few others have. A
-  token's rarity is estimated from its words: counts of all words of all
-  documents in ``2**16`` hashed classes, a table of fixed size. Any order gives
+  token is at most as frequent as its rarest word, so it stands by that word's
+  count (then by the sum of its words' logarithms): counts of all words of all
+  documents in ``2**18`` hashed classes, a table of fixed size. Any order gives
   whole results; a good one gives few candidates.
 * Index: prefix tokens found in at most ``frequent`` sets are indexed alone. For
   a more frequent token, the pairs of it and a later token of the prefix
@@ -37,7 +38,8 @@ from cartwheel.llm.common import attach, keyed, materialize, table
 from cartwheel.llm.components import components
 from cartwheel.llm.textkit import SPACE, U, chunks, mix, words
 
-CLASSES = 1 << 16
+CLASS_BITS = 18
+CLASSES = 1 << CLASS_BITS
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,7 +47,7 @@ def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for _, _, data, offs in chunks(batch.column(0)):
             _, _, _, h = words(data, offs, ~SPACE)
-            total += np.bincount((h >> U(48)).astype(np.int64), minlength=CLASSES)
+            total += np.bincount((h >> U(64 - CLASS_BITS)).astype(np.int64), minlength=CLASSES)
     used = np.flatnonzero(total)
     yield pa.record_batch({"cls": used.astype(np.int32), "n": total[used]})
 
@@ -85,11 +87,13 @@ def _sets(k: int, percent: int, scores: np.ndarray | None):
                 if scores is None:
                     order = np.lexsort((token, doc))
                 else:
-                    cls = scores[(h >> U(48)).astype(np.int64)]
-                    score = np.zeros(len(at), np.int64)
-                    for j in range(k):
-                        score += np.where(j < size[doc], cls[np.minimum(at + j, max(len(h) - 1, 0))], 0) if len(at) else 0
-                    order = np.lexsort((token, score, doc))
+                    cls = scores[(h >> U(64 - CLASS_BITS)).astype(np.int64)]
+                    low, total = np.full(len(at), 1 << 20), np.zeros(len(at), np.int64)
+                    for j in range(k if len(at) else 0):
+                        inside, value = j < size[doc], cls[np.minimum(at + j, len(h) - 1)]
+                        low = np.where(inside, np.minimum(low, value), low)
+                        total += np.where(inside, value, 0)
+                    order = np.lexsort((token, low << 24 | total, doc))
                 doc, token = doc[order], token[order]
                 new = np.ones(len(doc), bool)
                 new[1:] = (doc[1:] != doc[:-1]) | (token[1:] != token[:-1])
@@ -150,8 +154,9 @@ def links(docs: DataFrame, k: int = 3, percent: int = 90, frequent: int = 64, ro
         F.min(F.struct("did", "rk")).alias("at"), F.first("prefix").alias("prefix")), "distinct_sets")
     index = _entries(uniq, percent, frequent)
     involved = uniq.join(index.select("sig").distinct(), "sig", "left_semi").select("sig", "at.did", "at.rk")
-    texts = docs.join(involved, ["did", "rk"]).select("sig", "text")
-    sets = materialize(texts.mapInArrow(_sets(k, percent, None), "sig long, tokens array<long>").dropDuplicates(["sig"]), "whole_sets")
+    # repeated rows go where the join has put them together: no further shuffle
+    texts = docs.select("did", "rk", "text").join(involved, ["did", "rk"]).dropDuplicates(["did", "rk"]).select("sig", "text")
+    sets = materialize(texts.mapInArrow(_sets(k, percent, None), "sig long, tokens array<long>"), "whole_sets")
 
     found, labels, tried = None, None, None
     for turn in range(rounds + 1):
