@@ -3,17 +3,17 @@
 A document is its set of distinct word shingles. Two sets whose Jaccard
 similarity is at least t share at least ``ceil(t * n)`` tokens of either, so in
 any global order of tokens they share one among the first
-``n - ceil(t * n) + 1`` (the prefix), and two among one token more.
+``n - ceil(t * n) + 1`` (the prefix).
 
 * Order: rare tokens first, so that prefixes hold tokens few others have. A
   token is at most as frequent as its rarest word, so it stands by that word's
   count (then by the sum of its words' logarithms): counts of all words of all
   documents in ``2**18`` hashed classes, a table of fixed size. Any order gives
   whole results; a good one gives few candidates.
-* Index: prefix tokens found in at most ``frequent`` sets are indexed alone. For
-  a more frequent token, the pairs of it and a later token of the prefix
-  extended by one are indexed instead: if the first common token of two sets is
-  frequent, their second common token is in both extended prefixes.
+* Index: prefix tokens found in at most ``frequent`` sets are indexed alone. Sets
+  with a more frequent token in their prefix are extended to whole sets and indexed by
+  combinations of tokens, about eight at t = 0.9: if the first common token of
+  two similar sets is frequent, both are, and they agree in one combination at least.
 * Candidates: equal sets count once. In rounds, each index entry proposes links to
   one leader only, so an entry with m sets gives m - 1 pairs, and
   after each round entries whose sets are connected already drop out. What
@@ -78,7 +78,7 @@ def _shingles(data: np.ndarray, offs: np.ndarray, k: int):
 
 
 def _sets(k: int, percent: int, scores: np.ndarray | None):
-    """Set hash, size and ordered extended prefix of each text; without scores the whole set."""
+    """Set hash, size and ordered prefix of each text; without scores the whole set."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lead = [batch.column(c) for c in range(batch.num_columns - 1)]
@@ -110,7 +110,7 @@ def _sets(k: int, percent: int, scores: np.ndarray | None):
                 total = np.zeros(hi - lo, U)
                 np.add.at(total, doc, mix(token ^ U(0xD6E8FEB86659FD93)))
                 sig = mix(total + n.astype(U))
-                keep = np.minimum(n, n - (n * percent + 99) // 100 + 2)
+                keep = np.minimum(n, n - (n * percent + 99) // 100 + 1)
                 rank = np.arange(len(doc)) - first[doc]
                 mine = rank < keep[doc]
                 ends = np.append(0, np.cumsum(keep)).astype(np.int32)
@@ -120,19 +120,55 @@ def _sets(k: int, percent: int, scores: np.ndarray | None):
     return rows
 
 
-def _entries(uniq: DataFrame, percent: int, frequent: int) -> DataFrame:
-    """Index entries ``key, sig, n`` of keys that at least two sets share."""
+def size_bounds(percent: int, most: int) -> list[int]:
+    """Starts of the size buckets: a set's partners are in its bucket or one beside it."""
+    out = [1]
+    while out[-1] <= most:
+        out.append(max(out[-1] + 1, -(-100 * out[-1] // percent)))
+    return [*out, max(out[-1] + 1, -(-100 * out[-1] // percent))]
+
+
+def _combinations(percent: int):
+    """Token combinations of each set. In a class of sizes, similar sets differ in at most
+    h tokens; with tokens dealt by hash into h + 1 combinations, one at least is equal."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sig, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
+            offs = lists.offsets.to_numpy().astype(np.int64)
+            token = lists.values.to_numpy(zero_copy_only=False)[offs[0]:offs[-1]].view(U)
+            n = np.diff(offs)
+            doc = np.repeat(np.arange(len(n)), n)
+            bounds = np.array(size_bounds(percent, int(n.max(initial=1))), np.int64)
+            bucket = np.searchsorted(bounds, n, side="right") - 1
+            for above in (0, 1):
+                cls = bucket + above
+                parts = 2 * (bounds[cls + 1] - 1) * (100 - percent) // (100 + percent) + 1
+                first = np.cumsum(parts) - parts
+                part = (mix(token ^ mix(cls[doc].astype(U))) % parts[doc].astype(U)).astype(np.int64)
+                total = np.zeros(int(parts.sum()), U)
+                np.add.at(total, first[doc] + part, mix(token + U(0x94D049BB)))
+                of = np.repeat(np.arange(len(n)), parts)
+                place = (np.arange(len(of)) - first[of]).astype(U)
+                key = mix(total ^ mix(cls[of].astype(U) << U(32) | place))
+                yield pa.record_batch({"key": key.view(np.int64), "sig": sig[of], "n": n[of]})
+    return rows
+
+
+def _entries(docs: DataFrame, uniq: DataFrame, k: int, percent: int, frequent: int) -> tuple[DataFrame, DataFrame]:
+    """Index entries ``key, sig, n`` of keys that at least two sets share, and the whole sets of those."""
     own = (F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1).cast("int")
     single = uniq.select("sig", "n", F.explode(F.slice("prefix", 1, own)).alias("key"))
     shared = materialize(single.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "shared_tokens")
     found = materialize(single.join(shared, "key"), "entries")
-    often = found.where(F.col("m") > frequent).groupBy("sig").agg(F.collect_list("key").alias("often"))
-    pair = (uniq.join(often, "sig").select("sig", "n", "prefix", F.explode("often").alias("f"))
-            .select("sig", "n", "f", F.explode(F.slice("prefix", (F.array_position("prefix", F.col("f")) + 1).cast("int"), F.size("prefix"))).alias("g"))
-            .select(F.xxhash64("f", "g").alias("key"), "sig", "n"))
-    pairs = materialize(pair, "pair_entries")
-    more = pairs.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    return materialize(found.where(F.col("m") <= frequent).select("key", "sig", "n").unionByName(pairs.join(more, "key")), "index")
+    involved = uniq.join(found.select("sig").distinct(), "sig", "left_semi").select("sig", "at.did", "at.rk")
+    # repeated rows go where the join has put them together: no further shuffle
+    texts = docs.select("did", "rk", "text").join(involved, ["did", "rk"]).dropDuplicates(["did", "rk"]).select("sig", "text")
+    sets = materialize(texts.mapInArrow(_sets(k, percent, None), "sig long, tokens array<long>"), "whole_sets")
+    often = found.where(F.col("m") > frequent).select("sig").distinct()
+    many = materialize(sets.join(often, "sig", "left_semi").mapInArrow(_combinations(percent), "key long, sig long, n long"), "combinations")
+    more = many.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+    index = found.where(F.col("m") <= frequent).select("key", "sig", "n").unionByName(many.join(more, "key"))
+    return materialize(index, "index"), sets
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -152,12 +188,7 @@ def links(docs: DataFrame, k: int = 3, percent: int = 90, frequent: int = 64, ro
         _sets(k, percent, scores), "id long, did long, rk long, sig long, n long, prefix array<long>"), "sets")
     uniq = materialize(rows.where("n > 0").groupBy("sig", "n").agg(
         F.min(F.struct("did", "rk")).alias("at"), F.first("prefix").alias("prefix")), "distinct_sets")
-    index = _entries(uniq, percent, frequent)
-    involved = uniq.join(index.select("sig").distinct(), "sig", "left_semi").select("sig", "at.did", "at.rk")
-    # repeated rows go where the join has put them together: no further shuffle
-    texts = docs.select("did", "rk", "text").join(involved, ["did", "rk"]).dropDuplicates(["did", "rk"]).select("sig", "text")
-    sets = materialize(texts.mapInArrow(_sets(k, percent, None), "sig long, tokens array<long>"), "whole_sets")
-
+    index, sets = _entries(docs, uniq, k, percent, frequent)
     found, labels, tried = None, None, None
     for turn in range(rounds + 1):
         if labels is None:
