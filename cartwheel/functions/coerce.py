@@ -25,8 +25,17 @@ def _whole_double_to_long(d: Column) -> Column:
     return F.when((d % F.lit(1.0)) == F.lit(0.0), d.try_cast("bigint"))
 
 
+# Text that counts as a number. The engine's cast also takes a type suffix
+# ('1d', '2.0F'); the source does not.
+_SUFFIXED = r"[0-9.]\s*[dDfF]\s*$"
+
+
+def _text_to_number(s: Column) -> Column:
+    return F.when(~s.rlike(_SUFFIXED), s.try_cast("double"))
+
+
 def _numeric_text_to_long(s: Column) -> Column:
-    return F.coalesce(s.try_cast("bigint"), _whole_double_to_long(s.try_cast("double")))
+    return F.coalesce(s.try_cast("bigint"), _whole_double_to_long(_text_to_number(s)))
 
 
 def _text_to_long(s: Column) -> Column:

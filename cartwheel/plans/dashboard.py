@@ -172,22 +172,21 @@ def product_reorder_opportunity(fp: DataFrame, k: int = 10) -> DataFrame:
 def day_hour_matrix(fo: DataFrame) -> DataFrame:
     """Orders per day of week × hour of day, one row per day, one column per hour.
 
-    The hour values are listed, so the pivot needs no extra job to find them;
-    empty cells are 0.
+    ``hour_other`` counts orders without an hour or with one outside 0-23, so
+    a row sums to the day's orders. Conditional counts: one grouping.
     """
-    hours = list(range(24))
-    pivoted = (
-        fo.groupBy("order_dow").pivot("order_hour_of_day", hours).agg(rows())
-    )
-    cells = [F.coalesce(F.col(str(h)), F.lit(0)).cast("bigint").alias(f"hour_{h}") for h in hours]
+    hour = F.col("order_hour_of_day")
+    cells = [F.count_if(hour == h).alias(f"hour_{h}") for h in range(24)]
+    other = F.count_if(hour.isNull() | ~hour.between(0, 23)).alias("hour_other")
     return (
-        pivoted.select("order_dow", day_name(F.col("order_dow")).alias("day_name"), *cells)
+        fo.groupBy("order_dow").agg(*cells, other)
+        .select("order_dow", day_name(F.col("order_dow")).alias("day_name"), *[f"hour_{h}" for h in range(24)], "hour_other")
         .orderBy("order_dow")
     )
 
 
 __all__ = [
-    "DAY_NAMES", "total_orders", "total_product_line_items", "product_reorder_rate",
+    "total_orders", "total_product_line_items", "product_reorder_rate",
     "basket_sizes", "average_basket_size", "orders_by_day_of_week", "orders_by_hour_of_day",
     "top_ordering_time_windows", "reorder_interval_distribution", "product_reorder_status",
     "basket_size_category", "largest_basket_orders", "top_purchased_products",

@@ -137,7 +137,8 @@ _BODIES = {
     "day_hour_matrix": f"""
         SELECT order_dow, {DAY_NAME.format(c='order_dow')} AS day_name,
                {", ".join(f"count(*) FILTER (WHERE order_hour_of_day = {h}) AS hour_{h}"
-                          for h in range(24))}
+                          for h in range(24))},
+               count(*) FILTER (WHERE order_hour_of_day IS NULL OR order_hour_of_day NOT BETWEEN 0 AND 23) AS hour_other
         FROM fact_orders GROUP BY order_dow ORDER BY order_dow""",
     "dq_order_duplicates": """
         SELECT count(*) AS total_rows, count(DISTINCT order_id) AS unique_orders,

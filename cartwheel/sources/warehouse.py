@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -169,9 +170,14 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def describe(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Column names and types, one row per column."""
-    schema = table_schema(name)
-    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema.fields],
+    """Column names and types of the stored table, one row per column; a table
+    without files yet has its contract's. A missing table is an error."""
+    path = table_path(root, name)
+    if not _exists(spark, path):
+        raise MissingTableError(f"table {name} does not exist under {root}; create it first")
+    stored = _stored_schema(spark, path) or table_schema(name)
+    fields = [f for f in stored.fields if f.name != BATCH_COLUMN] + [f for f in table_schema(name).fields if f.name == BATCH_COLUMN]
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in fields],
                                  "col_name string, data_type string")
 
 
@@ -220,8 +226,8 @@ def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
     (out.observe(written, F.count(F.lit(1)).alias("n")).sortWithinPartitions(*sort_key)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BATCH_COLUMN).parquet(table_path(root, name)))
-    if not written.get.get("n"):
-        # Dynamic overwrite of nothing replaces nothing: a replayed batch whose
+    if written.get.get("n") == 0:
+        # (No metric at all says nothing about the rows.) Dynamic overwrite of nothing replaces nothing: a replayed batch whose
         # output became empty must not keep the earlier attempt's rows.
         _delete(spark_of(df), os.path.join(table_path(root, name), f"{BATCH_COLUMN}={int(batch_id)}"))
 
@@ -235,6 +241,39 @@ def _delete(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
+LOADED_TABLE = "_loaded_files"
+_LOADED = "landing_file string, modified timestamp, bytes bigint"
+
+
+def batch_key(load_id: str, batch_id: int) -> int:
+    """The partition of one batch of one load. Batch numbers restart at 0 with
+    every checkpoint; the load's durable id keeps the partitions of different
+    loads apart, so no load can replace another one's rows."""
+    return int(hashlib.sha1(load_id.encode()).hexdigest()[:7], 16) << 32 | int(batch_id)
+
+
+def load_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the load that a checkpoint belongs to, made with the checkpoint."""
+    path = os.path.join(checkpoint, "_cartwheel_load")
+    if not _exists(spark, path):
+        spark.createDataFrame([(uuid.uuid4().hex,)], "load_id string").coalesce(1).write.json(path)
+    return spark.read.schema("load_id string").json(path).first()["load_id"]
+
+
+def loaded_files(spark: SparkSession, root: str) -> DataFrame:
+    """Landing files that some load has finished, by path, modification time and length."""
+    path = table_path(root, LOADED_TABLE)
+    schema = f"{_LOADED}, {BATCH_COLUMN} bigint"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def record_loaded(files: DataFrame, root: str, key: int) -> None:
+    """Note a batch's files as loaded, after its facts are written. Replaying the batch replaces the note."""
+    files.write.mode("overwrite").parquet(os.path.join(table_path(root, LOADED_TABLE), f"{BATCH_COLUMN}={key}"))
+
+
 def spark_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 

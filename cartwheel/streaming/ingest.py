@@ -63,6 +63,9 @@ class IngestStats:
         return d
 
 
+_FILE_COLUMNS = ("_landing_file", "_landing_modified", "_landing_bytes")
+
+
 def with_provenance(df: DataFrame) -> DataFrame:
     """Fill source_file / row_block / row_index from the file metadata when the
     landing writer did not record them (plain raw Parquet dropped in the folder)."""
@@ -75,6 +78,8 @@ def with_provenance(df: DataFrame) -> DataFrame:
         F.coalesce(have(ROW_BLOCK), F.lit(0)).cast("bigint").alias(ROW_BLOCK),
         F.coalesce(have(ROW_INDEX), F.col("_metadata.row_index")).cast("bigint").alias(ROW_INDEX),
         F.col("_metadata.file_path").alias("_landing_file"),
+        F.col("_metadata.file_modification_time").alias("_landing_modified"),
+        F.col("_metadata.file_size").alias("_landing_bytes"),
     )
 
 
@@ -94,16 +99,28 @@ def landing_schema(spark: SparkSession, landing_dir: str) -> T.StructType:
 
 
 def load_batch(raw: DataFrame, warehouse_root: str, batch_id: int,
-               loaded_at: datetime | None = None) -> IngestStats:
-    """Build both facts from one batch of raw rows and (re)write them."""
+               loaded_at: datetime | None = None, load_id: str | None = None) -> IngestStats:
+    """Build both facts from one batch of raw rows and (re)write them.
+
+    With a ``load_id`` the batch gets a partition of its own among all loads,
+    and landing files that another batch has loaded (same path, time and
+    length) are left out, so a fresh checkpoint loads nothing twice."""
     loaded_at = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
     # No cache of the batch: the two facts read mostly different columns, so
     # two pruned Parquet scans beat materialising every column once.
-    files = raw.select("_landing_file").distinct().count()
-    stats = IngestStats(files_processed=files)
-    if files == 0:
+    spark, key = raw.sparkSession, batch_id
+    seen = [c for c in _FILE_COLUMNS if c in raw.columns]
+    files = raw.select(*seen).distinct()
+    if load_id is not None:
+        key = warehouse.batch_key(load_id, batch_id)
+        known = warehouse.loaded_files(spark, warehouse_root).where(F.col(warehouse.BATCH_COLUMN) != key).select(
+            *[F.col(old).alias(new) for old, new in zip(("landing_file", "modified", "bytes"), _FILE_COLUMNS)])
+        raw, files = (df.join(known, seen, "left_anti") for df in (raw, files))
+    count = files.count()
+    stats = IngestStats(files_processed=count)
+    if count == 0:
         return stats
-    raw = raw.drop("_landing_file")
+    raw = raw.drop(*seen)
     orders_obs, products_obs = Observation("orders"), Observation("products")
     cells_obs, coerce_obs = Observation("cells"), Observation("coercion")
     # Counted on the scan that builds the orders.
@@ -115,9 +132,11 @@ def load_batch(raw: DataFrame, warehouse_root: str, batch_id: int,
             unparsed_cell(F.col(PRODUCTS_COLUMN), dtype)).alias("n"))
     fp = build_fact_order_products(raw, loaded_at)
     warehouse.write_batch(fo.observe(orders_obs, F.count(F.lit(1)).alias("n")),
-                          warehouse_root, warehouse.FACT_ORDERS_TABLE, batch_id)
+                          warehouse_root, warehouse.FACT_ORDERS_TABLE, key)
     warehouse.write_batch(fp.observe(products_obs, F.count(F.lit(1)).alias("n")),
-                          warehouse_root, warehouse.FACT_ORDER_PRODUCTS_TABLE, batch_id)
+                          warehouse_root, warehouse.FACT_ORDER_PRODUCTS_TABLE, key)
+    if load_id is not None:
+        warehouse.record_loaded(files.toDF("landing_file", "modified", "bytes"), warehouse_root, key)
     stats.orders_loaded = int(orders_obs.get.get("n", 0) or 0)
     stats.products_loaded = int(products_obs.get.get("n", 0) or 0)
     if PRODUCTS_COLUMN in raw.columns:
@@ -140,6 +159,9 @@ def _landing_stream(spark: SparkSession, landing_dir: str, schema: T.StructType
 def _default_checkpoint(spark: SparkSession, landing_dir: str, warehouse_root: str) -> str:
     # One stream checkpoint per (landing folder, warehouse) pair, kept in the
     # cluster's shared checkpoint folder.
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        # A scratch checkpoint would forget what was loaded.
+        raise ValueError("name a checkpoint, or set spark.checkpoint.dir to a durable shared folder")
     key = hashlib.sha1(f"{landing_dir}|{warehouse_root}".encode()).hexdigest()[:16]
     return os.path.join(checkpoint_dir(spark), f"cartwheel-ingest-{key}")
 
@@ -160,8 +182,10 @@ def ingest(spark: SparkSession, landing_dir: str, warehouse_root: str,
 
     totals = IngestStats()
 
+    load = warehouse.load_id(spark, checkpoint)
+
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        s = load_batch(df, warehouse_root, batch_id)
+        s = load_batch(df, warehouse_root, batch_id, load_id=load)
         totals.files_processed += s.files_processed
         totals.orders_loaded += s.orders_loaded
         totals.products_loaded += s.products_loaded
@@ -193,7 +217,8 @@ def start_ingest_stream(spark: SparkSession, landing_dir: str, warehouse_root: s
     warehouse.require_tables(spark, warehouse_root)
     checkpoint = checkpoint or _default_checkpoint(spark, landing_dir, warehouse_root)
     stream = _landing_stream(spark, landing_dir, schema, archive_dir, max_files_per_batch)
+    load = warehouse.load_id(spark, checkpoint)
     return (stream.writeStream
-            .foreachBatch(lambda df, batch_id: load_batch(df, warehouse_root, batch_id))
+            .foreachBatch(lambda df, batch_id: load_batch(df, warehouse_root, batch_id, load_id=load))
             .option("checkpointLocation", checkpoint)
             .trigger(processingTime=interval).start())

@@ -1,78 +1,28 @@
-"""Property test: the Spark fact builders against a brute-force Python model
-of the contract, on generated raw orders (duplicate keys, mixed types,
-invalid and non-list cells, non-object elements)."""
+"""Properties of the fact builders and of landing on generated input, none of
+which needs a model of the contract, and hand-written cases with expected rows."""
 
 import json
-import math
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from cartwheel.operators.facts import build_fact_order_products, build_fact_orders
 
-# ----------------------------------------------------------------- the model
-I64 = 2 ** 63
-
-
-def model_int(v):
-    """pandas to_numeric(errors='coerce') followed by a nullable-integer cast."""
-    if v is None:
-        return None
-    if isinstance(v, bool):
-        return int(v)
-    if isinstance(v, int):
-        return v if -I64 <= v < I64 else None
-    if isinstance(v, float):
-        return int(v) if math.isfinite(v) and v.is_integer() and abs(v) < 9.2e18 else None
-    if isinstance(v, str):
-        s = v.strip()
-        try:
-            return model_int(int(s))
-        except ValueError:
-            pass
-        try:
-            return model_int(float(s))
-        except ValueError:
-            return None
-    return None
-
-
-def model_text(v):
-    return "" if v is None else str(v)
-
-
-def model_products(cell):
-    if cell is None or cell.strip() == "":
-        return []
-    try:
-        parsed = json.loads(cell)
-    except ValueError:
-        return []
-    return parsed if isinstance(parsed, list) else []
-
-
-def model_facts(rows):
-    """rows: (row_index, order_id, user_id, products) in file order."""
-    orders, products, seen_o, seen_p = [], [], set(), set()
-    for _, oid, uid, cell in sorted(rows):
-        o = model_int(oid)
-        if o is not None and o not in seen_o:
-            seen_o.add(o)
-            if model_int(uid) is not None:
-                orders.append((o, model_int(uid)))
-        if o is None:
-            continue
-        for item in model_products(cell):
-            if not isinstance(item, dict):
-                continue
-            row = (o, model_int(item.get("product_id")), model_text(item.get("product_name")),
-                   model_text(item.get("aisle")), model_text(item.get("department")),
-                   model_int(item.get("add_to_cart_order")), model_int(item.get("reordered")))
-            key = (row[0], row[1], row[5])
-            if key not in seen_p:
-                seen_p.add(key)
-                products.append(row)
-    return sorted(orders), sorted(products, key=repr)
+SCHEMA = ("row_index long, order_id string, user_id string, order_number string, "
+          "order_dow string, order_hour_of_day string, days_since_prior_order string, "
+          "eval_set string, products string")
+QUICK = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def frame(spark, rows):
+    """Raw orders of (order_id, user_id, products) in file order."""
+    return spark.createDataFrame([(i, o, u, "1", "0", "7", None, "prior", c) for i, (o, u, c) in enumerate(rows)], SCHEMA)
+
+
+def facts(raw):
+    orders = sorted((r.order_id, r.user_id) for r in build_fact_orders(raw).collect())
+    return orders, sorted((tuple(r) for r in build_fact_order_products(raw).drop("loaded_at").collect()), key=repr)
 
 
 # ----------------------------------------------------------------- generators
@@ -99,38 +49,44 @@ raw_rows = st.lists(st.tuples(order_key, st.sampled_from(["7", None, "8.0", "u"]
                     min_size=1, max_size=12)
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(raw_rows)
-def test_facts_match_python_model(spark, rows):
-    indexed = [(i, oid, uid, c) for i, (oid, uid, c) in enumerate(rows)]
-    schema = ("row_index long, order_id string, user_id string, order_number string, "
-              "order_dow string, order_hour_of_day string, days_since_prior_order string, "
-              "eval_set string, products string")
-    raw = spark.createDataFrame(
-        [(i, oid, uid, "1", "0", "7", None, "prior", c) for i, oid, uid, c in indexed], schema)
-    want_orders, want_products = model_facts(indexed)
-    got_orders = sorted((r.order_id, r.user_id) for r in build_fact_orders(raw).collect())
-    got_products = sorted(
-        (tuple(r) for r in build_fact_order_products(raw).drop("loaded_at").collect()), key=repr)
-    assert got_orders == want_orders
-    assert got_products == want_products
-
-
-# ----------------------------------------------------------------- envelopes
-def model_records(doc):
-    if isinstance(doc, list):
-        return doc
-    if isinstance(doc, dict):
-        return next((v for v in doc.values() if isinstance(v, list)), [doc])
-    return [doc]
-
-
-def model_scalar_text(v):
-    if v is None:
-        return None
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    return str(v)
+@QUICK
+@given(raw_rows, st.randoms())
+def test_keys_are_unique_and_arrival_order_does_not_matter(spark, rows, rnd):
+    raw = frame(spark, rows)
+    orders, products = facts(raw)
+    keys = [o for o, _ in orders]
+    assert len(keys) == len(set(keys)) and None not in keys
+    lines = [(p[0], p[1], p[5]) for p in products]
+    assert len(lines) == len(set(lines)) and all(k[0] is not None for k in lines)
+    shuffled = raw.collect()
+    rnd.shuffle(shuffled)
+    assert facts(spark.createDataFrame(shuffled, SCHEMA)) == (orders, products)
+
+
+@QUICK
+@given(st.lists(st.integers(0, 10**6), unique=True, max_size=6))
+def test_a_list_of_distinct_products_gives_a_row_each(spark, ids):
+    cell = json.dumps([{"product_id": i, "add_to_cart_order": k} for k, i in enumerate(ids)])
+    _, products = facts(frame(spark, [("1", "7", cell)]))
+    assert sorted(p[1] for p in products) == sorted(ids)
+
+
+@pytest.mark.parametrize("cell,want", [
+    (None, []), ("", []), ("  ", []), ("not json", []), ("5", []), ("{}", []), ("[]", []),
+    ('[1, null, "x"]', []),
+    ('[{"product_id": 3}]', [(1, 3, "", "", "", None, None)]),
+    ('[{"product_id": "4", "product_name": "tea", "aisle": null, "add_to_cart_order": 2.0, "reordered": true}]',
+     [(1, 4, "tea", "", "", 2, 1)]),
+    ('[{"product_id": 5, "add_to_cart_order": 1, "aisle": "a"}, {"product_id": 5, "add_to_cart_order": 1, "aisle": "b"}]',
+     [(1, 5, "", "a", "", 1, None)]),
+])
+def test_cells(spark, cell, want):
+    assert facts(frame(spark, [("1", "7", cell)]))[1] == want
+
+
+@pytest.mark.parametrize("text", ["1d", "1f", "2.0D", "2.0 F", "x", ""])
+def test_text_that_is_no_number(spark, text):
+    assert facts(frame(spark, [(text, "7", None), ("2", "8", None)]))[0] == [(2, 8)]
 
 
 record = st.fixed_dictionaries({}, optional={
@@ -148,27 +104,37 @@ document = st.one_of(
 )
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(document, min_size=1, max_size=4))
-def test_envelopes_match_python_model(spark, docs):
+def landed(spark, texts):
     from pyspark.sql import functions as F
     from cartwheel.sources.landing import envelope_records, record_columns, records_to_rows
-    texts = [(f"p{i}.json", json.dumps(d)) for i, d in enumerate(docs)]
     payloads = spark.createDataFrame(texts, "source_file string, text string").select(
         "source_file", "text", F.try_parse_json("text").alias("payload"))
     records = envelope_records(payloads)
     columns = dict(record_columns(records))
-    rows = records_to_rows(records, list(columns.items())).collect()
-
-    want = []
-    for name, text in texts:
-        for i, rec in enumerate(model_records(json.loads(text))):
-            oid = rec.get("order_id") if isinstance(rec, dict) else None
-            want.append((name, i, model_scalar_text(oid)))
-    got = [(r.source_file, r.row_index, r["order_id"] if "order_id" in columns else None)
-           for r in rows]
-    assert sorted(got, key=repr) == sorted(want, key=repr)
-    if "products" in columns:
-        assert columns["products"] is True or all(
-            not (isinstance(r, dict) and isinstance(r.get("products"), list))
-            for _, t in texts for r in model_records(json.loads(t)))
+    return columns, records_to_rows(records, list(columns.items())).collect()
+
+
+@QUICK
+@given(st.lists(document, min_size=1, max_size=4))
+def test_payloads_do_not_mix_and_places_count_up(spark, docs):
+    texts = [(f"p{i}.json", json.dumps(d)) for i, d in enumerate(docs)]
+    _, rows = landed(spark, texts)
+    places = {}
+    for r in rows:
+        places.setdefault(r.source_file, []).append(r.row_index)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    for i, doc in enumerate(docs):
+        if isinstance(doc, list):                    # a bare list is its records
+            assert len(places.get(f"p{i}.json", [])) == len(doc)
+
+
+@pytest.mark.parametrize("doc,ids", [
+    ([{"order_id": 1}, {"order_id": "2"}], ["1", "2"]),
+    ({"status": "ok", "orders": [{"order_id": 3}]}, ["3"]),
+    ({"order_id": 4}, ["4"]),
+    ([{"order_id": True}, {"order_id": None}], ["true", None]),
+    ([], []),
+])
+def test_envelopes(spark, doc, ids):
+    _, rows = landed(spark, [("p.json", json.dumps(doc))])
+    assert [r["order_id"] for r in sorted(rows, key=lambda r: r.row_index)] == ids
