@@ -20,14 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder for written intermediate tables: ``spark.checkpoint.dir`` of
     the session. Only a local session without it gets a scratch folder."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    path = tempfile.mkdtemp(prefix="cartwheel-llm-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cartwheel-llm-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
