@@ -19,6 +19,9 @@ any global order of tokens they share one among the first
   after each round entries whose sets are connected already drop out. What
   is left apart is then compared in full: sets outside an entry's largest
   component with those in other components.
+* Parities: each set has ``PARITY_BITS`` bits, the parities of its tokens by hash. Two sets
+  differ in at least as many tokens as in bits, so a candidate with more differing bits
+  than its sizes allow is no link; this never drops a link and is tested where candidates are made.
 * Verification: exact overlap of the two sets.
 
 Null or empty texts and texts without words have no set and link with nothing.
@@ -40,6 +43,7 @@ from cartwheel.llm.textkit import SPACE, U, chunks, mix, words
 
 CLASS_BITS = 18
 CLASSES = 1 << CLASS_BITS
+PARITY_BITS = 1024
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,6 +81,22 @@ def _shingles(data: np.ndarray, offs: np.ndarray, k: int):
     return doc[mine], mine, token, h, size
 
 
+def _parities(doc: np.ndarray, token: np.ndarray, n_docs: int) -> pa.ListArray:
+    """For each text the parities of its tokens, dealt by hash into ``PARITY_BITS`` places."""
+    width = PARITY_BITS // 64
+    place = (mix(token ^ U(0xA0761D6478BD642F)) % U(PARITY_BITS)).astype(np.int64)
+    bits = np.zeros(n_docs * width, U)
+    np.bitwise_xor.at(bits, doc * width + place // 64, U(1) << (place % 64).astype(U))
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(bits) + 1, width, dtype=np.int32)), pa.array(bits.view(np.int64)))
+
+
+def _possible(a: str, b: str, n: str, m: str, percent: int):
+    """Sizes ``n, m`` and parities ``a, b`` leave room for a link."""
+    apart = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(PARITY_BITS // 64)), F.lit(0))
+    near = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    return near & (apart * (100 + percent) <= (F.col(n) + F.col(m)) * (100 - percent))
+
+
 def _sets(k: int, percent: int, scores: np.ndarray | None):
     """Set hash, size and ordered prefix of each text; without scores the whole set."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,8 +123,9 @@ def _sets(k: int, percent: int, scores: np.ndarray | None):
                 names = list(batch.schema.names[:-1])
                 arrays = [c.slice(lo, hi - lo) for c in lead]
                 if scores is None:
-                    arrays += [pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)).astype(np.int32)), pa.array(token.view(np.int64)))]
-                    yield pa.RecordBatch.from_arrays(arrays, names=[*names, "tokens"])
+                    arrays += [pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)).astype(np.int32)), pa.array(token.view(np.int64))),
+                               _parities(doc, token, hi - lo)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=[*names, "tokens", "bits"])
                     continue
                 # an order-free hash of the set
                 total = np.zeros(hi - lo, U)
@@ -163,9 +184,9 @@ def _entries(docs: DataFrame, uniq: DataFrame, k: int, percent: int, frequent: i
     involved = uniq.join(found.select("sig").distinct(), "sig", "left_semi").select("sig", "at.did", "at.rk")
     # repeated rows go where the join has put them together: no further shuffle
     texts = docs.select("did", "rk", "text").join(involved, ["did", "rk"]).dropDuplicates(["did", "rk"]).select("sig", "text")
-    sets = materialize(texts.mapInArrow(_sets(k, percent, None), "sig long, tokens array<long>"), "whole_sets")
+    sets = materialize(texts.mapInArrow(_sets(k, percent, None), "sig long, tokens array<long>, bits array<long>"), "whole_sets")
     often = found.where(F.col("m") > frequent).select("sig").distinct()
-    many = materialize(sets.join(often, "sig", "left_semi").mapInArrow(_combinations(percent), "key long, sig long, n long"), "combinations")
+    many = materialize(sets.select("sig", "tokens").join(often, "sig", "left_semi").mapInArrow(_combinations(percent), "key long, sig long, n long"), "combinations")
     more = many.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     index = found.where(F.col("m") <= frequent).select("key", "sig", "n").unionByName(many.join(more, "key"))
     return materialize(index, "index"), sets
@@ -173,8 +194,10 @@ def _entries(docs: DataFrame, uniq: DataFrame, k: int, percent: int, frequent: i
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose sets are similar enough."""
-    left = sets.select(F.col("sig").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("sig").alias("b"), F.col("tokens").alias("tb"))
+    ends = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
+    used = materialize(sets.select("sig", "tokens").join(ends, "sig", "left_semi"), "paired_sets")
+    left = used.select(F.col("sig").alias("a"), F.col("tokens").alias("ta"))
+    right = used.select(F.col("sig").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
     ok = 100 * both >= percent * (F.size("ta") + F.size("tb") - both)
     return materialize(pairs.join(left, "a").join(right, "b").where(ok).select("a", "b"), "links")
@@ -189,6 +212,7 @@ def links(docs: DataFrame, k: int = 3, percent: int = 90, frequent: int = 64, ro
     uniq = materialize(rows.where("n > 0").groupBy("sig", "n").agg(
         F.min(F.struct("did", "rk")).alias("at"), F.first("prefix").alias("prefix")), "distinct_sets")
     index, sets = _entries(docs, uniq, k, percent, frequent)
+    bits = sets.select("sig", "bits")
     found, labels, tried = None, None, None
     for turn in range(rounds + 1):
         if labels is None:
@@ -204,15 +228,14 @@ def links(docs: DataFrame, k: int = 3, percent: int = 90, frequent: int = 64, ro
         if turn < rounds:
             order = F.xxhash64("sig", F.lit(turn))
             leader = at.groupBy("key").agg(F.min(F.struct(order.alias("o"), "sig", "n", "comp")).alias("l"))
-            pairs = at.join(leader, "key").where("comp <> l.comp").select(
-                F.least("sig", "l.sig").alias("a"), F.greatest("sig", "l.sig").alias("b"), F.least("n", "l.n").alias("small"), F.greatest("n", "l.n").alias("large"))
+            rest = leader.select("key", F.col("l.sig").alias("s"), F.col("l.n").alias("sn"), F.col("l.comp").alias("sc"))
         else:
             parts = at.groupBy("key", "comp").agg(F.count("*").alias("m"))
             main = parts.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("main"))
             rest = at.join(main, "key").where("comp <> main.comp").select("key", F.col("sig").alias("s"), F.col("n").alias("sn"), F.col("comp").alias("sc"))
-            pairs = at.join(rest, "key").where("comp <> sc").select(
-                F.least("sig", "s").alias("a"), F.greatest("sig", "s").alias("b"), F.least("n", "sn").alias("small"), F.greatest("n", "sn").alias("large"))
-        pairs = pairs.where(F.col("small") * 100 >= F.col("large") * percent).select("a", "b").distinct()
+        rest = rest.join(bits.select(F.col("sig").alias("s"), F.col("bits").alias("sb")), "s")
+        pairs = (at.join(bits, "sig").join(rest, "key").where("comp <> sc").where(_possible("bits", "sb", "n", "sn", percent))
+                 .select(F.least("sig", "s").alias("a"), F.greatest("sig", "s").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
