@@ -181,12 +181,12 @@ def _entries(docs: DataFrame, uniq: DataFrame, k: int, percent: int, frequent: i
     single = uniq.select("sig", "n", F.explode(F.slice("prefix", 1, own)).alias("key"))
     shared = materialize(single.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "shared_tokens")
     found = materialize(single.join(shared, "key"), "entries")
-    involved = uniq.join(found.select("sig").distinct(), "sig", "left_semi").select("sig", "at.did", "at.rk")
+    # which sets have a frequent token goes along with the texts: whole sets are not shuffled for it
+    involved = uniq.join(found.groupBy("sig").agg((F.max("m") > frequent).alias("often")), "sig").select("sig", "often", "at.did", "at.rk")
     # repeated rows go where the join has put them together: no further shuffle
-    texts = docs.select("did", "rk", "text").join(involved, ["did", "rk"]).dropDuplicates(["did", "rk"]).select("sig", "text")
-    sets = materialize(texts.mapInArrow(_sets(k, percent, None), "sig long, tokens array<long>, bits array<long>"), "whole_sets")
-    often = found.where(F.col("m") > frequent).select("sig").distinct()
-    many = materialize(sets.select("sig", "tokens").join(often, "sig", "left_semi").mapInArrow(_combinations(percent), "key long, sig long, n long"), "combinations")
+    texts = docs.select("did", "rk", "text").join(involved, ["did", "rk"]).dropDuplicates(["did", "rk"]).select("sig", "often", "text")
+    sets = materialize(texts.mapInArrow(_sets(k, percent, None), "sig long, often boolean, tokens array<long>, bits array<long>"), "whole_sets")
+    many = materialize(sets.where("often").select("sig", "tokens").mapInArrow(_combinations(percent), "key long, sig long, n long"), "combinations")
     more = many.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     index = found.where(F.col("m") <= frequent).select("key", "sig", "n").unionByName(many.join(more, "key"))
     return materialize(index, "index"), sets
