@@ -21,7 +21,8 @@ any global order of tokens they share one among the first
   component with those in other components.
 * Parities: each set has ``PARITY_BITS`` bits, the parities of its tokens by hash. Two sets
   differ in at least as many tokens as in bits, so a candidate with more differing bits
-  than its sizes allow is no link; this never drops a link and is tested where candidates are made.
+  than its sizes allow is no link; this never drops a link. Where candidates are made, the bits are tested folded
+  to ``FOLDED_BITS`` (parities of unions of places), which each index entry carries; pairs that pass are tested by all bits.
 * Verification: exact overlap of the two sets.
 
 Null or empty texts and texts without words have no set and link with nothing.
@@ -31,10 +32,11 @@ Tokens are 64-bit hashes of their words.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import attach, keyed, materialize, table
@@ -44,6 +46,7 @@ from cartwheel.llm.textkit import SPACE, U, chunks, mix, words
 CLASS_BITS = 18
 CLASSES = 1 << CLASS_BITS
 PARITY_BITS = 1024
+FOLDED_BITS = 256
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,9 +93,15 @@ def _parities(doc: np.ndarray, token: np.ndarray, n_docs: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, len(bits) + 1, width, dtype=np.int32)), pa.array(bits.view(np.int64)))
 
 
-def _possible(a: str, b: str, n: str, m: str, percent: int):
-    """Sizes ``n, m`` and parities ``a, b`` leave room for a link."""
-    apart = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(PARITY_BITS // 64)), F.lit(0))
+def _folded(bits: str):
+    """The parities of ``FOLDED_BITS`` places, each a union of places of ``bits``."""
+    width = FOLDED_BITS // 64
+    return F.array(*[reduce(Column.bitwiseXOR, [F.col(bits)[j] for j in range(i, PARITY_BITS // 64, width)]) for i in range(width)])
+
+
+def _possible(a: str, b: str, n: str, m: str, percent: int, bits: int):
+    """Sizes ``n, m`` and ``bits`` parities ``a, b`` leave room for a link."""
+    apart = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(bits // 64)), F.lit(0))
     near = F.least(n, m) * 100 >= F.greatest(n, m) * percent
     return near & (apart * (100 + percent) <= (F.col(n) + F.col(m)) * (100 - percent))
 
@@ -213,6 +222,7 @@ def links(docs: DataFrame, k: int = 3, percent: int = 90, frequent: int = 64, ro
         F.min(F.struct("did", "rk")).alias("at"), F.first("prefix").alias("prefix")), "distinct_sets")
     index, sets = _entries(docs, uniq, k, percent, frequent)
     bits = sets.select("sig", "bits")
+    folded = materialize(sets.select("sig", _folded("bits").alias("bits")), "folded")
     found, labels, tried = None, None, None
     for turn in range(rounds + 1):
         if labels is None:
@@ -233,12 +243,16 @@ def links(docs: DataFrame, k: int = 3, percent: int = 90, frequent: int = 64, ro
             parts = at.groupBy("key", "comp").agg(F.count("*").alias("m"))
             main = parts.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("main"))
             rest = at.join(main, "key").where("comp <> main.comp").select("key", F.col("sig").alias("s"), F.col("n").alias("sn"), F.col("comp").alias("sc"))
-        rest = rest.join(bits.select(F.col("sig").alias("s"), F.col("bits").alias("sb")), "s")
-        pairs = (at.join(bits, "sig").join(rest, "key").where("comp <> sc").where(_possible("bits", "sb", "n", "sn", percent))
-                 .select(F.least("sig", "s").alias("a"), F.greatest("sig", "s").alias("b")).distinct())
+        rest = rest.join(folded.select(F.col("sig").alias("s"), F.col("bits").alias("sb")), "s")
+        near = (at.join(folded, "sig").join(rest, "key").where("comp <> sc").where(_possible("bits", "sb", "n", "sn", percent, FOLDED_BITS))
+                .select(F.least("sig", "s").alias("a"), F.greatest("sig", "s").alias("b"),
+                        F.least("n", "sn").alias("n"), F.greatest("n", "sn").alias("m")).distinct())
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
+            near = near.join(tried, ["a", "b"], "left_anti")
+        near = materialize(near, "near_pairs")
+        pairs = materialize(near.join(bits.select(F.col("sig").alias("a"), F.col("bits").alias("ab")), "a")
+                            .join(bits.select(F.col("sig").alias("b"), F.col("bits").alias("bb")), "b")
+                            .where(_possible("ab", "bb", "n", "m", percent, PARITY_BITS)).select("a", "b"), "pairs")
         if pairs.isEmpty():
             if turn == rounds:
                 break
