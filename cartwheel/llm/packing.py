@@ -1,8 +1,10 @@
 """Packing into optimal length buckets.
 
-The global histogram of token counts (one row for each length, at most
-``bins``) goes to the driver; dynamic programming over it chooses the bucket
-boundaries that minimise the padding ``sum(boundary - length)``. Inside each
+The global histogram of token counts (one row for each length that occurs) goes
+to the driver; dynamic programming over it chooses the bucket boundaries that
+minimise the padding ``sum(boundary - length)``. No length is rounded: with n
+lengths a bucket more takes n log n steps, since a longer last length never has
+an earlier best start of its bucket. Inside each
 bucket, batches hold as many sequences as fit the token budget at the bucket's
 boundary. Batches are numbered inside chunks of a bucket, dealt by a hash of the
 row, so no group grows with the data: a bucket has as many chunks as its
@@ -20,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import materialize, table
+from cartwheel.llm.common import table
 
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 
@@ -30,26 +32,45 @@ def n_tokens(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(TOKEN)).cast("long")
 
 
+def _layer(before: np.ndarray, size: np.ndarray, mass: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each j the least ``before[i] + cost(i..j)`` over i <= j, and the first such i. These
+    never fall as j rises, so the j halfway between two known ones searches only between theirs."""
+    n = len(size)
+    least, pick = np.empty_like(before), np.zeros(n, np.int64)
+    step = 1 << (n - 1).bit_length()
+    while step:
+        j = np.arange(step - 1, n, 2 * step)
+        lo = np.where(j >= step, pick[np.maximum(j - step, 0)], 0)
+        hi = np.minimum(np.where(j + step < n, pick[np.minimum(j + step, n - 1)], n - 1), j)
+        many = hi - lo + 1
+        first = np.cumsum(many) - many
+        i = np.arange(int(many.sum())) + np.repeat(lo - first, many)
+        at = np.repeat(j, many)
+        total = before[i] + size[at] * (mass[at + 1] - mass[i]) - (weight[at + 1] - weight[i])
+        least[j] = np.minimum.reduceat(total, first) if len(j) else 0
+        hit = np.flatnonzero(total == np.repeat(least[j], many))
+        pick[j] = i[hit[np.searchsorted(hit, first)]] if len(j) else 0
+        step //= 2
+    return least, pick
+
+
 def optimal_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """The at most ``buckets`` upper bounds, each one of ``lengths`` (ascending),
     with the least total padding; the last is the greatest length."""
     n = len(lengths)
     if not n:
         return []
-    mass = np.concatenate([[0], np.cumsum(counts, dtype=np.float64)])
-    weight = np.concatenate([[0], np.cumsum(counts * lengths.astype(np.float64))])
+    # whole numbers as long as the greatest product fits
+    kind = np.int64 if int(lengths[-1]) * sum(map(int, counts)) < 1 << 62 else np.float64
+    size, counts = lengths.astype(kind), counts.astype(kind)
+    mass = np.concatenate([[0], np.cumsum(counts)]).astype(kind)
+    weight = np.concatenate([[0], np.cumsum(counts * size)]).astype(kind)
     # cost[j] over i: lengths i..j in one bucket, padded to lengths[j]
-    best = lengths * mass[1:] - weight[1:]
+    best = size * mass[1:] - weight[1:]
     choice = []
     for _ in range(1, min(buckets, n)):
-        nxt, pick = np.empty(n), np.empty(n, np.int64)
-        before = np.concatenate([[0.0], best[:-1]])
-        for j in range(n):
-            total = before[:j + 1] + lengths[j] * (mass[j + 1] - mass[:j + 1]) - (weight[j + 1] - weight[:j + 1])
-            pick[j] = int(np.argmin(total))
-            nxt[j] = total[pick[j]]
+        best, pick = _layer(np.concatenate([best[:1] * 0, best[:-1]]), size, mass, weight)
         choice.append(pick)
-        best = nxt
     bounds, j = [], n - 1
     for pick in reversed(choice):
         bounds.append(int(lengths[j]))
@@ -60,18 +81,13 @@ def optimal_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) ->
     return bounds[::-1]
 
 
-def pack(docs: DataFrame, buckets: int = 16, budget: int = 65536, bins: int = 2048, chunk_rows: int = 2048,
+def pack(docs: DataFrame, buckets: int = 16, budget: int = 65536, chunk_rows: int = 2048,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` beside ``n_tokens, bucket, boundary, batch, slot`` (null-free; a
-    column of the input with such a name is replaced). With more than ``bins``
-    distinct lengths, boundaries are multiples of a step that leaves ``bins`` of them."""
+    column of the input with such a name is replaced)."""
     sized = docs.withColumn("n_tokens", n_tokens(F.col(text_col)))
-    lengths = materialize(sized.groupBy("n_tokens").agg(F.count("*").alias("n")), "lengths")
-    longest = lengths.agg(F.max("n_tokens"), F.count("*")).first()
-    step = 1 if (longest[1] or 0) <= bins else -(-longest[0] // (bins - 1))
-    up = (F.ceil(F.col("n_tokens") / F.lit(step)) * step).cast("long")
-    histogram = lengths.groupBy(up.alias("length")).agg(F.sum("n").alias("n")).orderBy("length").collect()
-    size = np.array([r["length"] for r in histogram], np.int64)
+    histogram = sized.groupBy("n_tokens").agg(F.count("*").alias("n")).orderBy("n_tokens").collect()
+    size = np.array([r["n_tokens"] for r in histogram], np.int64)
     count = np.array([r["n"] for r in histogram], np.int64)
     bounds = optimal_boundaries(size, count, buckets)
     per_bucket = np.bincount(np.searchsorted(bounds, size), weights=count, minlength=len(bounds)) if len(size) else []

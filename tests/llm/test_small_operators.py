@@ -35,6 +35,37 @@ def test_boundaries_are_optimal():
         assert len(got) <= most and cost(got) == best
 
 
+def least_padding(lengths, counts, buckets):
+    """Plain dynamic programming over every length."""
+    mass, weight = np.append(0, np.cumsum(counts)), np.append(0, np.cumsum(counts * lengths))
+    best = lengths * mass[1:] - weight[1:]
+    for _ in range(1, buckets):
+        before = np.append(0, best[:-1])
+        best = np.array([(before[:j + 1] + lengths[j] * (mass[j + 1] - mass[:j + 1]) - weight[j + 1] + weight[:j + 1]).min() for j in range(len(lengths))])
+    return int(best[-1])
+
+
+def test_boundaries_of_many_lengths_are_optimal():
+    for seed in range(12):
+        rng = np.random.default_rng(seed)
+        lengths = np.unique(rng.integers(0, [600, 10**6][seed % 2], 400 + seed))
+        counts = rng.integers(1, [3, 10**5][seed % 3 // 2], len(lengths))
+        for buckets in (2, 7):
+            bounds = np.array(optimal_boundaries(lengths, counts, buckets))
+            assert ((bounds[np.searchsorted(bounds, lengths)] - lengths) * counts).sum() == least_padding(lengths, counts, buckets)
+    lengths = np.unique(np.random.default_rng(1).integers(0, 10**7, 10**5))
+    assert len(optimal_boundaries(lengths, np.ones(len(lengths), np.int64), 16)) == 16
+
+
+def test_packing_with_many_lengths_and_one_long_text(spark):
+    sizes = [*range(1, 2101), *[5] * 300, 100_000]
+    docs = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "doc_id long, n int").selectExpr("doc_id", "repeat('w ', n) AS text")
+    out = pack(docs, buckets=4).select("n_tokens", "boundary").toPandas()
+    lengths, counts = np.unique(sizes, return_counts=True)
+    assert sorted(out.n_tokens) == sorted(sizes) and set(out.boundary) <= set(sizes)
+    assert (out.boundary - out.n_tokens).sum() == least_padding(lengths, counts, 4)
+
+
 def test_packing_keeps_every_row_within_the_budget(docs_of):
     rows = [(i, "w " * (i % 40)) for i in range(200)] + [(None, None), (1, "w " * 500), (1, "w " * 500)]
     out = pack(docs_of(rows), buckets=4, budget=100, chunk_rows=16).toPandas()
