@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import attach, keyed, materialize, table
+from cartwheel.llm.common import attach, keyed, materialize, table, with_key
 from cartwheel.llm.components import components
 from cartwheel.llm.textkit import SPACE, U, chunks, mix, words
 
@@ -282,11 +282,19 @@ def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates; identical rows are one."""
+    """``docs`` with one row of each group of near duplicates. Rows equal in id and text,
+    null ids and texts without words included, are one: of them the least by all columns stays."""
     groups = jaccard_groups(keyed(docs), k, percent)
-    gone = materialize(groups.where("keeper.did <> did or keeper.rk <> rk").select("did", "rk").distinct(), "near_copies")
-    left = attach(docs, gone.withColumn("gone", F.lit(True)), "left").where("__info is null").drop("__info")
-    return left
+    # equal rows have one keeper; they are counted before the shuffle, so a row with many copies is no hot key
+    marks = groups.groupBy("did", "rk").agg(F.max(F.expr("keeper.did <> did or keeper.rk <> rk")).alias("gone"), F.count("*").alias("m"))
+    marks = materialize(marks.where("gone or m > 1").select("did", "rk", "gone"), "near_copies")
+    left = attach(docs, marks, "left").where("__info is null").drop("__info")
+    again = materialize(marks.where("not gone"), "repeated_rows")
+    if again.isEmpty():
+        return left
+    copies = with_key(attach(docs, again, "inner").drop("__info"))
+    one = copies.groupBy("__did", "__rk").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return left.unionByName(one.select("row.*"))
 
 
 def op3_jaccard_components(spark, sf_dir: str) -> DataFrame:
