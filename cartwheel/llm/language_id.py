@@ -5,7 +5,7 @@ For each page the posterior of a language is the product of
 * the likelihood of its visible text: hashed byte trigrams, learnt from a bounded
   sample of the ``documents`` table (``per_language`` rows of each language, least hashes
   first), with the evidence of a long text saturating, since its trigrams are not independent;
-* the likelihood of the language that its markup declares, and of the suffix of its
+* the likelihood of the language that its markup declares (anywhere in the html), and of the suffix of its
   address: tables over all pages, each page weighted by its text posterior;
 * the prior of its host: counts of the host's other pages, smoothed towards its site
   (the last two labels), smoothed towards the site's other hosts and all pages. The page itself is
@@ -33,7 +33,16 @@ from cartwheel.llm.textkit import LOWER, U, chunks, mix
 CLASSES = 1 << 14
 MOST_LANGUAGES = 64
 _HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
-_DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})", re.I)
+_ROOT = re.compile(r"<html\b[^>]*", re.I)
+_DECLARED = re.compile(r"\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})", re.I)
+
+
+def _declared(html: str) -> str:
+    """The language of the first html tag that names one, wherever it is; '' without one."""
+    for tag in _ROOT.finditer(html):
+        if found := _DECLARED.search(html, tag.start(), tag.end()):
+            return found.group(1).lower()[:2]
+    return ""
 
 
 def _trigrams(data: np.ndarray, offs: np.ndarray):
@@ -86,7 +95,7 @@ def _evidence(table_: np.ndarray, saturation: float):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             html = [h or "" for h in batch.column(2).to_pylist()]
-            found = [_DECLARED.search(h[:4096]) for h in html]
+            declared = [_declared(h) for h in html]
             visible = pa.array([_HIDDEN.sub(" ", h) for h in html], pa.large_string())
             for lo, hi, data, offs in chunks(visible):
                 doc, cls = _trigrams(data, offs)
@@ -97,7 +106,7 @@ def _evidence(table_: np.ndarray, saturation: float):
                 size = score.shape[1]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
-                     pa.array([(m.group(1).lower()[:2] if m else "") for m in found[lo:hi]], pa.string()),
+                     pa.array(declared[lo:hi], pa.string()),
                      pa.ListArray.from_arrays(pa.array(np.arange(0, score.size + 1, size, dtype=np.int32)), pa.array(score.ravel()))],
                     names=["page_id", "url", "declared", "text"])
     return rows

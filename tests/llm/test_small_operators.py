@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from cartwheel.llm.decontamination import find_windows
-from cartwheel.llm.language_id import identify
+from cartwheel.llm.language_id import _declared, identify
 from cartwheel.llm.packing import optimal_boundaries, pack
 from cartwheel.llm.pivot_index import near_duplicates
 from cartwheel.llm.registry import ORACLE_SQL, QUERIES
@@ -116,3 +116,13 @@ def test_languages(spark):
     pages = [(r.doc_id, f"http://h.example.org/{r.doc_id}", f"<html><body><p>{r.text}</p></body></html>") for r in known]
     out = {r.page_id: r.lang for r in identify(spark.createDataFrame([*pages, (-1, None, None)], "page_id long, url string, html string"), docs).collect()}
     assert len(out) == len(pages) + 1 and sum(out[r.doc_id] == r.lang for r in known) >= 0.9 * len(known)
+
+
+def test_declared_language_after_long_leading_markup(spark):
+    lead = "<!-- licence -->\n" * 1000
+    assert _declared(f"{lead}<HTML class='x'\n LANG = 'De-AT'>") == "de" and _declared("<html><p lang=fr><html lang=en>") == "en"
+    assert _declared("") == _declared("<htmlx lang=en>") == _declared("<html " * 50_000) == ""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    pages = [(i, f"http://h{i}.example.org/", f"{lead * (i % 2)}<html lang=de><p>x</p></html>") for i in range(4)]
+    out = identify(spark.createDataFrame(pages, "page_id long, url string, html string"), docs).collect()
+    assert [r.declared for r in out] == ["de"] * 4
