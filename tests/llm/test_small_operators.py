@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from cartwheel.llm.decontamination import find_windows
-from cartwheel.llm.language_id import _declared, identify
+from cartwheel.llm.language_id import _declared, identify, learn_text
 from cartwheel.llm.packing import optimal_boundaries, pack
 from cartwheel.llm.pivot_index import near_duplicates
 from cartwheel.llm.registry import ORACLE_SQL, QUERIES
@@ -126,3 +126,19 @@ def test_declared_language_after_long_leading_markup(spark):
     pages = [(i, f"http://h{i}.example.org/", f"{lead * (i % 2)}<html lang=de><p>x</p></html>") for i in range(4)]
     out = identify(spark.createDataFrame(pages, "page_id long, url string, html string"), docs).collect()
     assert [r.declared for r in out] == ["de"] * 4
+
+
+def test_every_label_is_a_language(spark):
+    rng = np.random.default_rng(2)
+    said = {f"l{i:02}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)] for i in range(70)}
+    text = lambda lang, n: " ".join(rng.choice(said[lang], n))
+    docs = [(None if i % 2 else i, lang, text(lang, 60)) for i, lang in enumerate([*said, *list(said)[:66]])]
+    docs += [(1000, "l00", docs[0][2])] * 20                     # more rows than the sample, all equal
+    pages = [(i, f"http://h{i}.example.org/", f"<html><p>{text(lang, 60)}</p></html>") for i, lang in enumerate(said)]
+    docs = spark.createDataFrame(docs, "doc_id long, lang string, text string")
+    pages = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(2)
+    for per_language in (500, 1):
+        languages, model = learn_text(docs, per_language)
+        assert languages == sorted(said) and (np.diff(model.first) > 0).all()
+    got = {r.page_id: (r.lang, r.text_lang) for r in identify(pages, docs).collect()}
+    assert got == {i: (lang, lang) for i, lang in enumerate(said)}
