@@ -19,7 +19,8 @@ of the others. The benchmark is read in blocks of ``block_items`` items; each bl
 is a bounded broadcast and one pass, so a benchmark of any size can be searched.
 
 Null texts have no words and are never hit; items without words match nothing;
-equal windows of several items count for each of them.
+equal windows of several items count for each of them. Items without an id are searched like
+others and are together one item: a null in ``items``, which counts in ``n_items`` and is left out of the hash.
 """
 
 from __future__ import annotations
@@ -177,7 +178,7 @@ def _hits(items: list[tuple[str, str]], window: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(did[lo:hi]), pa.array(rk[lo:hi]), batch.column(3).slice(lo, hi - lo), pa.array(n_words.astype(np.int64)),
                      pa.array(hit_words, pa.list_(pa.int32())),
-                     pa.array([sorted(found.get(d, ())) for d in range(hi - lo)], pa.list_(pa.string()))],
+                     pa.array([sorted(found.get(d, ()), key=lambda x: (x is not None, x)) for d in range(hi - lo)], pa.list_(pa.string()))],
                     names=["did", "rk", "id", "n_words", "words", "items"])
     return rows
 
@@ -190,7 +191,7 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_
     tables are the only thing sent to every task."""
     rows = keyed(docs, id_col, text_col)
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
-    items = items.where("item is not null and text is not null").distinct()
+    items = items.where("text is not null").distinct()
     n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     out = None
     blocks = max(1, -(-n // block_items), -(-size // block_bytes))

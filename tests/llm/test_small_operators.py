@@ -2,10 +2,11 @@
 
 import itertools
 
+import duckdb
 import numpy as np
 import pytest
 
-from cartwheel.llm.decontamination import find_windows
+from cartwheel.llm.decontamination import OP7_SQL, find_windows, op7_benchmark_windows, remove_contaminated
 from cartwheel.llm.language_id import _declared, identify, learn_text
 from cartwheel.llm.packing import optimal_boundaries, pack
 from cartwheel.llm.pivot_index import near_duplicates
@@ -142,3 +143,21 @@ def test_every_label_is_a_language(spark):
         assert languages == sorted(said) and (np.diff(model.first) > 0).all()
     got = {r.page_id: (r.lang, r.text_lang) for r in identify(pages, docs).collect()}
     assert got == {i: (lang, lang) for i, lang in enumerate(said)}
+
+
+def test_benchmark_rows_without_id_are_searched(spark, docs_of, tmp_path):
+    sf = str(tmp_path)
+    bench = spark.createDataFrame([(None, "one two"), (None, "six"), ("b", "two three"), ("a", "two three"), (None, None)], "item_id string, text string")
+    docs = docs_of([(1, "zero one two"), (2, "one two three"), (3, "five"), (4, "six one two"), (5, None)])
+    docs.coalesce(1).write.parquet(f"{sf}/documents.parquet")
+    bench.coalesce(1).write.parquet(f"{sf}/benchmark.parquet")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in op7_benchmark_windows(spark, sf).collect()}
+    assert got == {1: (2, 1, True), 2: (3, 3, True), 3: (0, 0, False), 4: (3, 1, True), 5: (0, 0, False)}
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf}/{name}.parquet/*.parquet')")
+    ok, message = compare(op7_benchmark_windows(spark, sf), con, OP7_SQL)
+    assert ok, message
+    split = {r.id: set(r["items"]) for r in find_windows(docs, bench, block_items=1).collect()}
+    assert split == {1: {None}, 2: {None, "a", "b"}, 3: set(), 4: {None}, 5: set()}
+    assert sorted(r.doc_id for r in remove_contaminated(docs, bench).collect()) == [3, 5]
