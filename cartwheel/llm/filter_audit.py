@@ -46,8 +46,11 @@ CAPITALS = bytes(range(0x41, 0x5B))
 E = 1 << FILTERS.index("E")
 HELD = 50_000
 
-_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STREAM_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Many small stores: what each sets aside ahead would be more than it holds.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def fails(text: str) -> int:
@@ -190,13 +193,15 @@ def failure_histogram(spark: SparkSession, path: str, labels: DataFrame, batches
         (changed.groupBy("part", "mask", "quality", "toxic").agg(F.sum("n").alias("n")).where("n <> 0")
          .write.mode("overwrite").parquet(f"{counters}/batch={batch}"))
 
-    before = spark.conf.get(_STORE)
-    spark.conf.set(_STORE, _ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in _STREAM_CONF}
+    for key, value in _STREAM_CONF.items():
+        spark.conf.set(key, value)
     try:
         query = (changes.writeStream.foreachBatch(write).outputMode("append").trigger(availableNow=True)
                  .option("checkpointLocation", new_path(spark, "stream")).start())
     finally:
-        spark.conf.set(_STORE, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     query.awaitTermination()
     return (spark.read.schema(_CHANGE).parquet(counters).groupBy("part", "mask", "quality", "toxic")
             .agg(F.sum("n").alias("n")).where("n <> 0"))
