@@ -62,11 +62,12 @@ def _provenance(df: DataFrame) -> tuple[list[str], list[str]]:
     return keys, rank
 
 
-def build_fact_orders(raw: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
+def coerce_orders(raw: DataFrame) -> DataFrame:
+    """The typed order columns beside file and row position; rows without an order id go here,
+    which keeps the NULL group (the only unbounded key) out of the shuffle that follows."""
     require_columns(raw, ORDER_COLUMNS, "fact_orders")
     dtypes = {f.name: f.dataType for f in raw.schema.fields}
     file_keys, rank = _provenance(raw)
-
     coerced = raw.select(
         *file_keys, *rank,
         to_long(F.col("order_id"), dtypes["order_id"]).alias("order_id"),
@@ -78,9 +79,12 @@ def build_fact_orders(raw: DataFrame, loaded_at: datetime | None = None) -> Data
         .alias("days_since_prior_order"),
         to_text(F.col("eval_set"), dtypes["eval_set"]).alias("eval_set"),
     )
-    # A NULL order_id row is dropped later in any case; dropping it before the
-    # shuffle keeps the NULL group (the only unbounded key) out of it.
-    coerced = coerced.where(F.col("order_id").isNotNull())
+    return coerced.where(F.col("order_id").isNotNull())
+
+
+def first_orders(coerced: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
+    """``fact_orders`` from coerced rows: the first of each order and file, with a user."""
+    file_keys, rank = _provenance(coerced)
     payload = [c for c in ORDER_COLUMNS if c != "order_id"]
     first = keep_first(coerced, [*file_keys, "order_id"], rank, payload)
     return (
@@ -89,6 +93,10 @@ def build_fact_orders(raw: DataFrame, loaded_at: datetime | None = None) -> Data
     )
 
 
+def build_fact_orders(raw: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
+    return first_orders(coerce_orders(raw), loaded_at)
+
+
 NUMERIC_ORDER_COLUMNS = [c for c in ORDER_COLUMNS if c != "eval_set"]
 
 
@@ -110,18 +118,28 @@ def empty_fact_order_products(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], nullable(FACT_ORDER_PRODUCTS))
 
 
-def build_fact_order_products(raw: DataFrame,
-                              loaded_at: datetime | None = None) -> DataFrame:
+def flatten_products(raw: DataFrame) -> DataFrame:
+    """The typed product rows beside file, row and list position (a frame with a product column)."""
     require_columns(raw, ["order_id"], "fact_order_products")
-    if PRODUCTS_COLUMN not in raw.columns:
-        return empty_fact_order_products(raw.sparkSession)
     dtypes = {f.name: f.dataType for f in raw.schema.fields}
     file_keys, rank = _provenance(raw)
-
     carry = [F.col(c) for c in (*file_keys, *rank)]
     carry.append(to_long(F.col("order_id"), dtypes["order_id"]).alias("order_id"))
-    rows = explode_products(raw, carry).where(F.col("order_id").isNotNull())
+    return explode_products(raw, carry).where(F.col("order_id").isNotNull())
+
+
+def first_products(rows: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
+    """``fact_order_products`` from flattened rows: the first of each product line and file."""
+    file_keys, rank = _provenance(rows)
     payload = [c for c in FACT_ORDER_PRODUCTS_COLUMNS if c not in (*PRODUCT_KEY, "loaded_at")]
     first = keep_first(rows, [*file_keys, *PRODUCT_KEY], [*rank, "pos"], payload)
     return first.select(*FACT_ORDER_PRODUCTS_COLUMNS[:-1],
                         loaded_at_literal(loaded_at).alias("loaded_at"))
+
+
+def build_fact_order_products(raw: DataFrame,
+                              loaded_at: datetime | None = None) -> DataFrame:
+    require_columns(raw, ["order_id"], "fact_order_products")
+    if PRODUCTS_COLUMN not in raw.columns:
+        return empty_fact_order_products(raw.sparkSession)
+    return first_products(flatten_products(raw), loaded_at)

@@ -24,8 +24,11 @@ parallel.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from cartwheel.sources import storage
 from cartwheel.schemas import ORDER_COLUMNS, PRODUCTS_COLUMN, ROW_BLOCK, ROW_INDEX, SOURCE_FILE
 
 SCALAR_RECORD_COLUMN = "0"
@@ -37,7 +40,7 @@ class PayloadError(ValueError):
     """A payload file is not valid JSON."""
 
 
-def read_payloads(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+def read_payloads(spark: SparkSession, path: str | list[str], glob: str = "*.json") -> DataFrame:
     """One row per payload file: source_file, text, payload (VARIANT, NULL if unparseable)."""
     text = (
         spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path)
@@ -46,7 +49,7 @@ def read_payloads(spark: SparkSession, path: str, glob: str = "*.json") -> DataF
     return text.select(SOURCE_FILE, "text", F.try_parse_json("text").alias("payload"))
 
 
-def read_record_lines(spark: SparkSession, path: str, glob: str = "*.jsonl") -> DataFrame:
+def read_record_lines(spark: SparkSession, path: str | list[str], glob: str = "*.jsonl") -> DataFrame:
     """JSON Lines files: one record per non-blank line, read in parallel splits.
 
     source_file, row_block, row_index, text, record (VARIANT, NULL if the line
@@ -158,86 +161,120 @@ def records_to_rows(records: DataFrame, columns: list[tuple[str, bool]]) -> Data
     return records.select(*out)
 
 
-# Above this many candidate payload files the name filter is not pushed down
-# (a very long IN list costs more to evaluate than it saves).
-_PUSHDOWN_LIMIT = 10_000
+LEDGER = "_ledger"
+STAGING = "_staging"
+# Files of a landing are named by its number: with the ledger's list of them, a reader
+# can tell whether all are there.
+LANDED_NAME = r"^landing-([0-9]+)-"
+_MANIFEST = "attempt string, files array<string>, staged array<string>, rows bigint"
 
 
-def _spellings(paths: list[str]) -> list[str]:
-    """The file listing spells local paths ``file:///x``; file metadata spells
-    them ``file:/x``. Other schemes are spelled the same way by both."""
-    out = set(paths)
-    for p in paths:
-        if p.startswith("file:///"):
-            out.add("file:/" + p[len("file:///"):])
-    return sorted(out)
+def committed(spark: SparkSession, landing_dir: str) -> list[int]:
+    """Numbers of the committed landings, ascending."""
+    return sorted(int(name[:-5]) for name, _ in storage.names(spark, f"{landing_dir}/{LEDGER}")
+                  if name.endswith(".json") and name[:-5].isdigit())
 
 
-def landed_sources(spark: SparkSession, *folders: str | None,
-                   candidates: list[str] | None = None) -> DataFrame | None:
-    """Distinct ``source_file`` values already landed in ``folders`` (the
-    landing folder and, recursively, its archive); None when there are none.
+def manifests(spark: SparkSession, landing_dir: str) -> DataFrame:
+    """One row for each committed landing: ``number, attempt, files, staged, rows``."""
+    if not committed(spark, landing_dir):
+        return spark.createDataFrame([], f"number long, {_MANIFEST}")
+    return (spark.read.schema(_MANIFEST).json(f"{storage.plain(landing_dir)}/{LEDGER}/*.json")
+            .withColumn("number", F.regexp_extract(F.col("_metadata.file_name"), "^([0-9]+)", 1).cast("long")))
 
-    ``candidates`` (this run's payload files) are pushed into the scan: every
-    landing file holds one payload's rows, so its row groups have one
-    ``source_file`` value and Parquet skips unrelated files from their footer
-    statistics — the check costs footers, not the landing history's rows.
-    """
-    found = None
-    for folder in folders:
-        if not folder:
-            continue
-        try:
-            df = (spark.read.option("recursiveFileLookup", True)
-                  .option("pathGlobFilter", "*.parquet").parquet(folder))
-        except Exception:   # folder missing or empty
-            continue
-        if SOURCE_FILE not in df.columns:
-            continue
-        names = df.select(SOURCE_FILE)
-        if candidates is not None and len(candidates) <= _PUSHDOWN_LIMIT:
-            names = names.where(F.col(SOURCE_FILE).isin(_spellings(candidates)))
-        names = names.distinct()
-        found = names if found is None else found.unionByName(names).distinct()
-    return found
+
+def finish_landings(spark: SparkSession, landing_dir: str) -> int:
+    """Move what committed landings have left in staging to its place; returns the number of files.
+    A landing that died after its commit is finished by this, one that died before has left nothing
+    that anybody reads."""
+    staging, moved = f"{landing_dir}/{STAGING}", 0
+    attempts = [name for name, _ in storage.names(spark, staging)]
+    if not attempts:
+        return 0
+    for m in manifests(spark, landing_dir).where(F.col("attempt").isin(attempts)).orderBy("number").collect():
+        left = {name for name, _ in storage.names(spark, f"{staging}/{m.attempt}")}
+        for name, source in zip(m.files, m.staged):
+            if source in left:
+                storage.rename_new(spark, f"{staging}/{m.attempt}/{source}", f"{landing_dir}/{name}")
+                moved += 1
+        storage.delete(spark, f"{staging}/{m.attempt}")
+    return moved
+
+
+def new_payloads(spark: SparkSession, payload_dir: str, landing_dir: str, glob: str) -> DataFrame:
+    """Payload files that no committed landing has taken: ``path, modified, bytes``.
+    The same name with another time or length is a new payload."""
+    found = storage.listing(spark, payload_dir, glob)
+    taken = [f"{landing_dir}/{LEDGER}/payloads/{r.attempt}" for r in manifests(spark, landing_dir).select("attempt").collect()]
+    if not taken:
+        return found
+    return found.join(spark.read.schema(found.schema).parquet(*taken), found.columns, "left_anti")
 
 
 def land_payloads(spark: SparkSession, payload_dir: str, landing_dir: str,
                   glob: str | None = None,
                   columns: list[tuple[str, bool]] | None = None,
                   lines: bool = False, archive_dir: str | None = None) -> int:
-    """Read every payload file not landed before, normalise it and append the
-    rows to ``landing_dir``.
+    """Read every payload file not landed before, normalise it and add the
+    rows to ``landing_dir``. Returns the number of rows landed.
 
     ``lines=False``: each file is one JSON document in any envelope (the
     source's API response). ``lines=True``: JSON Lines, one record per line,
     which Spark splits across tasks — the form to use for large landings.
     ``columns`` declares the landing schema (e.g. ``CONTRACT_COLUMNS``); when
     omitted it is inferred from the records, like the source does: a column
-    for every key any record has. Payload files whose name is already
-    recorded in the landing folder (or its archive) are skipped, so a re-run
-    lands nothing twice. Returns the number of rows landed. An unparseable
-    payload (or line) fails the whole call before anything is written.
+    for every key any record has. An unparseable payload (or line) fails the whole
+    call before anything is written. ``archive_dir`` is not looked at: the ledger knows
+    what has landed, wherever the landed files are.
+
+    Each payload, known by path, modification time and length, lands exactly once.
+    The rows are staged and the payloads noted, both under the attempt's own name. The
+    landing's manifest, which names them, is then given the next free number by one rename:
+    that is the commit. Moving the staged files to their place can be repeated
+    (``finish_landings``, at the beginning of the next call), and the ingest admits a landing only
+    when all its files are there. Where another call has taken the number first, this
+    one starts over and lands what the other has not.
     """
+    finish_landings(spark, landing_dir)
+    while True:
+        number = max(committed(spark, landing_dir), default=-1) + 1
+        # Names, times and lengths of the new files, noted before they are read: one that is
+        # replaced meanwhile counts as new the next time.
+        new = new_payloads(spark, payload_dir, landing_dir, glob or ("*.jsonl" if lines else "*.json")).collect()
+        if not new:
+            return 0
+        try:
+            return _land(spark, new, landing_dir, number, columns, lines)
+        except storage.Taken:
+            finish_landings(spark, landing_dir)
+
+
+def _land(spark: SparkSession, new: list, landing_dir: str, number: int,
+          columns: list[tuple[str, bool]] | None, lines: bool) -> int:
+    paths = [storage.plain(r.path) for r in new]
     if lines:
-        source = read_record_lines(spark, payload_dir, glob or "*.jsonl")
-        bad_rows = source.where(F.col("record").isNull())
+        records = read_record_lines(spark, paths, "*")
+        bad_rows = records.where(F.col("record").isNull())
     else:
-        source = read_payloads(spark, payload_dir, glob or "*.json")
-        bad_rows = source.where(F.col("payload").isNull())
-    done = landed_sources(spark, landing_dir, archive_dir, candidates=source.inputFiles())
-    if done is not None:
-        source = source.join(done, SOURCE_FILE, "left_anti")
-        bad_rows = bad_rows.join(done, SOURCE_FILE, "left_anti")
+        payloads = read_payloads(spark, paths, "*")
+        bad_rows = payloads.where(F.col("payload").isNull())
+        records = envelope_records(payloads)
     bad = bad_rows.select(SOURCE_FILE).limit(5).collect()
     if bad:
         raise PayloadError(f"payload is not valid JSON: {[r[SOURCE_FILE] for r in bad]}")
-    records = source if lines else envelope_records(source)
     if columns is None:
         columns = record_columns(records)
-    if not columns:
-        return 0
-    rows = records_to_rows(records, columns)
-    landed = Observation("landed")
-    rows.observe(landed, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(landing_dir)
-    return int(landed.get["rows"])
+    attempt = uuid.uuid4().hex
+    staged, rows = f"{landing_dir}/{STAGING}/{attempt}", 0
+    if columns:
+        landed = Observation("landed")
+        records_to_rows(records, columns).observe(landed, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
+        rows = int(landed.get["rows"])
+    sources = [name for name, _ in storage.names(spark, staged) if name.endswith(".parquet")] if rows else []
+    spark.createDataFrame(new, storage.LISTED).write.parquet(
+        f"{landing_dir}/{LEDGER}/payloads/{attempt}")
+    storage.write_new(spark, f"{landing_dir}/{LEDGER}/{number}.json", {
+        "attempt": attempt, "files": [f"landing-{number}-{k:05d}.parquet" for k in range(len(sources))],
+        "staged": sources, "rows": rows})
+    finish_landings(spark, landing_dir)
+    return rows

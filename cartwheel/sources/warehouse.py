@@ -1,10 +1,11 @@
 """The fact-table warehouse: Parquet tables under one root path.
 
-``<root>/fact_orders`` and ``<root>/fact_order_products``, both partitioned
-by ``batch_id`` (the ingest micro-batch), so that a replayed batch
-overwrites exactly its own partition. Within a batch every file is sorted
-by the table's sort key (``order_id``, then ``product_name``), which gives
-Parquet row groups tight min/max ranges on ``order_id`` for pruning.
+``<root>/fact_orders`` and ``<root>/fact_order_products`` hold one folder for each
+written batch. Which of them are live, in both tables at once, is said by the newest
+snapshot (``snapshots``), and every reader reads a snapshot. Within a batch every
+file is sorted by the table's sort key (``order_id``, then ``product_name``), which
+gives Parquet row groups tight min/max ranges on ``order_id`` for pruning; ``compact``
+merges small batches into ranges of order ids.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from cartwheel.schemas import FACT_ORDER_PRODUCTS, FACT_ORDERS, nullable
+from cartwheel.sources import snapshots, storage
+from cartwheel.sources.snapshots import Batch, Snapshot
 
 BATCH_COLUMN = "batch_id"
 FACT_ORDERS_TABLE = "fact_orders"
@@ -40,42 +43,16 @@ def table_path(root: str, name: str) -> str:
 
 
 def table_schema(name: str) -> T.StructType:
-    schema, _ = TABLES[name]
+    schema = TABLES[name][0] if name in TABLES else T.StructType.fromDDL(_LOADED)
     return T.StructType(nullable(schema).fields + [T.StructField(BATCH_COLUMN, T.LongType(), True)])
 
 
-def _fs(spark: SparkSession, path: str):
-    """Hadoop file system of ``path`` (any scheme the cluster supports), or
-    None when the JVM is not reachable from Python (Spark Connect)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-    except Exception:
-        return None, None
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _fs(spark, path)
-    if fs is None:
-        return os.path.exists(path)
-    return bool(fs.exists(hpath))
-
-
-def _mkdirs(spark: SparkSession, path: str) -> None:
-    fs, hpath = _fs(spark, path)
-    if fs is None:
-        os.makedirs(path, exist_ok=True)
-    else:
-        fs.mkdirs(hpath)
-
-
 def buckets_of(spark: SparkSession, root: str) -> int | None:
     """The bucket count the warehouse was created with (None: not bucketed)."""
     if root not in _layouts:
         marker = os.path.join(root, LAYOUT_MARKER)
         _layouts[root] = (spark.read.json(marker).first()["buckets"]
-                          if _exists(spark, marker) else None)
+                          if storage.exists(spark, marker) else None)
     return _layouts[root]
 
 
@@ -84,11 +61,11 @@ def catalog_name(root: str, name: str) -> str:
     return f"cartwheel_{hashlib.sha1(root.encode()).hexdigest()[:12]}.{name}"
 
 
-def _register(spark: SparkSession, root: str, name: str, buckets: int) -> str:
-    """CREATE TABLE IF NOT EXISTS over the table folder, bucketed by order_id.
+def _register(spark: SparkSession, root: str, name: str, buckets: int, live: list[Batch]) -> str:
+    """The catalog table of a bucketed fact, with the live batches as its partitions.
 
-    The catalog entry is session metadata; the layout lives in the files, so
-    every new session re-registers the same folders and recovers partitions.
+    The catalog entry is session metadata; layout and snapshot lie in the
+    files, so every session registers the same folders for itself.
     """
     qualified = catalog_name(root, name)
     if not spark.catalog.tableExists(qualified):
@@ -100,7 +77,16 @@ def _register(spark: SparkSession, root: str, name: str, buckets: int) -> str:
             f"USING parquet PARTITIONED BY ({BATCH_COLUMN}) "
             f"CLUSTERED BY (order_id) SORTED BY ({', '.join(sort_key)}) INTO {buckets} BUCKETS "
             f"LOCATION '{table_path(root, name)}'")
-        spark.catalog.recoverPartitions(qualified)
+    known = {int(r[0].partition("=")[2]) for r in spark.sql(f"SHOW PARTITIONS {qualified}").collect()}
+    for batch in known - {b.batch for b in live}:
+        spark.sql(f"ALTER TABLE {qualified} DROP IF EXISTS PARTITION ({BATCH_COLUMN} = {batch})")
+    for b in live:
+        where = f"PARTITION ({BATCH_COLUMN} = {b.batch})"
+        location = f"LOCATION '{table_path(root, name)}/{b.path}'"
+        if b.batch in known:
+            spark.sql(f"ALTER TABLE {qualified} {where} SET {location}")
+        else:
+            spark.sql(f"ALTER TABLE {qualified} ADD IF NOT EXISTS {where} {location}")
     return qualified
 
 
@@ -112,30 +98,24 @@ def create_tables(spark: SparkSession, root: str, buckets: int | None = None) ->
     The layout is fixed at creation; an existing warehouse keeps its own.
     """
     marker = os.path.join(root, LAYOUT_MARKER)
-    if buckets and not _exists(spark, marker) and not _exists(
+    if buckets and not storage.exists(spark, marker) and not storage.exists(
             spark, table_path(root, FACT_ORDERS_TABLE)):
         spark.createDataFrame([(int(buckets),)], "buckets int").coalesce(1).write.json(marker)
     _layouts.pop(root, None)
-    n = buckets_of(spark, root)
     for name in TABLES:
-        path = table_path(root, name)
-        if n:
-            _mkdirs(spark, path)
-            _register(spark, root, name, n)
-        elif not _exists(spark, path):
-            (spark.createDataFrame([], table_schema(name)).write
-             .partitionBy(BATCH_COLUMN).mode("ignore").parquet(path))
+        storage.make_folder(spark, table_path(root, name))
 
 
 class TableSchemaError(RuntimeError):
     """A fact table's stored files do not match the table contract."""
 
 
-def _stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    try:
-        return spark.read.parquet(path).schema     # one footer, no data
-    except Exception:      # no data files yet (an empty table)
+def _stored_schema(spark: SparkSession, root: str, name: str) -> T.StructType | None:
+    """The schema in one footer of the live files; None for a table without files."""
+    live = snapshots.current(spark, root).of(name)
+    if not live:
         return None
+    return spark.read.parquet(f"{table_path(root, name)}/{live[0].path}").schema
 
 
 def require_tables(spark: SparkSession, root: str) -> None:
@@ -143,9 +123,9 @@ def require_tables(spark: SparkSession, root: str) -> None:
     stored files disagree with the contract (names or types)."""
     for name in TABLES:
         path = table_path(root, name)
-        if not _exists(spark, path):
+        if not storage.exists(spark, path):
             raise MissingTableError(f"table {name} does not exist under {root}; create it first")
-        stored = _stored_schema(spark, path)
+        stored = _stored_schema(spark, root, name)
         if stored is None:
             continue
         # The partition column's type is inferred from folder names; skip it.
@@ -159,23 +139,28 @@ def require_tables(spark: SparkSession, root: str) -> None:
                 f"missing {missing}, wrong type {wrong}")
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    n = buckets_of(spark, root)
+def read_table(spark: SparkSession, root: str, name: str, snapshot: Snapshot | None = None) -> DataFrame:
+    """The rows of a table in a snapshot (the newest, unless one is given). To read
+    both facts as of one moment, pass the same snapshot to both reads."""
+    live = (snapshot or snapshots.current(spark, root)).of(name)
+    n = buckets_of(spark, root) if name in TABLES else None
     if n:
-        qualified = _register(spark, root, name, n)
-        spark.catalog.recoverPartitions(qualified)   # batches other sessions wrote
+        qualified = _register(spark, root, name, n, live)
         spark.catalog.refreshTable(qualified)
         return spark.table(qualified)
-    return spark.read.schema(table_schema(name)).parquet(table_path(root, name))
+    if not live:
+        return spark.createDataFrame([], table_schema(name))
+    path = table_path(root, name)
+    return spark.read.schema(table_schema(name)).option("basePath", path).parquet(*[f"{path}/{b.path}" for b in live])
 
 
 def describe(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Column names and types of the stored table, one row per column; a table
     without files yet has its contract's. A missing table is an error."""
     path = table_path(root, name)
-    if not _exists(spark, path):
+    if not storage.exists(spark, path):
         raise MissingTableError(f"table {name} does not exist under {root}; create it first")
-    stored = _stored_schema(spark, path) or table_schema(name)
+    stored = _stored_schema(spark, root, name) or table_schema(name)
     fields = [f for f in stored.fields if f.name != BATCH_COLUMN] + [f for f in table_schema(name).fields if f.name == BATCH_COLUMN]
     return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in fields],
                                  "col_name string, data_type string")
@@ -193,92 +178,99 @@ def preview(spark: SparkSession, root: str, name: str, n: int = 10,
     return df.limit(n)
 
 
-def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
-    """Idempotently (re)write one batch: replaces only partition ``batch_id``.
-
-    ``df`` arrives clustered by its de-duplication key (order_id within a
-    source file); sorting within partitions by the table's sort key gives
-    every output file one sorted run with tight row-group ranges, without
-    another shuffle of the batch.
+def stage_batch(df: DataFrame, root: str, name: str, batch_id: int) -> Batch:
+    """Write one batch of a table into a folder of its own, which no reader sees before
+    it is published. ``df`` arrives clustered by its de-duplication key (order_id within
+    a source file); sorting within partitions by the table's sort key gives every
+    output file one sorted run with tight row-group ranges, without another shuffle.
     """
-    _, sort_key = TABLES[name]
-    out = df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
-    n = buckets_of(spark_of(df), root)
+    spark = df.sparkSession
+    schema, sort_key = TABLES.get(name, (None, []))
+    place = f"{BATCH_COLUMN}={int(batch_id)}/{uuid.uuid4().hex}"
+    path = f"{table_path(root, name)}/{place}"
+    written = Observation()
+    columns = schema.fieldNames() if schema else df.columns
+    out = df.select(*columns).observe(written, F.count(F.lit(1)).alias("n"))
+    n = buckets_of(spark, root) if schema else None
     if n:
-        # One task per bucket: each batch partition gets exactly one file per
-        # bucket, sorted by the table's sort key.
-        spark = spark_of(df)
-        qualified = _register(spark, root, name, n)
-        columns = TABLES[name][0].fieldNames()
-        view = f"_cartwheel_batch_{name}_{batch_id}"
-        (df.select(*columns).repartition(n, "order_id").sortWithinPartitions(*sort_key)
-         .createOrReplaceTempView(view))
+        # One task per bucket: the batch gets exactly one sorted file per bucket.
+        # A table over the batch's folder alone gives the files their bucket numbers.
+        database = catalog_name(root, name).split(".")[0]
+        alone = f"{database}.batch_{uuid.uuid4().hex}"
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        storage.make_folder(spark, path)
+        spark.sql(f"CREATE TABLE {alone} ({cols}) USING parquet CLUSTERED BY (order_id) "
+                  f"SORTED BY ({', '.join(sort_key)}) INTO {n} BUCKETS LOCATION '{path}'")
         try:
-            # A static partition spec replaces exactly this batch's partition,
-            # whatever the session's partition-overwrite mode.
-            spark.sql(f"INSERT OVERWRITE TABLE {qualified} "
-                      f"PARTITION ({BATCH_COLUMN} = {int(batch_id)}) "
-                      f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {view}")
+            out.repartition(n, "order_id").sortWithinPartitions(*sort_key).write.insertInto(alone)
         finally:
-            spark.catalog.dropTempView(view)
-        return
-    written = Observation(f"written_{name}_{batch_id}")
-    (out.observe(written, F.count(F.lit(1)).alias("n")).sortWithinPartitions(*sort_key)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH_COLUMN).parquet(table_path(root, name)))
-    if written.get.get("n") == 0:
-        # (No metric at all says nothing about the rows.) Dynamic overwrite of nothing replaces nothing: a replayed batch whose
-        # output became empty must not keep the earlier attempt's rows.
-        _delete(spark_of(df), os.path.join(table_path(root, name), f"{BATCH_COLUMN}={int(batch_id)}"))
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, hpath = _fs(spark, path)
-    if fs is None:
-        import shutil
-        shutil.rmtree(path, ignore_errors=True)
-    elif fs.exists(hpath):
-        fs.delete(hpath, True)
-
-
-LOADED_TABLE = "_loaded_files"
-_LOADED = "landing_file string, modified timestamp, bytes bigint"
-
+            spark.sql(f"DROP TABLE {alone}")
+    else:
+        (out.sortWithinPartitions(*sort_key) if sort_key else out).write.parquet(path)
+    files = [size for file, size in storage.names(spark, path) if file.endswith(".parquet")]
+    rows = written.get.get("n")
+    if rows is None:                     # no metric at all says nothing about the rows
+        rows = spark.read.parquet(path).count() if files else 0
+    return Batch(name, int(batch_id), place, int(rows), sum(files), len(files))
 
-def batch_key(load_id: str, batch_id: int) -> int:
-    """The partition of one batch of one load. Batch numbers restart at 0 with
-    every checkpoint; the load's durable id keeps the partitions of different
-    loads apart, so no load can replace another one's rows."""
-    return int(hashlib.sha1(load_id.encode()).hexdigest()[:7], 16) << 32 | int(batch_id)
 
+def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
+    """(Re)write one batch of one table and publish it: a batch written before under
+    this id is replaced in one step, also by one without rows."""
+    spark = df.sparkSession
+    base = snapshots.current(spark, root)
+    snapshots.publish(spark, root, base, [stage_batch(df, root, name, batch_id)])
 
-def load_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id of the load that a checkpoint belongs to, made with the checkpoint."""
-    path = os.path.join(checkpoint, "_cartwheel_load")
-    if not _exists(spark, path):
-        spark.createDataFrame([(uuid.uuid4().hex,)], "load_id string").coalesce(1).write.json(path)
-    return spark.read.schema("load_id string").json(path).first()["load_id"]
 
+LOADED_TABLE = "_loaded_files"
+_LOADED = "landing_file string, modified bigint, bytes bigint"
 
-def loaded_files(spark: SparkSession, root: str) -> DataFrame:
-    """Landing files that some load has finished, by path, modification time and length."""
-    path = table_path(root, LOADED_TABLE)
-    schema = f"{_LOADED}, {BATCH_COLUMN} bigint"
-    if not _exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
 
+def loaded_files(spark: SparkSession, root: str, snapshot: Snapshot | None = None) -> DataFrame:
+    """Landing files that the live batches were loaded from, by path, modification time and length."""
+    return read_table(spark, root, LOADED_TABLE, snapshot)
 
-def record_loaded(files: DataFrame, root: str, key: int) -> None:
-    """Note a batch's files as loaded, after its facts are written. Replaying the batch replaces the note."""
-    files.write.mode("overwrite").parquet(os.path.join(table_path(root, LOADED_TABLE), f"{BATCH_COLUMN}={key}"))
 
+def compact(spark: SparkSession, root: str, target_bytes: int = 256 << 20, fewest: int = 8) -> dict[str, int]:
+    """Merge small batches of both facts and of the note of loaded files; returns the
+    number of batches merged in each table.
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+    A table's batches of less than ``target_bytes`` are merged once there are
+    ``fewest`` of them (what has reached the target is never rewritten, so a row is
+    rewritten about ``log(rows)`` times). The merged batch is dealt by ranges of
+    the order id into files of about the target size, sorted by the table's key, so
+    a lookup by order id reads few of them. It has the greatest id of the
+    merged ones. All tables change in one snapshot; readers of the last one go on.
+    """
+    base = snapshots.current(spark, root)
+    new, gone, merged = [], set(), {}
+    for name in (*TABLES, LOADED_TABLE):
+        small = [b for b in base.of(name) if b.bytes < target_bytes]
+        if len(small) < max(fewest, 2):
+            continue
+        df = read_table(spark, root, name, Snapshot(base.version, tuple(small))).drop(BATCH_COLUMN)
+        files = max(1, -(-sum(b.bytes for b in small) // target_bytes))
+        if name in TABLES:
+            df = df.repartitionByRange(files, *TABLES[name][1][:1])
+        else:
+            df = df.coalesce(files)
+        new.append(stage_batch(df, root, name, max(b.batch for b in small)))
+        gone |= {(name, b.batch) for b in small}
+        merged[name] = len(small)
+    if new:
+        snapshots.publish(spark, root, base, new, gone)
+    return merged
+
+
+def clean(spark: SparkSession, root: str) -> int:
+    """Delete the folders of batches that no kept snapshot names (of loads that crashed, and
+    of merged batches). Not while a load runs."""
+    return snapshots.clean(spark, root, [*TABLES, LOADED_TABLE], BATCH_COLUMN)
 
 
 def register_views(spark: SparkSession, root: str) -> None:
     """Expose both fact tables as temporary views for ad-hoc ``spark.sql``."""
+    snapshot = snapshots.current(spark, root)
     for name in TABLES:
-        read_table(spark, root, name).createOrReplaceTempView(name)
+        read_table(spark, root, name, snapshot).createOrReplaceTempView(name)

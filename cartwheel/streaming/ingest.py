@@ -1,48 +1,61 @@
 """Load every not-yet-processed landing file into the two fact tables.
 
-A Structured Streaming file source over the landing folder replaces the
-"list, process, archive" loop: the checkpoint remembers which files were
-processed, ``trigger(availableNow=True)`` processes everything present and
-stops, and ``foreachBatch`` builds both facts from a micro-batch and writes
-each into its own ``batch_id`` partition with dynamic partition overwrite.
-
-Failure semantics: a batch that fails (lost executors included) is not
-committed in the checkpoint; the next run replays it with the same id and
-the same files, and the overwrite replaces whatever a partial attempt wrote,
-so no row is ever appended twice. Files can optionally be moved to an
-archive folder once processed (the file source does that one batch later).
-Files within a batch are processed in parallel.
+What has been loaded is part of the warehouse's snapshot, beside the facts themselves:
+
+1. *pending*: the landing folder's listing without the files that the snapshot notes;
+2. *admission*: a landing (``sources.landing``) is loaded as a whole, once all the files that its
+   ledger entry names are there; any other file is a payload of its own. Micro-batches are
+   made of whole payloads, so their size never changes a result;
+3. *schema groups*: the footers of a batch's files are read in parallel and grouped by the types of
+   the contract's columns. A file without a required column is an error that names it. Every group
+   is scanned with its own schema and coerced; the groups meet as typed rows;
+4. *commit*: both facts and the note of the files are staged and published in one snapshot.
+
+A crash at any point before the publication leaves nothing visible, and the next run does
+the batch again; after it, nothing of the batch is pending any more. Processed files can
+then be moved to an archive folder. ``start_ingest_stream`` runs the same steps
+whenever the landing folder's file stream sees new files.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
 
 from cartwheel.operators.facts import (
-    build_fact_order_products,
-    build_fact_orders,
+    MissingColumnsError,
+    coerce_orders,
     coercion_failures,
+    empty_fact_order_products,
+    first_orders,
+    first_products,
+    flatten_products,
 )
 from cartwheel.operators.products import unparsed_cell
 from cartwheel.schemas import ORDER_COLUMNS, PRODUCTS_COLUMN, ROW_BLOCK, ROW_INDEX, SOURCE_FILE
 from cartwheel.session import checkpoint_dir
-from cartwheel.sources import warehouse
+from cartwheel.sources import landing, snapshots, storage, warehouse
 
-# Landing files are read with a fixed schema (text columns, then coerced):
-# a missing column reads as NULL, and mixed-typed sources cannot break it.
+# The text contract of landed files, for streams over an empty folder.
 LANDING_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType(), True) for c in (*ORDER_COLUMNS, PRODUCTS_COLUMN)]
     + [T.StructField(SOURCE_FILE, T.StringType(), True),
        T.StructField(ROW_BLOCK, T.LongType(), True),
        T.StructField(ROW_INDEX, T.LongType(), True)]
 )
+READ_COLUMNS = LANDING_SCHEMA.fieldNames()
 
 
 @dataclass
@@ -63,162 +76,252 @@ class IngestStats:
         return d
 
 
-_FILE_COLUMNS = ("_landing_file", "_landing_modified", "_landing_bytes")
-
-
 def with_provenance(df: DataFrame) -> DataFrame:
     """Fill source_file / row_block / row_index from the file metadata when the
-    landing writer did not record them (plain raw Parquet dropped in the folder)."""
+    landing writer did not record them (plain raw Parquet dropped in the folder).
+
+    The source file is the de-duplication scope, so it says which landing, or
+    which other file, a row came with: a payload that is delivered again is a scope of its own."""
     def have(c):
         return F.col(c) if c in df.columns else F.lit(None)
     payload = [c for c in (*ORDER_COLUMNS, PRODUCTS_COLUMN) if c in df.columns]
+    number = F.regexp_extract(F.col("_metadata.file_name"), landing.LANDED_NAME, 1)
+    unit = F.when(number != "", number).otherwise(F.col("_metadata.file_path"))
     return df.select(
         *payload,
-        F.coalesce(have(SOURCE_FILE), F.col("_metadata.file_path")).alias(SOURCE_FILE),
+        F.concat_ws("#", have(SOURCE_FILE).cast("string"), unit).alias(SOURCE_FILE),
         F.coalesce(have(ROW_BLOCK), F.lit(0)).cast("bigint").alias(ROW_BLOCK),
         F.coalesce(have(ROW_INDEX), F.col("_metadata.row_index")).cast("bigint").alias(ROW_INDEX),
-        F.col("_metadata.file_path").alias("_landing_file"),
-        F.col("_metadata.file_modification_time").alias("_landing_modified"),
-        F.col("_metadata.file_size").alias("_landing_bytes"),
     )
 
 
-def landing_schema(spark: SparkSession, landing_dir: str) -> T.StructType:
-    """The schema to stream the landing folder with.
+# -- the files to load -------------------------------------------------------------
+
+def pending_units(spark: SparkSession, landing_dir: str, warehouse_root: str,
+                  snapshot: snapshots.Snapshot | None = None) -> list[list[Row]]:
+    """The files to load, ``path, modified, bytes`` each, as lists that belong together:
+    whole landings by number, then other files by name. Only names meet on the driver.
+    Landings of which files are missing wait."""
+    found = storage.listing(spark, landing_dir, "*.parquet")
+    known = warehouse.loaded_files(spark, warehouse_root, snapshot).select(
+        F.col("landing_file").alias("path"), "modified", "bytes")
+    files = sorted(found.join(known, found.columns, "left_anti").collect(), key=lambda r: r.path)
+    numbers = {f.path: m[1] for f in files if (m := re.match(landing.LANDED_NAME, f.path.rpartition("/")[2]))}
+    wanted = {str(m.number): set(m.files) for m in landing.manifests(spark, landing_dir)
+              .where(F.col("number").isin([int(n) for n in set(numbers.values())])).collect()} if numbers else {}
+    whole: dict[str, list[Row]] = {}
+    single = []
+    for f in files:
+        if numbers.get(f.path) in wanted:
+            whole.setdefault(numbers[f.path], []).append(f)
+        else:
+            single.append([f])
+    ready = [whole[n] for n in sorted(whole, key=int) if {f.path.rpartition("/")[2] for f in whole[n]} == wanted[n]]
+    return ready + single
+
+
+def form_batches(units: list[list[Row]], max_files: int | None) -> list[list[Row]]:
+    """Micro-batches of at most ``max_files`` files; a unit is never cut, so a larger one is a batch alone."""
+    out: list[list[Row]] = []
+    for unit in units:
+        if out and (max_files is None or len(out[-1]) + len(unit) <= max_files):
+            out[-1] = out[-1] + unit
+        else:
+            out.append(list(unit))
+    return out
+
+
+# -- schema groups -----------------------------------------------------------------
+
+_SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
+
+
+def _footer(path: str) -> str | None:
+    """The schema in a file's footer, as Spark writes it down; None where this process cannot tell."""
+    import pyarrow.fs
+    import pyarrow.parquet
+    from pyspark.sql.pandas.types import from_arrow_type
 
-    A deployment's landing files all come from one producer: ``land_payloads``
-    writes text columns, the source's own writer writes typed ones. Take the
-    schema of the files already there (one footer, no data read); an empty or
-    missing folder gets the text contract.
-    """
     try:
-        found = spark.read.option("pathGlobFilter", "*.parquet").parquet(landing_dir).schema
-    except Exception:  # no files yet
-        return LANDING_SCHEMA
-    return found if found.fields else LANDING_SCHEMA
+        system, name = pyarrow.fs.FileSystem.from_uri(path if "://" in path else re.sub("^(\\w+):/", r"\1:///", path))
+        schema = pyarrow.parquet.read_schema(name, filesystem=system)
+        if _SPARK_SCHEMA in (schema.metadata or {}):
+            return schema.metadata[_SPARK_SCHEMA].decode()
+        fields = [T.StructField(f.name, from_arrow_type(f.type), True) if f.name in READ_COLUMNS
+                  else T.StructField(f.name, T.NullType(), True) for f in schema]
+        return T.StructType(fields).json()
+    except Exception:   # a store or type that only Spark's own reader knows: the caller asks that
+        return None
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [_footer(path.as_py()) for path in batch.column(0)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["path", "schema"])
+
+
+def footer_schemas(spark: SparkSession, paths: list[str]) -> dict[str, T.StructType]:
+    """The columns of each Parquet file, from its footer, read by many tasks."""
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    spread = listed.repartition(min(len(paths), 4 * spark.sparkContext.defaultParallelism))
+    found = {r.path: r.schema for r in spread.mapInArrow(_footers, "path string, schema string").collect()}
+    out = {p: T.StructType.fromJson(json.loads(s)) for p, s in found.items() if s is not None}
+    rest = [p for p in paths if p not in out]
+    if rest:
+        with ThreadPoolExecutor(16) as pool:
+            out |= zip(rest, pool.map(lambda p: spark.read.parquet(storage.plain(p)).schema, rest))
+    return out
+
+
+def schema_groups(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """The files by the types of the columns that a load reads. ``MissingColumnsError``
+    names every file (the first ten) that lacks a required one."""
+    groups: dict[str, list[str]] = {}
+    lacking = []
+    for path, schema in sorted(footer_schemas(spark, paths).items()):
+        have = {f.name: f.dataType for f in schema}
+        missing = [c for c in ORDER_COLUMNS if c not in have]
+        if missing:
+            lacking.append(f"{path}: {missing}")
+            continue
+        read = T.StructType([T.StructField(c, have[c], True) for c in READ_COLUMNS if c in have])
+        groups.setdefault(read.json(), []).append(path)
+    if lacking:
+        raise MissingColumnsError(f"required columns missing in {len(lacking)} of {len(paths)} files: {'; '.join(lacking[:10])}")
+    return [(T.StructType.fromJson(json.loads(k)), v) for k, v in sorted(groups.items())]
+
+
+def scan_files(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    """One raw frame with provenance for each schema group of the files."""
+    return [with_provenance(spark.read.schema(schema).parquet(*map(storage.plain, group)))
+            for schema, group in schema_groups(spark, paths)]
+
+
+# -- one batch ---------------------------------------------------------------------
+
+def stage_facts(raws: list[DataFrame], warehouse_root: str, batch_id: int,
+                loaded_at: datetime) -> tuple[list[snapshots.Batch], IngestStats]:
+    """Write both facts of a batch, given as raw frames that share no de-duplication scope."""
+    orders, products, counted = [], [], []
+    for raw in raws:
+        failed = Observation()
+        counted.append(("coercion_failures", failed))
+        orders.append(coerce_orders(raw.observe(failed, coercion_failures(raw).alias("n"))))
+        if PRODUCTS_COLUMN in raw.columns:
+            # Counted on the same pass that flattens the cells.
+            cells = Observation()
+            counted.append(("unparsed_product_cells", cells))
+            dtype = raw.schema[PRODUCTS_COLUMN].dataType
+            products.append(flatten_products(raw.observe(
+                cells, F.count_if(unparsed_cell(F.col(PRODUCTS_COLUMN), dtype)).alias("n"))))
+    fo = first_orders(reduce(DataFrame.unionByName, orders), loaded_at)
+    fp = (first_products(reduce(DataFrame.unionByName, products), loaded_at) if products
+          else empty_fact_order_products(raws[0].sparkSession))
+    staged = [warehouse.stage_batch(fo, warehouse_root, warehouse.FACT_ORDERS_TABLE, batch_id),
+              warehouse.stage_batch(fp, warehouse_root, warehouse.FACT_ORDER_PRODUCTS_TABLE, batch_id)]
+    stats = IngestStats(orders_loaded=staged[0].rows, products_loaded=staged[1].rows)
+    for name, observed in counted:
+        setattr(stats, name, getattr(stats, name) + int(observed.get.get("n", 0) or 0))
+    return staged, stats
 
 
 def load_batch(raw: DataFrame, warehouse_root: str, batch_id: int,
-               loaded_at: datetime | None = None, load_id: str | None = None) -> IngestStats:
-    """Build both facts from one batch of raw rows and (re)write them.
-
-    With a ``load_id`` the batch gets a partition of its own among all loads,
-    and landing files that another batch has loaded (same path, time and
-    length) are left out, so a fresh checkpoint loads nothing twice."""
-    loaded_at = loaded_at or datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
-    # No cache of the batch: the two facts read mostly different columns, so
-    # two pruned Parquet scans beat materialising every column once.
-    spark, key = raw.sparkSession, batch_id
-    seen = [c for c in _FILE_COLUMNS if c in raw.columns]
-    files = raw.select(*seen).distinct()
-    if load_id is not None:
-        key = warehouse.batch_key(load_id, batch_id)
-        known = warehouse.loaded_files(spark, warehouse_root).where(F.col(warehouse.BATCH_COLUMN) != key).select(
-            *[F.col(old).alias(new) for old, new in zip(("landing_file", "modified", "bytes"), _FILE_COLUMNS)])
-        raw, files = (df.join(known, seen, "left_anti") for df in (raw, files))
-    count = files.count()
-    stats = IngestStats(files_processed=count)
-    if count == 0:
-        return stats
-    raw = raw.drop(*seen)
-    orders_obs, products_obs = Observation("orders"), Observation("products")
-    cells_obs, coerce_obs = Observation("cells"), Observation("coercion")
-    # Counted on the scan that builds the orders.
-    fo = build_fact_orders(raw.observe(coerce_obs, coercion_failures(raw).alias("n")), loaded_at)
-    if PRODUCTS_COLUMN in raw.columns:
-        # Counted on the same pass that flattens the cells.
-        dtype = raw.schema[PRODUCTS_COLUMN].dataType
-        raw = raw.observe(cells_obs, F.count_if(
-            unparsed_cell(F.col(PRODUCTS_COLUMN), dtype)).alias("n"))
-    fp = build_fact_order_products(raw, loaded_at)
-    warehouse.write_batch(fo.observe(orders_obs, F.count(F.lit(1)).alias("n")),
-                          warehouse_root, warehouse.FACT_ORDERS_TABLE, key)
-    warehouse.write_batch(fp.observe(products_obs, F.count(F.lit(1)).alias("n")),
-                          warehouse_root, warehouse.FACT_ORDER_PRODUCTS_TABLE, key)
-    if load_id is not None:
-        warehouse.record_loaded(files.toDF("landing_file", "modified", "bytes"), warehouse_root, key)
-    stats.orders_loaded = int(orders_obs.get.get("n", 0) or 0)
-    stats.products_loaded = int(products_obs.get.get("n", 0) or 0)
-    if PRODUCTS_COLUMN in raw.columns:
-        stats.unparsed_product_cells = int(cells_obs.get.get("n", 0) or 0)
-    stats.coercion_failures = int(coerce_obs.get.get("n", 0) or 0)
+               loaded_at: datetime | None = None) -> IngestStats:
+    """Build both facts from a raw frame and (re)write them as batch ``batch_id``, in one step."""
+    spark = raw.sparkSession
+    loaded_at = loaded_at or _now()
+    base = snapshots.current(spark, warehouse_root)
+    staged, stats = stage_facts([raw], warehouse_root, batch_id, loaded_at)
+    snapshots.publish(spark, warehouse_root, base, staged)
     return stats
 
 
-def _landing_stream(spark: SparkSession, landing_dir: str, schema: T.StructType | None,
-                    archive_dir: str | None, max_files_per_batch: int | None) -> DataFrame:
-    reader = (spark.readStream.schema(schema or landing_schema(spark, landing_dir))
-              .option("pathGlobFilter", "*.parquet"))
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return with_provenance(reader.parquet(landing_dir))
+def _now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
-def _default_checkpoint(spark: SparkSession, landing_dir: str, warehouse_root: str) -> str:
-    # One stream checkpoint per (landing folder, warehouse) pair, kept in the
-    # cluster's shared checkpoint folder.
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        # A scratch checkpoint would forget what was loaded.
-        raise ValueError("name a checkpoint, or set spark.checkpoint.dir to a durable shared folder")
-    key = hashlib.sha1(f"{landing_dir}|{warehouse_root}".encode()).hexdigest()[:16]
-    return os.path.join(checkpoint_dir(spark), f"cartwheel-ingest-{key}")
+def load_files(spark: SparkSession, files: list[Row], warehouse_root: str, base: snapshots.Snapshot,
+               loaded_at: datetime | None = None) -> IngestStats:
+    """Load the files as one new batch after ``base`` and publish facts and note together.
+    ``SnapshotConflict`` if another load has published meanwhile: then nothing has been loaded."""
+    batch = base.next_batch()
+    staged, stats = stage_facts(scan_files(spark, [f.path for f in files]), warehouse_root, batch, loaded_at or _now())
+    note = spark.createDataFrame(files, storage.LISTED).withColumnRenamed("path", "landing_file").coalesce(1)
+    staged.append(warehouse.stage_batch(note, warehouse_root, warehouse.LOADED_TABLE, batch))
+    snapshots.publish(spark, warehouse_root, base, staged)
+    stats.files_processed = len(files)
+    return stats
 
 
-def ingest(spark: SparkSession, landing_dir: str, warehouse_root: str,
-           checkpoint: str | None = None, archive_dir: str | None = None,
-           max_files_per_batch: int | None = None,
-           schema: T.StructType | None = None) -> dict:
-    """Process every landing file not processed before; return load statistics.
+def _archive(spark: SparkSession, files: list[Row], archive_dir: str) -> None:
+    storage.make_folder(spark, archive_dir)
+    for f in files:
+        name = f.path.rpartition("/")[2]
+        try:
+            storage.rename_new(spark, f.path, f"{archive_dir}/{name}")
+        except storage.Taken:       # another file of that name has been archived
+            tag = hashlib.sha1(f"{f.path}|{f.modified}|{f.bytes}".encode()).hexdigest()[:12]
+            storage.rename_new(spark, f.path, f"{archive_dir}/{tag}-{name}")
 
-    ``schema`` fixes the landing files' schema; by default it is taken from
-    the files present (``landing_schema``). It must stay the same for the
-    life of the checkpoint.
-    """
-    warehouse.require_tables(spark, warehouse_root)
-    checkpoint = checkpoint or _default_checkpoint(spark, landing_dir, warehouse_root)
-    stream = _landing_stream(spark, landing_dir, schema, archive_dir, max_files_per_batch)
 
-    totals = IngestStats()
+RETRIES = 5
 
-    load = warehouse.load_id(spark, checkpoint)
 
-    def per_batch(df: DataFrame, batch_id: int) -> None:
-        s = load_batch(df, warehouse_root, batch_id, load_id=load)
-        totals.files_processed += s.files_processed
-        totals.orders_loaded += s.orders_loaded
-        totals.products_loaded += s.products_loaded
-        totals.unparsed_product_cells += s.unparsed_product_cells
-        totals.coercion_failures += s.coercion_failures
+def ingest(spark: SparkSession, landing_dir: str, warehouse_root: str,
+           checkpoint: str | None = None, archive_dir: str | None = None,
+           max_files_per_batch: int | None = None) -> dict:
+    """Process every landing file not processed before; return load statistics.
 
-    query = (stream.writeStream.foreachBatch(per_batch)
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+    ``max_files_per_batch`` bounds a micro-batch in files, whole payloads at a time. What
+    was loaded is known to the warehouse, so no checkpoint is needed (``checkpoint`` is
+    accepted for callers that pass one, and not looked at)."""
+    warehouse.require_tables(spark, warehouse_root)
+    landing.finish_landings(spark, landing_dir)
+    totals, conflicts = IngestStats(), 0
+    while True:
+        base = snapshots.current(spark, warehouse_root)
+        batches = form_batches(pending_units(spark, landing_dir, warehouse_root, base), max_files_per_batch)
+        if not batches:
+            break
+        try:
+            stats = load_files(spark, batches[0], warehouse_root, base)
+        except snapshots.SnapshotConflict:
+            conflicts += 1
+            if conflicts > RETRIES:
+                raise
+            continue
+        for name in ("files_processed", "orders_loaded", "products_loaded", "unparsed_product_cells", "coercion_failures"):
+            setattr(totals, name, getattr(totals, name) + getattr(stats, name))
+        if archive_dir:
+            _archive(spark, batches[0], archive_dir)
     if totals.files_processed:
+        after = snapshots.current(spark, warehouse_root)
         totals.total_orders_in_db = warehouse.read_table(
-            spark, warehouse_root, warehouse.FACT_ORDERS_TABLE).count()
+            spark, warehouse_root, warehouse.FACT_ORDERS_TABLE, after).count()
         totals.total_products_in_db = warehouse.read_table(
-            spark, warehouse_root, warehouse.FACT_ORDER_PRODUCTS_TABLE).count()
+            spark, warehouse_root, warehouse.FACT_ORDER_PRODUCTS_TABLE, after).count()
     return totals.as_dict()
 
 
 def start_ingest_stream(spark: SparkSession, landing_dir: str, warehouse_root: str,
                         interval: str = "1 minute", checkpoint: str | None = None,
                         archive_dir: str | None = None,
-                        max_files_per_batch: int | None = None,
-                        schema: T.StructType | None = None) -> StreamingQuery:
-    """Run the same load continuously: a micro-batch every ``interval`` for
-    files that arrived since. Returns the running query (``stop()`` it); its
-    ``recentProgress`` carries per-batch input counts. Shares the checkpoint
-    with ``ingest``, so the two modes can alternate on one landing folder.
+                        max_files_per_batch: int | None = None) -> StreamingQuery:
+    """Run the same load continuously: the landing folder's file stream looks for new files
+    every ``interval``, and each micro-batch of it loads what is pending. The stream only says
+    that there is something; what to load, and what has been, the warehouse's snapshot says. Returns the running
+    query (``stop()`` it); its ``recentProgress`` carries per-batch input counts.
     """
     warehouse.require_tables(spark, warehouse_root)
-    checkpoint = checkpoint or _default_checkpoint(spark, landing_dir, warehouse_root)
-    stream = _landing_stream(spark, landing_dir, schema, archive_dir, max_files_per_batch)
-    load = warehouse.load_id(spark, checkpoint)
-    return (stream.writeStream
-            .foreachBatch(lambda df, batch_id: load_batch(df, warehouse_root, batch_id, load_id=load))
+    storage.make_folder(spark, landing_dir)
+    if checkpoint is None:
+        key = hashlib.sha1(f"{landing_dir}|{warehouse_root}".encode()).hexdigest()[:16]
+        checkpoint = os.path.join(checkpoint_dir(spark), f"cartwheel-ingest-{key}")
+    arrivals = spark.readStream.schema(LANDING_SCHEMA).option("pathGlobFilter", "*.parquet").parquet(landing_dir)
+
+    def load_pending(_: DataFrame, __: int) -> None:
+        ingest(spark, landing_dir, warehouse_root, archive_dir=archive_dir, max_files_per_batch=max_files_per_batch)
+
+    return (arrivals.writeStream.foreachBatch(load_pending)
             .option("checkpointLocation", checkpoint)
             .trigger(processingTime=interval).start())

@@ -81,7 +81,7 @@ def test_failed_batch_leaves_no_partial_rows_after_retry(spark, env):
     raw = with_provenance(spark.read.schema(LANDING_SCHEMA).parquet(env["landing"]))
     # First attempt wrote orders, then "failed" before products.
     from cartwheel.operators.facts import build_fact_orders
-    warehouse.write_batch(build_fact_orders(raw.drop("_landing_file")), env["wh"], "fact_orders", 0)
+    warehouse.write_batch(build_fact_orders(raw), env["wh"], "fact_orders", 0)
     load_batch(raw, env["wh"], batch_id=0)    # the retry
     assert warehouse.read_table(spark, env["wh"], "fact_orders").count() == 2
 
@@ -146,15 +146,15 @@ def test_daily_load_end_to_end(spark, env):
         run_daily_load(spark, bad, env["landing"], env["wh"], env["ckpt"])
 
 
-def test_archive_lags_one_batch_and_never_reprocesses(spark, env):
+def test_archive_follows_the_load_and_never_reprocesses(spark, env):
     def archived():
         return sum(f.endswith(".parquet") for _, _, fs in os.walk(env["archive"]) for f in fs)
     land_payloads(spark, payload_dir({"a.json": [order(1)]}), env["landing"])
     ingest(spark, env["landing"], env["wh"], env["ckpt"], archive_dir=env["archive"])
-    assert archived() == 0                      # moved when the next batch commits
+    assert archived() == 1                      # moved once its batch is published
     land_payloads(spark, payload_dir({"b.json": [order(2)]}), env["landing"])
     stats = ingest(spark, env["landing"], env["wh"], env["ckpt"], archive_dir=env["archive"])
-    assert archived() == 1
+    assert archived() == 2
     assert stats["orders_loaded"] == 1 and stats["total_orders_in_db"] == 2
 
 
@@ -249,30 +249,31 @@ def test_continuous_stream_picks_up_new_files(spark, env):
 
 
 def test_crash_between_writes_then_rerun_is_exact(spark, env, monkeypatch):
-    import importlib
-    ingest_module = importlib.import_module("cartwheel.streaming.ingest")
     land_payloads(spark, payload_dir({"a.json": [order(1, products=[{"product_id": 1}]),
                                                  order(2, products=[{"product_id": 2}])]}),
                   env["landing"])
-    real_write = warehouse.write_batch
+    real_stage = warehouse.stage_batch
     calls = []
 
-    def crashing_write(df, root, name, batch_id):
+    def crashing_stage(df, root, name, batch_id):
         calls.append((name, batch_id))
-        real_write(df, root, name, batch_id)
+        out = real_stage(df, root, name, batch_id)
         if name == warehouse.FACT_ORDERS_TABLE and len(calls) == 1:
             raise RuntimeError("executor lost after the orders write")
+        return out
 
-    monkeypatch.setattr(ingest_module.warehouse, "write_batch", crashing_write)
-    with pytest.raises(Exception, match="executor lost"):
+    monkeypatch.setattr(warehouse, "stage_batch", crashing_stage)
+    with pytest.raises(RuntimeError, match="executor lost"):
         ingest(spark, env["landing"], env["wh"], env["ckpt"])
-    # The orders of batch 0 are on disk, the products are not, nothing committed.
-    assert warehouse.read_table(spark, env["wh"], "fact_orders").count() == 2
+    # The orders of the crashed batch are on disk, but nobody sees them.
+    assert warehouse.read_table(spark, env["wh"], "fact_orders").count() == 0
     assert warehouse.read_table(spark, env["wh"], "fact_order_products").count() == 0
     stats = ingest(spark, env["landing"], env["wh"], env["ckpt"])   # the rerun
-    assert calls[-2:] == [("fact_orders", 0), ("fact_order_products", 0)]   # same batch id
+    crashed = calls[0][1]
+    assert calls[1:3] == [("fact_orders", crashed), ("fact_order_products", crashed)]   # the same batch again
     assert stats["orders_loaded"] == 2 and stats["total_orders_in_db"] == 2
     assert stats["total_products_in_db"] == 2
+    assert warehouse.clean(spark, env["wh"]) == 1       # the crashed attempt's folder
 
 
 def test_table_with_wrong_schema_fails_before_loading(spark, env):

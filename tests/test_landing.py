@@ -116,14 +116,11 @@ def test_json_lines_reject_bad_line(spark):
         land_payloads(spark, d, tempfile.mkdtemp(prefix="cartwheel-landing-"), lines=True)
 
 
-def test_landed_check_pushes_payload_names_into_the_scan(spark):
-    from cartwheel.sources.landing import landed_sources
+def test_a_second_call_lands_only_what_is_new(spark):
+    from cartwheel.sources.landing import new_payloads
     src = write_payloads({f"{i}.json": json.dumps([{"order_id": i}]) for i in range(3)})
     landing = tempfile.mkdtemp(prefix="cartwheel-landing-")
     assert land_payloads(spark, src, landing) == 3
-    candidates = read_payloads(spark, src).inputFiles()
-    done = landed_sources(spark, landing, candidates=candidates)
-    plan = done._jdf.queryExecution().executedPlan().toString()
-    assert "In(source_file" in plan          # pushed to Parquet: footers skip other files
-    assert done.count() == 3
-    assert land_payloads(spark, src, landing) == 0
+    found = new_payloads(spark, src, landing, "*.json")
+    assert "content" not in found._jdf.queryExecution().executedPlan().toString()   # names only, no payload is read
+    assert found.count() == 0 and land_payloads(spark, src, landing) == 0
