@@ -6,21 +6,26 @@ minimise the padding ``sum(boundary - length)``. No length is rounded: with n
 lengths a bucket more takes n log n steps, since a longer last length never has
 an earlier best start of its bucket. Inside each
 bucket, batches hold as many sequences as fit the token budget at the bucket's
-boundary. Batches are numbered inside chunks of a bucket, dealt by a hash of the
-row, so no group grows with the data: a bucket has as many chunks as its
-count in the histogram asks for, and at most one batch a chunk is not full.
+boundary. A task fills batches from its own input split as rows come, a
+bucket's next batch when the last is full: no row is shuffled, and at most one batch of
+each bucket and split is not full. A batch is named by bucket, split and number.
 
 A token is a run of letters and digits or a single other visible character. Null
 and empty texts have length 0 and fill the first bucket. A text longer than the
 budget is a batch of its own, never cut. Identical rows are packed as
-separate sequences.
+separate sequences. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.llm.common import table
 
@@ -81,38 +86,45 @@ def optimal_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) ->
     return bounds[::-1]
 
 
-def pack(docs: DataFrame, buckets: int = 16, budget: int = 65536, chunk_rows: int = 2048,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` beside ``n_tokens, bucket, boundary, batch, slot`` (null-free; a
+ADDED = {"n_tokens": "long", "bucket": "int", "boundary": "long", "batch": "string", "slot": "int"}
+
+
+def _fill(bounds: list[int], budget: int):
+    """Put each row, whose number of tokens stands last, into the open batch of its bucket."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = TaskContext.get().partitionId()
+        upper = np.array(bounds, np.int64)
+        fit = np.maximum(budget // np.maximum(upper, 1), 1)
+        filled = np.zeros(len(upper), np.int64)
+        for batch in batches:
+            tokens = batch.column(batch.num_columns - 1)
+            bucket = np.searchsorted(upper, tokens.to_numpy(zero_copy_only=False))
+            order = np.argsort(bucket, kind="stable")
+            many = np.bincount(bucket, minlength=len(upper))
+            at = np.empty(len(bucket), np.int64)            # place of the row among those of its bucket in this split
+            at[order] = np.arange(len(bucket)) - np.repeat(np.cumsum(many) - many, many)
+            at += filled[bucket]
+            filled += many
+            names = [f"{b}-{split}-{n}" for b, n in zip(bucket.tolist(), (at // fit[bucket]).tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(bucket, pa.int32()), pa.array(upper[bucket]), pa.array(names, pa.string()),
+                 pa.array(at % fit[bucket], pa.int32())], names=[*batch.schema.names, *list(ADDED)[1:]])
+    return rows
+
+
+def pack(docs: DataFrame, buckets: int = 16, budget: int = 65536, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all) beside ``n_tokens, bucket, boundary, batch, slot`` (null-free; a
     column of the input with such a name is replaced)."""
-    sized = docs.withColumn("n_tokens", n_tokens(F.col(text_col)))
-    histogram = sized.groupBy("n_tokens").agg(F.count("*").alias("n")).orderBy("n_tokens").collect()
-    size = np.array([r["n_tokens"] for r in histogram], np.int64)
-    count = np.array([r["n"] for r in histogram], np.int64)
-    bounds = optimal_boundaries(size, count, buckets)
-    per_bucket = np.bincount(np.searchsorted(bounds, size), weights=count, minlength=len(bounds)) if len(size) else []
-    layout = [(b, bound, max(1, budget // max(bound, 1)), max(1, -(-int(n) // chunk_rows)))
-              for b, (bound, n) in enumerate(zip(bounds, per_bucket))]
-
-    def by_bucket(field: int, kind: str) -> Column:
-        out = F.lit(None).cast(kind)
-        for entry in reversed(layout):
-            out = F.when(F.col("n_tokens") <= entry[1], F.lit(entry[field]).cast(kind)).otherwise(out)
-        return out
-
-    row_hash = F.xxhash64(F.col(id_col), F.col(text_col))
-    placed = sized.withColumns({"bucket": by_bucket(0, "int"), "boundary": by_bucket(1, "long"),
-                                "__fit": by_bucket(2, "int"), "__chunks": by_bucket(3, "int")})
-    placed = placed.withColumn("__chunk", F.pmod(row_hash, F.col("__chunks").cast("long")))
-    order = Window.partitionBy("bucket", "__chunk").orderBy(row_hash)
-    at = F.col("__at")
-    return (placed.withColumn("__at", F.row_number().over(order) - 1)
-            .withColumn("batch", F.concat_ws("-", "bucket", "__chunk", F.floor(at / F.col("__fit")).cast("string")))
-            .withColumn("slot", (at % F.col("__fit")).cast("int"))
-            .drop("__fit", "__chunks", "__chunk", "__at"))
+    counted = n_tokens(F.col(text_col))
+    histogram = docs.groupBy(counted.alias("n_tokens")).agg(F.count("*").alias("n")).orderBy("n_tokens").collect()
+    bounds = optimal_boundaries(np.array([r["n_tokens"] for r in histogram], np.int64),
+                                np.array([r["n"] for r in histogram], np.int64), buckets)
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ADDED]
+    sized = docs.select(*[F.col(f"`{c}`") for c in kept], counted.alias("n_tokens"))
+    schema = T.StructType([*sized.schema.fields[:-1], *[T.StructField(c, T.StructType.fromDDL(f"x {k}")[0].dataType) for c, k in ADDED.items()]])
+    return sized.mapInArrow(_fill(bounds or [0], budget), schema)
 
 
 def op8_length_buckets(spark, sf_dir: str) -> DataFrame:
     """Bucket, batch and slot of every document."""
-    out = pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "n_tokens", "bucket", "boundary", "batch", "slot")
+    return pack(table(spark, sf_dir, "documents"), keep=["doc_id"])
