@@ -18,8 +18,9 @@ what is alone in its group:
 A group whose members agree beyond the common string, out to the ends of the
 block, is settled without a further pass. Every pass is a grouped count, minimum
 and maximum, combined before the shuffle, so a passage found in a third of all
-documents costs one row for each task. Equal strings are those with equal
-64-bit hashes.
+documents costs one row for each task; where its occurrences are looked up again,
+they meet one row, and a join of two written tables lets Spark split them over tasks. Equal strings are
+those with equal 64-bit hashes.
 
 Null text reads as empty; texts shorter than ``length`` lose nothing; identical
 rows count as copies of each other.
@@ -163,7 +164,8 @@ def repeated_runs(docs: DataFrame, length: int = 400, reach: int = REACH) -> Dat
     runs = materialize(docs.mapInArrow(_run_rows(length, reach), _RUNS), "runs")
     shared = (runs.groupBy("core").agg(F.count("*").alias("n"), F.min("span").alias("lo"), F.max("span").alias("hi"))
               .where("n >= 2").select("core", (F.col("lo") == F.col("hi")).alias("whole")))
-    occ = materialize(runs.join(shared, "core"), "occurrences")
+    # Written tables on both sides: one string may be in a third of all texts, and Spark then splits its occurrences.
+    occ = materialize(runs.join(materialize(shared, "shared_strings"), "core"), "occurrences")
 
     mixed = occ.where(~F.col("whole"))
     reps = (mixed.groupBy("core", "span")
@@ -189,6 +191,7 @@ def repeated_runs(docs: DataFrame, length: int = 400, reach: int = REACH) -> Dat
     repeated = (blocks.where("settled and w = 1").select("span", "lo", "hi").unionByName(found)
                 .unionByName(ctx.where("w >= 2").select("span", (F.col("back") - F.col("len") + 1).alias("lo"),
                                                         F.col("back").alias("hi"))))
+    repeated = materialize(repeated, "repeated_windows")
     at = F.col("p0") + F.col("back")
     return (occ.where("whole").select("did", "rk", F.col("p0").alias("start"), (F.col("p0") + F.col("len") - 1 + length).alias("end"))
             .unionByName(mixed.join(repeated, "span").select(
