@@ -12,8 +12,8 @@ pivot only. A block pair returns for each vector its number of links and one
 edge to the least vector it is connected to, never the pairs.
 
 Equal vectors are one vector with a count. Null or zero vectors, and those with
-null or non-finite components, link with nothing; so do vectors of another length
-than the most common one. Rows with a null id are counted as vectors and get their
+null or non-finite components, link with nothing. Vectors of different lengths never link;
+each length is an index of its own. Rows with a null id are counted as vectors and get their
 component, but are never the kept one.
 """
 
@@ -84,23 +84,9 @@ def _compare(n_pivots: int, shared: int, least: float):
     return block_pair
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.9, near: int = 8, shared: int = 2, sample_rows: int = 4096,
-                    most_pivots: int = 1024, apart: float = 0.7, block: int = 1024,
-                    id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``id, n_links, component`` of every row. The pivots number twice the square
-    root of the distinct vectors, at most ``most_pivots``, from ``sample_rows`` of them."""
-    v = F.col(vector_col).cast("array<double>")
-    sound = F.coalesce((F.size(v) > 0) & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
-                       & F.exists(v, lambda c: c != 0), F.lit(False))
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.when(sound, v).alias("v"))
-    sizes = rows.where("v is not null").groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    dim = sizes[0]["dim"] if sizes else 0
-    rows = materialize(rows.select("id", F.when(F.size("v") == dim, F.col("v")).alias("v"))
-                       .withColumn("node", F.when(F.col("v").isNotNull(), F.xxhash64("v"))), "vectors")
-    uniq = materialize(rows.where("v is not null").groupBy("node").agg(F.count("*").alias("m"), F.first("v").alias("v")), "distinct_vectors")
-    n = uniq.count()
-    if not n:
-        return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
+def _links(uniq: DataFrame, n: int, least: float, near: int, shared: int, sample_rows: int, most_pivots: int,
+           apart: float, block: int) -> DataFrame:
+    """``node, links, other`` among ``n`` distinct vectors of one length."""
     sample = np.array([r["v"] for r in uniq.orderBy(F.xxhash64("node"), "node").limit(sample_rows).collect()])
     sample /= np.linalg.norm(sample, axis=1)[:, None]
     pivots = choose_pivots(sample, min(most_pivots, max(32, int(2 * n ** 0.5))), apart)
@@ -113,7 +99,27 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, near: int = 8, share
     # a vector meets every block of its list, its own included
     met = listed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
     pairs = met.groupBy("pivot", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
-    found = materialize(pairs.applyInPandas(_compare(len(pivots), shared, least), "node long, links long, other long"), "links")
+    return materialize(pairs.applyInPandas(_compare(len(pivots), shared, least), "node long, links long, other long"), "links")
+
+
+def near_duplicates(vectors: DataFrame, least: float = 0.9, near: int = 8, shared: int = 2, sample_rows: int = 4096,
+                    most_pivots: int = 1024, apart: float = 0.7, block: int = 1024,
+                    id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """``id, n_links, component`` of every row. The pivots number twice the square
+    root of the distinct vectors, at most ``most_pivots``, from ``sample_rows`` of them."""
+    v = F.col(vector_col).cast("array<double>")
+    sound = F.coalesce((F.size(v) > 0) & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
+                       & F.exists(v, lambda c: c != 0), F.lit(False))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.when(sound, v).alias("v"))
+    rows = materialize(rows.withColumn("node", F.when(F.col("v").isNotNull(), F.xxhash64("v"))), "vectors")
+    uniq = materialize(rows.where("v is not null").groupBy("node").agg(F.count("*").alias("m"), F.first("v").alias("v")), "distinct_vectors")
+    lengths = {r["dim"]: r["count"] for r in uniq.groupBy(F.size("v").alias("dim")).count().collect()}
+    if not lengths:
+        return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
+    found = None                     # vectors of each length are an index of their own
+    for dim, n in sorted(lengths.items()):
+        part = _links(uniq if len(lengths) == 1 else uniq.where(F.size("v") == dim), n, least, near, shared, sample_rows, most_pivots, apart, block)
+        found = part if found is None else found.unionByName(part)
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     labels = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")))
     named = (uniq.select("node", "m").join(links, "node", "left").join(labels, "node", "left")
