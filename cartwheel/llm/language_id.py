@@ -37,14 +37,14 @@ CLASSES = 1 << 14
 CELLS = 1 << 22                   # pages times languages scored at once
 _HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
 _ROOT = re.compile(r"<html\b[^>]*", re.I)
-_DECLARED = re.compile(r"\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})", re.I)
+_DECLARED = re.compile(r"\blang\s*=\s*[\"']?\s*([A-Za-z]{2,8})", re.I)
 
 
 def _declared(html: str) -> str:
-    """The language of the first html tag that names one, wherever it is; '' without one."""
+    """The first part of the language tag (``fil``, not ``fi``) of the first html tag that names one, wherever it is; '' without one."""
     for tag in _ROOT.finditer(html):
         if found := _DECLARED.search(html, tag.start(), tag.end()):
-            return found.group(1).lower()[:2]
+            return found.group(1).lower()
     return ""
 
 
