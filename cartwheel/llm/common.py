@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +31,38 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_scratch: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path of its own in the shared folder."""
-    return os.path.join(shared_dir(spark), "cartwheel-llm", uuid.uuid4().hex, name)
+    folder = os.path.join(shared_dir(spark), "cartwheel-llm", uuid.uuid4().hex)
+    if _scratch:
+        _scratch[-1].append(folder)
+    return os.path.join(folder, name)
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """Lists the folders that are written inside the block, for ``release``."""
+    _scratch.append([])
+    try:
+        yield _scratch[-1]
+    finally:
+        _scratch.pop()
+
+
+def release(spark: SparkSession, folders: list[str], needed: DataFrame) -> list[str]:
+    """Delete the folders that hold no input file of ``needed``; returns those left."""
+    files = needed.inputFiles()
+    left = []
+    for folder in folders:
+        if any(f"/{os.path.basename(folder)}/" in f for f in files):
+            left.append(folder)
+            continue
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return left
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -59,17 +90,32 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         F.col(id_col).cast("long").alias("id"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def key_names(docs: DataFrame) -> tuple[str, str]:
+    """The names of the row key that ``with_key`` adds to ``docs``."""
+    return free_name(docs, "__did"), free_name(docs, "__rk")
+
+
 def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` beside its row key in ``__did, __rk``."""
+    """All columns of ``docs`` beside its row key, named by ``key_names``."""
+    did, rk = key_names(docs)
     return docs.withColumns({
-        "__did": F.coalesce(F.col(id_col).cast("long"), F.lit(0)),
-        "__rk": F.xxhash64(F.col(id_col), F.col(text_col))})
+        did: F.coalesce(F.col(id_col).cast("long"), F.lit(0)),
+        rk: F.xxhash64(F.col(id_col), F.col(text_col))})
 
 
 def attach(docs: DataFrame, info: DataFrame, how: str = "left",
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns of ``info`` (one row for each ``did, rk``) put
-    into one struct column ``__info``, so names never clash."""
-    packed = info.select(F.col("did").alias("__did"), F.col("rk").alias("__rk"),
-                         F.struct(*[c for c in info.columns if c not in ("did", "rk")]).alias("__info"))
-    return with_key(docs, id_col, text_col).join(packed, ["__did", "__rk"], how).drop("__did", "__rk")
+    """``docs`` with the columns of ``info`` (one row for each ``did, rk``) put into one
+    struct column, named ``free_name(docs, "__info")``, so no column of ``docs`` is lost."""
+    did, rk = key_names(docs)
+    packed = info.select(F.col("did").alias(did), F.col("rk").alias(rk), F.struct(
+        *[c for c in info.columns if c not in ("did", "rk")]).alias(free_name(docs, "__info")))
+    return with_key(docs, id_col, text_col).join(packed, [did, rk], how).drop(did, rk)

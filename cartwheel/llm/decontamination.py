@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import attach, keyed, materialize, table
+from cartwheel.llm.common import attach, free_name, keyed, materialize, table
 from cartwheel.llm.textkit import LOWER, U, chunks, mix, prefix_hash, runs, span_hash
 
 WORD = np.zeros(256, bool)
@@ -211,7 +211,8 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window."""
     hit = materialize(find_windows(docs, benchmark, window).where(F.size("words") > 0).select("did", "rk").distinct(), "contaminated")
-    return attach(docs, hit.withColumn("hit", F.lit(True)), "left").where("__info is null").drop("__info")
+    info = free_name(docs, "__info")
+    return attach(docs, hit.withColumn("hit", F.lit(True)), "left").where(F.col(info).isNull()).drop(info)
 
 
 def op7_benchmark_windows(spark, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import attach, keyed, materialize, table, with_key
+from cartwheel.llm.common import attach, free_name, key_names, keyed, materialize, table, with_key
 from cartwheel.llm.components import components
 from cartwheel.llm.textkit import SPACE, U, chunks, mix, words
 
@@ -288,13 +288,15 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     # equal rows have one keeper; they are counted before the shuffle, so a row with many copies is no hot key
     marks = groups.groupBy("did", "rk").agg(F.max(F.expr("keeper.did <> did or keeper.rk <> rk")).alias("gone"), F.count("*").alias("m"))
     marks = materialize(marks.where("gone or m > 1").select("did", "rk", "gone"), "near_copies")
-    left = attach(docs, marks, "left").where("__info is null").drop("__info")
+    info = free_name(docs, "__info")
+    left = attach(docs, marks, "left").where(F.col(info).isNull()).drop(info)
     again = materialize(marks.where("not gone"), "repeated_rows")
     if again.isEmpty():
         return left
-    copies = with_key(attach(docs, again, "inner").drop("__info"))
-    one = copies.groupBy("__did", "__rk").agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return left.unionByName(one.select("row.*"))
+    copies = with_key(attach(docs, again, "inner").drop(info))
+    row = free_name(copies, "row")
+    one = copies.groupBy(*key_names(docs)).agg(F.min(F.struct(*docs.columns)).alias(row))
+    return left.unionByName(one.select(f"{row}.*"))
 
 
 def op3_jaccard_components(spark, sf_dir: str) -> DataFrame:

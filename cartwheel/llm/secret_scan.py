@@ -24,7 +24,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import attach, keyed, table
+from cartwheel.llm.common import attach, free_name, keyed, table
 
 
 @dataclass(frozen=True)
@@ -112,9 +112,9 @@ def candidates(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     spark = rows.sparkSession
     clauses = [(r.kind, n, gram, len(alt)) for r in rules for n, alt in enumerate(trigram_query(r.pattern)) for gram in sorted(alt)]
     grams = sorted({c[2] for c in clauses})
-    folded = F.lower("text")
-    present = F.array_compact(F.array(*[F.when(folded.contains(g), F.lit(g)) for g in grams]))
-    postings = rows.select("did", "rk", F.explode(present).alias("gram"))
+    folded = rows.select("did", "rk", F.lower("text").alias("folded"))         # once a text, not once a trigram
+    present = F.array_compact(F.array(*[F.when(F.col("folded").contains(g), F.lit(g)) for g in grams]))
+    postings = folded.select("did", "rk", F.explode(present).alias("gram"))
     queries = spark.createDataFrame(clauses, "rule string, alt int, gram string, need int")
     return (postings.join(F.broadcast(queries), "gram")          # fixed by the rules, not by the data
             .groupBy("did", "rk", "rule", "alt", "need").agg(F.size(F.collect_set("gram")).alias("have"))
@@ -144,7 +144,9 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``spans``: struct(start, order, kind, end), by start, then rule."""
+    """All columns of ``docs`` and ``spans``: struct(start, order, kind, end), by start, then
+    rule. A column ``spans`` of the input is replaced."""
+    info = free_name(docs, "__info")
     found = candidates(keyed(docs, id_col, text_col), rules)
     joined = attach(docs, found, "left", id_col, text_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -153,9 +155,9 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     for n, rule in enumerate(rules):
         spans = _spans(text, rule, n)
         if trigram_query(rule.pattern):
-            spans = F.when(F.array_contains("__info.rules", rule.kind), spans).otherwise(none)
+            spans = F.when(F.array_contains(F.col(info)["rules"], rule.kind), spans).otherwise(none)
         parts.append(spans)
-    return joined.withColumn("spans", F.array_sort(F.concat(*parts))).drop("__info")
+    return joined.withColumn("spans", F.array_sort(F.concat(*parts))).drop(info)
 
 
 def _written(spans: Column) -> Column:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from cartwheel.llm.decontamination import OP7_SQL, find_windows, op7_benchmark_windows, remove_contaminated
+from cartwheel.llm.jaccard_join import keep_one
 from cartwheel.llm.language_id import _declared, identify, learn_text
 from cartwheel.llm.packing import optimal_boundaries, pack
 from cartwheel.llm.pivot_index import near_duplicates
@@ -69,7 +70,7 @@ def test_packing_with_many_lengths_and_one_long_text(spark):
 
 def test_packing_keeps_every_row_within_the_budget(docs_of):
     rows = [(i, "w " * (i % 40)) for i in range(200)] + [(None, None), (1, "w " * 500), (1, "w " * 500)]
-    out = pack(docs_of(rows), buckets=4, budget=100, chunk_rows=16).toPandas()
+    out = pack(docs_of(rows), buckets=4, budget=100).toPandas()
     assert len(out) == len(rows) and not out.duplicated(["batch", "slot"]).any()
     per = out.groupby("batch").agg(n=("slot", "size"), bound=("boundary", "max"))
     assert ((per.n * per.bound <= 100) | (per.n == 1)).all() and (out.n_tokens <= out.boundary).all()
@@ -161,3 +162,37 @@ def test_benchmark_rows_without_id_are_searched(spark, docs_of, tmp_path):
     split = {r.id: set(r["items"]) for r in find_windows(docs, bench, block_items=1).collect()}
     assert split == {1: {None}, 2: {None, "a", "b"}, 3: set(), 4: {None}, 5: set()}
     assert sorted(r.doc_id for r in remove_contaminated(docs, bench).collect()) == [3, 5]
+
+
+def test_vectors_of_every_length_link(spark):
+    rows = [(i, [1.0, 0.1 * i, 0.0]) for i in range(5)] + [(10, [1.0, 0.0]), (11, [1.0, 0.0]), (12, [1.0, 0.01]), (13, [0.0, 1.0]), (14, [5.0])]
+    out = {r.id: (r.n_links, r.component) for r in near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    for i, v in rows:
+        near = [j for j, w in rows if j != i and len(v) == len(w)
+                and np.dot(v, w) >= 0.9 * np.linalg.norm(v) * np.linalg.norm(w)]
+        assert out[i][0] == len(near)
+    assert {out[i][1] for i in (10, 11, 12)} == {10} and out[13] == (0, 13) and out[14] == (0, 14)
+
+
+def test_batches_fill_the_budget(spark):
+    docs = spark.range(20_000).selectExpr("id doc_id", "'a b c' text", "1 slot", "id Batch").coalesce(1)
+    out = pack(docs)
+    assert out.columns == ["doc_id", "text", "n_tokens", "bucket", "boundary", "batch", "slot"]
+    rows = out.toPandas()
+    assert rows.batch.nunique() == 1 and sorted(rows.slot) == list(range(20_000))
+    several = pack(docs.repartition(3), budget=3000).toPandas().groupby("batch").size()
+    assert (several == 1000).sum() >= len(several) - 3           # one open batch a split
+
+
+def test_columns_with_inner_names_are_kept(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k", 5, 6, 7, "row"), (2, "x", 8, 9, 10, "r")],
+                                 "doc_id long, text string, __info int, __rk int, __did int, row string")
+    items = spark.createDataFrame([("i", "a b c d e f g h i j")], "item_id string, text string")
+    assert remove_contaminated(docs, items).collect() == docs.where("doc_id = 2").collect()
+    assert scan(docs).drop("spans").orderBy("doc_id").collect() == docs.orderBy("doc_id").collect()
+    both = docs.unionByName(docs)
+    assert sorted(keep_one(both).collect()) == sorted(docs.collect()) and keep_one(both).columns == docs.columns
+
+
+def test_whole_language_codes():
+    assert [_declared(f"<html lang={x}>") for x in ("fil", "'haw-US'", '"en-GB"', "")] == ["fil", "haw", "en", ""]
