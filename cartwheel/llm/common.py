@@ -37,8 +37,8 @@ _scratch: list[list[str]] = []
 def new_path(spark: SparkSession, name: str) -> str:
     """A path of its own in the shared folder."""
     folder = os.path.join(shared_dir(spark), "cartwheel-llm", uuid.uuid4().hex)
-    if _scratch:
-        _scratch[-1].append(folder)
+    for folders in _scratch:
+        folders.append(folder)
     return os.path.join(folder, name)
 
 
@@ -52,9 +52,9 @@ def noted() -> Iterator[list[str]]:
         _scratch.pop()
 
 
-def release(spark: SparkSession, folders: list[str], needed: DataFrame) -> list[str]:
-    """Delete the folders that hold no input file of ``needed``; returns those left."""
-    files = needed.inputFiles()
+def release(spark: SparkSession, folders: list[str], *needed: DataFrame | None) -> list[str]:
+    """Delete the folders that hold no input file of any frame ``needed``; returns those left."""
+    files = [f for df in needed if df is not None for f in df.inputFiles()]
     left = []
     for folder in folders:
         if any(f"/{os.path.basename(folder)}/" in f for f in files):

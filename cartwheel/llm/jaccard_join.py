@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import attach, free_name, key_names, keyed, materialize, table, with_key
+from cartwheel.llm.common import attach, free_name, key_names, keyed, materialize, noted, release, table, with_key
 from cartwheel.llm.components import components
 from cartwheel.llm.textkit import SPACE, U, chunks, mix, words
 
@@ -215,12 +215,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def links(docs: DataFrame, k: int = 3, percent: int = 90, frequent: int = 64, rounds: int = 3):
     """``(rows, labels)``: each row's ``id, did, rk, sig, n``, and each linked set's
     ``node`` (its hash) and component ``label``."""
+    with noted() as folders:
+        return _links(docs, k, percent, frequent, rounds, folders)
+
+
+def _links(docs: DataFrame, k: int, percent: int, frequent: int, rounds: int, folders: list[str]):
+    """``links``; of the written tables in ``folders`` only those go on that a later step reads."""
+    spark = docs.sparkSession
     scores = word_classes(docs)
     rows = materialize(docs.select("id", "did", "rk", "text").mapInArrow(
         _sets(k, percent, scores), "id long, did long, rk long, sig long, n long, prefix array<long>"), "sets")
     uniq = materialize(rows.where("n > 0").groupBy("sig", "n").agg(
         F.min(F.struct("did", "rk")).alias("at"), F.first("prefix").alias("prefix")), "distinct_sets")
     index, sets = _entries(docs, uniq, k, percent, frequent)
+    release(spark, folders, rows, index, sets)
     bits = sets.select("sig", "bits")
     folded = materialize(sets.select("sig", _folded("bits").alias("bits")), "folded")
     found, labels, tried = None, None, None
@@ -261,6 +269,8 @@ def links(docs: DataFrame, k: int = 3, percent: int = 90, frequent: int = 64, ro
         new = _verified(pairs, sets, percent)
         found = new if found is None else found.unionByName(new)
         labels = components(found)
+        release(spark, folders, rows, index, sets, folded, found, tried, labels)
+    release(spark, folders, rows, labels)
     return rows.drop("prefix"), labels
 
 
@@ -284,10 +294,9 @@ def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each group of near duplicates. Rows equal in id and text,
     null ids and texts without words included, are one: of them the least by all columns stays."""
-    groups = jaccard_groups(keyed(docs), k, percent)
-    # equal rows have one keeper; they are counted before the shuffle, so a row with many copies is no hot key
-    marks = groups.groupBy("did", "rk").agg(F.max(F.expr("keeper.did <> did or keeper.rk <> rk")).alias("gone"), F.count("*").alias("m"))
-    marks = materialize(marks.where("gone or m > 1").select("did", "rk", "gone"), "near_copies")
+    with noted() as folders:
+        marks = _marks(docs, k, percent)
+    release(docs.sparkSession, folders, marks)
     info = free_name(docs, "__info")
     left = attach(docs, marks, "left").where(F.col(info).isNull()).drop(info)
     again = materialize(marks.where("not gone"), "repeated_rows")
@@ -299,6 +308,14 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     return left.unionByName(one.select(f"{row}.*"))
 
 
+def _marks(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``did, rk, gone`` of the rows that go and of those that stay but are repeated."""
+    groups = jaccard_groups(keyed(docs), k, percent)
+    # equal rows have one keeper; they are counted before the shuffle, so a row with many copies is no hot key
+    marks = groups.groupBy("did", "rk").agg(F.max(F.expr("keeper.did <> did or keeper.rk <> rk")).alias("gone"), F.count("*").alias("m"))
+    return materialize(marks.where("gone or m > 1").select("did", "rk", "gone"), "near_copies")
+
+
 def op3_jaccard_components(spark, sf_dir: str) -> DataFrame:
     """Shingle count and component of every document."""
     groups = jaccard_groups(keyed(table(spark, sf_dir, "documents")))
