@@ -86,13 +86,14 @@ def to_double(c: Column, dtype: T.DataType | None = None) -> Column:
     would be counted as ``>21 Days`` instead of ``Unknown``.
     """
     if isinstance(dtype, T.VariantType):
-        d = F.try_variant_get(c, "$", "double")
+        d = (F.when(F.schema_of_variant(c) == F.lit("BOOLEAN"), F.try_variant_get(c, "$", "boolean").cast("double"))
+             .otherwise(_text_to_number(F.try_variant_get(c, "$", "string"))))
     elif isinstance(dtype, T.NullType):
         return F.lit(None).cast("double")
     elif isinstance(dtype, (*_INTEGRAL, *_FRACTIONAL, T.DecimalType, T.BooleanType)):
         d = c.cast("double")
     else:
-        d = c.cast("string").try_cast("double")
+        d = _text_to_number(c.cast("string"))
     return F.when(~F.isnan(d), d)
 
 

@@ -201,3 +201,42 @@ _BODIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {name: FACTS + body for name, body in _BODIES.items()}
+
+# The facts of the dirty deliveries (``fixtures.delivered_raw_orders``), by the same rules.
+DIRTY_FACTS = (FACTS.replace("WITH fact_orders AS", "WITH clean_orders AS")
+               .replace("fact_order_products AS (", "clean_products AS (") + """,
+deliveries(day) AS (VALUES (1), (2)),
+fact_orders AS (
+    SELECT order_id, user_id,
+           CASE WHEN order_id % 37 = 0 THEN NULL WHEN order_id % 23 = 0 THEN 0 ELSE order_number END AS order_number,
+           CASE WHEN order_id % 17 = 0 THEN NULL WHEN order_id % 7 = 0 THEN 9 ELSE order_dow END AS order_dow,
+           CASE WHEN order_id % 19 = 0 THEN 24 ELSE order_hour_of_day END AS order_hour_of_day,
+           CASE WHEN order_id % 53 = 0 THEN NULL WHEN order_id % 29 = 0 THEN CAST(-1 AS DOUBLE)
+                ELSE days_since_prior_order END AS days_since_prior_order,
+           eval_set
+    FROM clean_orders, deliveries
+    WHERE (day = 1 OR order_id % 11 = 0) AND order_id % 31 <> 0
+),
+fact_order_products AS (
+    SELECT order_id, product_id, CASE WHEN order_id % 47 = 0 THEN '' ELSE product_name END AS product_name,
+           aisle, department,
+           CASE WHEN order_id % 47 <> 0 AND order_id % 43 = 0 AND add_to_cart_order = 1 THEN 0
+                ELSE add_to_cart_order END AS add_to_cart_order,
+           reordered
+    FROM clean_products, deliveries
+    WHERE (day = 1 OR order_id % 11 = 0) AND (order_id % 41 <> 0 OR order_id % 43 = 0 OR order_id % 47 = 0)
+)
+""")
+
+for _name in ("dq_order_duplicates", "dq_order_nulls", "dq_order_ranges", "dq_product_rows", "dq_orphan_products",
+              "dq_product_line_consistency", "validate_load", "reorder_interval_distribution", "fact_orders",
+              "fact_order_products"):
+    ORACLE_SQL[f"dirty_{_name}"] = DIRTY_FACTS + _BODIES[_name]
+ORACLE_SQL["dirty_dq_raw_orders"] = """
+    SELECT CAST(sum(n) AS BIGINT) AS raw_rows,
+           CAST(sum(n) FILTER (WHERE k % 41 = 0 AND k % 43 <> 0 AND k % 47 <> 0) AS BIGINT) AS unparsed_product_cells,
+           CAST(sum(n * (CAST(k % 17 = 0 AS INTEGER) + CAST(k % 53 = 0 AS INTEGER))) AS BIGINT) AS coercion_failures
+    FROM (SELECT o_orderkey AS k, 1 + CAST(o_orderkey % 13 = 0 AS INTEGER) + CAST(o_orderkey % 11 = 0 AS INTEGER) AS n
+          FROM orders) o"""
+ORACLE_SQL["mixed_fact_orders"] = FACTS + _BODIES["fact_orders"]
+ORACLE_SQL["mixed_fact_order_products"] = FACTS + "SELECT * FROM fact_order_products WHERE order_id % 3 <> 2"

@@ -9,13 +9,22 @@ never parses a product list).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.operators.facts import build_fact_order_products, build_fact_orders
+from cartwheel.operators.facts import (
+    build_fact_order_products,
+    build_fact_orders,
+    coerce_orders,
+    first_orders,
+    first_products,
+    flatten_products,
+)
 from cartwheel.plans import dashboard as Q
 from cartwheel.plans import quality as D
-from cartwheel.sources import fixtures
+from cartwheel.sources import fixtures, storage
+from cartwheel.streaming.ingest import scan_files
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -96,6 +105,55 @@ def dq_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.dq_raw_orders(fixtures.raw_orders(spark, sf_dir))
 
 
+# Checks that clean tables cannot trigger, on deliveries that are dirty by rule.
+DIRTY = ["dq_order_duplicates", "dq_order_nulls", "dq_order_ranges", "dq_product_rows", "dq_orphan_products",
+         "dq_product_line_consistency", "validate_load", "reorder_interval_distribution"]
+
+
+def _from_deliveries(name: str) -> QueryFn:
+    needs, _ = FACT_QUERIES[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = fixtures.delivered_raw_orders(spark, sf_dir)
+        fo = build_fact_orders(raw, fixtures.FIXTURE_LOADED_AT) if "o" in needs else None
+        fp = build_fact_order_products(raw, fixtures.FIXTURE_LOADED_AT) if "p" in needs else None
+        return run_on_facts(name, fo, fp)
+    run.__name__ = f"dirty_{name}"
+    return run
+
+
+def dirty_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fact_orders of the dirty deliveries: coerced, the first row of each order and delivery."""
+    return build_fact_orders(fixtures.delivered_raw_orders(spark, sf_dir), fixtures.FIXTURE_LOADED_AT).drop("loaded_at")
+
+
+def dirty_fact_order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fact_order_products of the dirty deliveries."""
+    return build_fact_order_products(fixtures.delivered_raw_orders(spark, sf_dir), fixtures.FIXTURE_LOADED_AT).drop("loaded_at")
+
+
+def dirty_dq_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw-order quality of the dirty deliveries."""
+    return D.dq_raw_orders(fixtures.delivered_raw_orders(spark, sf_dir))
+
+
+def mixed_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fact_orders from a folder of files of three schemas, scanned by schema group."""
+    raws = _mixed(spark, sf_dir)
+    return first_orders(reduce(DataFrame.unionByName, map(coerce_orders, raws)), fixtures.FIXTURE_LOADED_AT).drop("loaded_at")
+
+
+def mixed_fact_order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fact_order_products from the same folder; one kind of file has no products."""
+    raws = [flatten_products(raw) for raw in _mixed(spark, sf_dir) if "products" in raw.columns]
+    return first_products(reduce(DataFrame.unionByName, raws), fixtures.FIXTURE_LOADED_AT).drop("loaded_at")
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    files = storage.listing(spark, fixtures.mixed_folder(spark, sf_dir), "*.parquet").select("path").collect()
+    return scan_files(spark, [f.path for f in files])
+
+
 QUERIES: dict[str, QueryFn] = {
     **{name: _from_tables(name) for name in FACT_QUERIES},
     "dq_raw_orders": dq_raw_orders,
@@ -105,4 +163,11 @@ QUERIES: dict[str, QueryFn] = {
     # the same facts by way of payload envelopes and landing (text columns)
     "landed_fact_orders": landed_fact_orders,
     "landed_fact_order_products": landed_fact_order_products,
+    # dirty deliveries, and files of several schemas
+    **{f"dirty_{name}": _from_deliveries(name) for name in DIRTY},
+    "dirty_fact_orders": dirty_fact_orders,
+    "dirty_fact_order_products": dirty_fact_order_products,
+    "dirty_dq_raw_orders": dirty_dq_raw_orders,
+    "mixed_fact_orders": mixed_fact_orders,
+    "mixed_fact_order_products": mixed_fact_order_products,
 }

@@ -35,12 +35,14 @@ and sort-merges otherwise.
 from __future__ import annotations
 
 import os
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cartwheel.operators.facts import build_fact_order_products, build_fact_orders
-from cartwheel.schemas import ROW_INDEX
+from cartwheel.schemas import ROW_INDEX, SOURCE_FILE
+from cartwheel.session import checkpoint_dir
 
 # --- Fixed values: the mapping from test-table codes to contract values. ---
 EVAL_SET_BY_STATUS = {"F": "prior", "O": "train", "P": "test"}
@@ -153,6 +155,64 @@ def fact_order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_fact_order_products(raw_orders(spark, sf_dir), FIXTURE_LOADED_AT)
 
 
+def delivered_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw orders as two deliveries of text, dirty by rule: an order whose id is
+    divisible by ``n`` has
+
+    ==  ===================================  ==  ===================================
+     3  its hour written with ``.0``         31  a blank user (its products are orphans)
+     7  day of week 9                        37  no order number
+    11  a second delivery                    41  a products cell cut short
+    13  a second row, of user 0, after it    43  a first product at cart place 0
+    17  day of week ``x``                    47  products without names
+    19  hour 24                              53  a gap of ``1d``
+    23  order number 0                       29  a gap of -1
+    ==  ===================================  ==  ===================================
+
+    Where two rules meet on a column, the larger ``n`` wins.
+    """
+    raw = raw_orders(spark, sf_dir)
+    key = F.col("order_id")
+
+    def dirty(value, rules: dict):
+        out = None
+        for n, other in sorted(rules.items(), reverse=True):
+            out = F.when(key % n == 0, other) if out is None else out.when(key % n == 0, other)
+        return out.otherwise(value)
+
+    def row(day: str, nth: int):
+        return F.struct(F.lit(day).alias("day"), F.lit(nth).alias("nth"))
+    rows = raw.withColumn("row", F.explode(F.array_compact(F.array(
+        row("day-1", 0), F.when(key % 13 == 0, row("day-1", 1)), F.when(key % 11 == 0, row("day-2", 0))))))
+    hour = F.col("order_hour_of_day").cast("string")
+    products = F.col("products")
+    return rows.select(
+        key.cast("string").alias("order_id"),
+        F.when(F.col("row.nth") == 1, "0").otherwise(dirty(F.col("user_id").cast("string"), {31: F.lit(" ")})).alias("user_id"),
+        dirty(F.col("order_number").cast("string"), {23: F.lit("0"), 37: F.lit(None).cast("string")}).alias("order_number"),
+        dirty(F.col("order_dow").cast("string"), {7: F.lit("9"), 17: F.lit("x")}).alias("order_dow"),
+        dirty(hour, {3: F.concat(hour, F.lit(".0")), 19: F.lit("24")}).alias("order_hour_of_day"),
+        dirty(F.col("days_since_prior_order").cast("string"), {29: F.lit("-1"), 53: F.lit("1d")}).alias("days_since_prior_order"),
+        "eval_set",
+        dirty(products, {41: F.lit('[{"product_id":'), 47: F.replace(products, F.lit('"product_name"'), F.lit('"name"')),
+                         43: F.replace(products, F.lit('{"add_to_cart_order":1,'), F.lit('{"add_to_cart_order":0,'))}).alias("products"),
+        F.col("row.day").alias(SOURCE_FILE),
+        (F.col(ROW_INDEX) * 2 + F.col("row.nth")).alias(ROW_INDEX),
+    )
+
+
+def mixed_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of raw-order files of three schemas, dealt by the order id: text columns,
+    typed columns, and typed columns without products. Returns its path, in the shared folder."""
+    raw = raw_orders(spark, sf_dir).drop(ROW_INDEX)
+    path = os.path.join(checkpoint_dir(spark), "cartwheel-mixed", uuid.uuid4().hex)
+    third = F.col("order_id") % 3
+    for part in (raw.where(third == 0).select(*[F.col(c).cast("string") for c in raw.columns]),
+                 raw.where(third == 1), raw.where(third == 2).drop("products")):
+        part.write.mode("append").parquet(path)
+    return path
+
+
 def payload_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw orders as API payloads: one JSON document per order,
     ``{"status": "ok", "data": [order]}``, with ``products`` a nested list.

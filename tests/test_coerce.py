@@ -51,3 +51,17 @@ def test_to_text(spark):
     rows = df.select(to_text(F.col("s"), T.StringType()).alias("s"),
                      to_text(F.col("i"), T.IntegerType()).alias("i")).collect()
     assert [tuple(r) for r in rows] == [("", ""), ("a", "5")]
+
+
+def test_type_suffixes_are_no_numbers(spark):
+    """The engine's cast takes ``1d`` and ``2.0F``; neither path of either rule does."""
+    from pyspark.sql import functions as F, types as T
+
+    from cartwheel.functions.coerce import to_double, to_long
+    texts = ["1d", "2.0F", " 3D ", "4", "5.0", "1e3", "nan", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("v", F.to_variant_object(F.array("t")))
+    v = F.try_variant_get("v", "$[0]", "variant")
+    rows = df.select(to_double(F.col("t"), T.StringType()).alias("dt"), to_double(v, T.VariantType()).alias("dv"),
+                     to_long(F.col("t"), T.StringType()).alias("lt"), to_long(v, T.VariantType()).alias("lv")).collect()
+    assert [r.dt for r in rows] == [r.dv for r in rows] == [None, None, None, 4.0, 5.0, 1000.0, None, None]
+    assert [r.lt for r in rows] == [r.lv for r in rows] == [None, None, None, 4, 5, 1000, None, None]
