@@ -12,7 +12,9 @@ the lengths. Then the chain is verified from the start of each file: every
 split folds its candidates to the first offset beyond the split, pointer jumping
 over these exits (two, four, eight ... splits at once) finds where the chain enters each split, and a
 second look at the split keeps what the chain reaches. All else is payload, and
-the pieces of a record that a magic cut apart are joined again.
+the pieces of a record that a magic cut apart are joined again. For these the archives are
+read a second time, split as they were the first time whatever cores are alive by then; a
+record whose pieces are not found whole is an error, never a missing row.
 
 Null html reads as empty. Pages equal in payload and smallest id are all
 responses. A null id never becomes the smallest while another is there. A record cut
@@ -21,6 +23,9 @@ off by the end of its file is not returned.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -79,6 +84,32 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     joined.select(record.alias("value")).write.option("lineSep", END).text(path)
 
 
+_SPLITS = ("spark.sql.files.minPartitionNum", "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+
+
+def _split_settings(spark: SparkSession) -> dict[str, str]:
+    """What Spark splits files by. Without a least number of partitions it takes that of the
+    cores alive at planning, so it is taken down as well."""
+    least = spark.conf.get(_SPLITS[0], None) or str(spark.sparkContext.defaultParallelism)
+    return {_SPLITS[0]: least, **{name: spark.conf.get(name) for name in _SPLITS[1:]}}
+
+
+@contextmanager
+def _splitting(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Files read and written on inside the block are split by ``settings``."""
+    old = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in old.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """Pieces between magics in file order: file, split, place in the split, and the raw piece."""
     return (spark.read.option("lineSep", MAGIC).text(path)
@@ -139,14 +170,18 @@ def _follow(pdf: pd.DataFrame) -> pd.DataFrame:
     if not len(enter):
         return pdf.iloc[:0][["file", "block", "place", "offset"]].assign(owner=0)
     offset, nxt = pdf["offset"].to_numpy(), pdf["next"].to_numpy()
-    at, owner = int(enter.iloc[0]), np.full(len(offset), -1, np.int64)
-    places = {o: k for k, o in enumerate(offset.tolist())}
-    while at in places:
-        k = places[at]
-        owner[(offset >= at) & (offset < nxt[k])] = at if nxt[k] - at > 0 else -1
-        if nxt[k] <= at:
+    following = dict(zip(offset.tolist(), nxt.tolist()))
+    at, chain = int(enter.iloc[0]), []
+    while at in following:
+        chain.append(at)
+        if following[at] <= at:
             break
-        at = int(nxt[k])
+        at = following[at]
+    begin = np.array(chain, np.int64)
+    end = np.array([following[o] for o in chain], np.int64)
+    holder = np.searchsorted(begin, offset, side="right") - 1
+    inside = (holder >= 0) & (offset < end[holder])
+    owner = np.where(inside, begin[holder], -1)
     return pdf.assign(owner=owner)[["file", "block", "place", "offset", "owner"]]
 
 
@@ -154,7 +189,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row for each record on the chain of its file: ``file, offset, type, page_id,
     refers_to, url, digest, payload_bytes, sha1``; for a revisit the payload's
     length and digest are those that it declares."""
-    cands = materialize(_candidates(_pieces(spark, path)), "candidates")
+    splits_by = _split_settings(spark)
+    with _splitting(spark, splits_by):
+        cands = materialize(_candidates(_pieces(spark, path)), "candidates")
     # offsets: running sums over the splits of a file, then over the pieces of a split
     splits = cands.groupBy("file", "block").agg(F.sum(F.col("bytes") + len(MAGIC)).alias("total"), F.max("file_size").alias("file_size"))
     before = F.coalesce(F.sum("total").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -185,10 +222,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         jump = materialize(step.join(further, ["file", "leave"]).select("file", "offset", F.col("beyond").alias("leave")), "jumps")
     entries = reached.withColumnRenamed("offset", "enter")
     marked = chain.join(entries, (chain["file"] == entries["file"]) & (chain["offset"] == entries["enter"]), "left").drop(entries["file"])
-    return _records(spark, path, cands, materialize(marked, "marked"))
+    return _records(spark, path, splits_by, cands, materialize(marked, "marked"))
 
 
-def _records(spark: SparkSession, path: str, cands: DataFrame, marked: DataFrame) -> DataFrame:
+def _records(spark: SparkSession, path: str, splits_by: dict[str, str], cands: DataFrame, marked: DataFrame) -> DataFrame:
     owned = materialize(marked.groupBy("file", "block").applyInPandas(
         _follow, "file string, block long, place long, offset long, owner long"), "owned")
     key = ["file", "block", "place"]
@@ -206,10 +243,16 @@ def _records(spark: SparkSession, path: str, cands: DataFrame, marked: DataFrame
     joined = (_pieces(spark, path).join(inside, key).groupBy("file", "lo")
               .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("parts"))
               .select("file", F.col("lo").alias("offset"), F.array_join(F.col("parts.value"), MAGIC).cast("binary").alias("raw")))
-    whole = (broken.join(joined, ["file", "offset"])
-             .withColumn("record", F.col("record").withField("sha1", F.sha1(F.substr(
-                 F.col("raw"), (F.col("record.body_at") + 1).cast("int"), F.col("record.body_bytes").cast("int"))))))
-    return _shaped(plain.unionByName(whole.select("file", "offset", "record.*")))
+    rec, raw = F.col("record"), F.col("raw")
+    body = F.substr(raw, (rec.body_at + 1).cast("int"), rec.body_bytes.cast("int"))
+    # the magic stands before the first piece; after the last come the record's end and what the next record's magic cut off
+    found = F.octet_length(raw) >= F.col("next") - F.col("offset") - len(MAGIC) - len(END)
+    lost = F.raise_error(F.concat(F.lit("a record was read in part: "), F.col("file"), F.lit(" at "), F.col("offset").cast("string")))
+    sha1 = F.when(F.coalesce(found, F.lit(False)), F.sha1(body)).otherwise(lost.cast("string"))
+    whole = broken.join(joined, ["file", "offset"], "left").withColumn("record", rec.withField("sha1", sha1))
+    with _splitting(spark, splits_by):
+        whole = materialize(whole.select("file", "offset", "record.*"), "joined_records")
+    return _shaped(plain.unionByName(whole))
 
 
 def _shaped(records: DataFrame) -> DataFrame:

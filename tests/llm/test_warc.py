@@ -32,3 +32,48 @@ def test_round_trip_with_magic_in_payloads(spark, split):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_archives_are_split_alike_in_both_reads(spark, monkeypatch):
+    """Other settings, as after the loss of executors, between the two reads of a record that magics cut."""
+    from cartwheel.llm import warc
+    pages = [(i, "u", f"page {i} " + FAKE * (i % 4)) for i in range(300)]
+    path = new_path(spark, "archives")
+    write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(2), path)
+    read, old = warc._pieces, spark.conf.get("spark.sql.files.maxPartitionBytes")
+    seen = []
+
+    def pieces(spark, path):
+        out = read(spark, path)
+        seen.append(spark.conf.get("spark.sql.files.minPartitionNum", None))
+        return out
+    monkeypatch.setattr(warc, "_pieces", pieces)
+    shaped = warc._records
+
+    def records(spark, *rest):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000b")
+        return shaped(spark, *rest)
+    monkeypatch.setattr(warc, "_records", records)
+    try:
+        got = read_archives(spark, path).select("page_id", "payload_bytes", "digest").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = [(p, len(h.encode()), base64.b32encode(hashlib.sha1(h.encode()).digest()).decode()) for p, _, h in pages]
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert len(seen) == 2 and spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
+def test_many_records_in_one_split_take_linear_time():
+    import time
+    import numpy as np
+    import pandas as pd
+    from cartwheel.llm.warc import _follow
+    n = 80_000
+    at = np.arange(n, dtype=np.int64) * 100
+    # every second candidate is inside a record of 200 bytes
+    rows = pd.DataFrame({"file": "f", "block": 0, "place": np.arange(n), "offset": at, "next": at + 200, "enter": np.nan})
+    rows.loc[0, "enter"] = 0
+    began = time.monotonic()
+    out = _follow(rows)
+    assert time.monotonic() - began < 2
+    assert out["owner"].tolist() == (at // 200 * 200).tolist()
