@@ -31,15 +31,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import attach, keyed, materialize, table
-from cartwheel.llm.textkit import SPACE, U, chunks, mix, powers, words
+from cartwheel.llm.textkit import SPACE, U, chunks, coefficients, mix, words
 
 NEWLINE = 10
 PARTS = 3
 
 
 def _lines(data: np.ndarray, offs: np.ndarray):
-    """Lines with words: text number, line number, first and end word; and the
-    prefix sums of word hashes from which any stretch of words is hashed."""
+    """Lines with words: text number, line number, first and end word; and two prefix
+    sums, from which stretches of a line's words are hashed.
+
+    A word's part in a sum is its hash times a coefficient drawn for its place in the line; in the second sum
+    the coefficient of the place before, as if a word to its left were gone. Coefficients that
+    are no powers leave sequences no common pattern by which their sums agree."""
     start, _, doc, h = words(data, offs, ~SPACE)
     breaks = np.concatenate([[0], np.cumsum(data == NEWLINE)])
     line = breaks[start] - breaks[offs[doc]]
@@ -47,14 +51,18 @@ def _lines(data: np.ndarray, offs: np.ndarray):
     new[1:] = (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
     first = np.flatnonzero(new)
     end = np.append(first[1:], len(start))
-    prefix = np.zeros(len(h) + 1, U)
-    np.cumsum(mix(h ^ U(0x9FB21C651E98DF25)) * powers(len(h) + 1)[0][:len(h)], out=prefix[1:])
-    return doc[first], line[first], first, end, prefix
+    h = mix(h ^ U(0x9FB21C651E98DF25))
+    place = np.arange(len(h)) - np.repeat(first, end - first)
+    drawn = coefficients(int(place.max()) + 1 if len(place) else 1)
+    sums = np.zeros((2, len(h) + 1), U)
+    np.cumsum(h * drawn[place], out=sums[0, 1:])
+    np.cumsum(h * drawn[np.maximum(place - 1, 0)], out=sums[1, 1:])
+    return doc[first], line[first], first, end, sums
 
 
-def _stretch(prefix: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Hash of the words [a, b), the same wherever they stand."""
-    return (prefix[b] - prefix[a]) * powers(len(prefix))[1][a]
+def _stretch(sums: np.ndarray, a: np.ndarray, b: np.ndarray, left: int = 0) -> np.ndarray:
+    """Hash of the words [a, b) at their places in the line, or each ``left`` (0, 1) places to the left."""
+    return sums[left][b] - sums[left][a]
 
 
 def _part(a: np.ndarray, short: np.ndarray, part: int, longer: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,11 +76,11 @@ def _line_rows(min_words: int):
         for batch in batches:
             did, rk = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             for lo, _, data, offs in chunks(batch.column(2)):
-                doc, line, a, b, prefix = _lines(data, offs)
+                doc, line, a, b, sums = _lines(data, offs)
                 if not len(doc):
                     continue
                 n = b - a
-                whole = mix(_stretch(prefix, a, b) + n.astype(U))
+                whole = mix(_stretch(sums, a, b) + n.astype(U))
                 around = []
                 # as the shorter (or equally long) line of a pair, and as the longer one
                 for longer in (0, 1):
@@ -80,7 +88,7 @@ def _line_rows(min_words: int):
                     for part in range(PARTS):
                         x, y = _part(a, short, part, longer)
                         tag = mix((short * PARTS + part).astype(U) ^ U(0xA0761D6478BD642F))
-                        rest = mix(_stretch(prefix, a, x) + tag) ^ mix(_stretch(prefix, y, np.maximum(y, b)) - tag)
+                        rest = mix(_stretch(sums, a, x) + tag) ^ mix(_stretch(sums, y, np.maximum(y, b), longer) - tag)
                         around.append(mix(rest).view(np.int64))
                 long_enough = n >= min_words
                 keys = np.stack(around, axis=1)[long_enough].ravel()
@@ -98,7 +106,7 @@ def _variant_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         did, rk = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
         picks = batch.column(3)
         for lo, hi, data, offs in chunks(batch.column(2)):
-            doc, line, a, b, prefix = _lines(data, offs)
+            doc, line, a, b, sums = _lines(data, offs)
             mine = picks.slice(lo, hi - lo)
             pick = mine.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             row = np.repeat(np.arange(hi - lo), np.diff(mine.offsets.to_numpy()))
@@ -108,13 +116,13 @@ def _variant_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             which = (pick & 7).astype(np.int64)
             longer, part = which // PARTS, which % PARTS
             n = b[at] - a[at]
-            whole = mix(_stretch(prefix, a[at], b[at]) + n.astype(U))
+            whole = mix(_stretch(sums, a[at], b[at]) + n.astype(U))
             x = a[at] + (n - longer) * part // PARTS
             y = a[at] + (n - longer) * (part + 1) // PARTS + longer
             of = np.repeat(np.arange(len(at)), y - x)
             cut = np.repeat(x - (np.cumsum(y - x) - (y - x)), y - x) + np.arange(len(of))
             i = cut - a[at][of]
-            rest = _stretch(prefix, a[at][of], cut) + _stretch(prefix, cut + 1, b[at][of]) * powers(len(prefix))[0][i]
+            rest = _stretch(sums, a[at][of], cut) + _stretch(sums, cut + 1, b[at][of], 1)
             short = mix(rest + (n[of] - 1).astype(U))            # the hash that the shorter line has itself
             place = mix(short ^ mix(i.astype(U) + U(0xE7037ED1A0B428DB)))
             self_at = np.flatnonzero(longer == 0)

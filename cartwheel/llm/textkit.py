@@ -2,9 +2,9 @@
 
 The functions work on the UTF-8 bytes of many documents at once: a chunk is the
 concatenated bytes of some rows and the offsets between them, so one numpy call
-serves thousands of documents. Hashes are 64-bit polynomial prefix hashes
-(``h(s) = sum((s[j] + 1) * P**j)`` modulo 2**64, mixed), from which the hash of
-any substring follows in constant time.
+serves thousands of documents. Hashes of any substring follow in constant time from 64-bit
+polynomial prefix hashes (``h(s) = sum((s[j] + 1) * P**j)`` modulo 2**64, mixed); hashes
+of words are sums with drawn coefficients.
 """
 
 from __future__ import annotations
@@ -45,6 +45,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+_drawn = {"c": np.zeros(0, U)}
+
+
+def coefficients(n: int) -> np.ndarray:
+    """At least ``n`` values that look drawn at random, the same in every task; grown on demand and kept by the worker.
+    Sums of values times such coefficients have no sequences that always agree, as sums
+    of powers modulo 2**64 have."""
+    if len(_drawn["c"]) < n:
+        at = np.arange(max(n, 2 * len(_drawn["c"]), 1 << 12), dtype=U)
+        with np.errstate(over="ignore"):
+            _drawn["c"] = mix(mix(at + U(0x8BB84B93962EACC9)) ^ U(0x4B33A62ED433D4A3)) | U(1)
+    return _drawn["c"]
+
+
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """Prefix sums from which ``span_hash`` takes any substring's hash."""
     power, _ = powers(len(data))
@@ -53,6 +67,9 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
     return out
 
 
+_BYTE_VALUES = mix(mix(np.arange(256, dtype=U) + U(0x589965CC75374CC3)))
+
+
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Unmixed hash of the bytes [start, end): equal bytes, equal hash, wherever they are."""
     return (prefix[end] - prefix[start]) * powers(len(prefix))[1][start]
@@ -100,11 +117,19 @@ def runs(mask: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def words(data: np.ndarray, offs: np.ndarray, is_word: np.ndarray, lower: bool = True):
-    """Words of a chunk: start, end, text number and 64-bit hash, with A-Z lower-cased if asked."""
+    """Words of a chunk: start, end, text number and 64-bit hash, with A-Z lower-cased if asked.
+
+    The hash is the mixed sum of a value drawn for each byte times a coefficient drawn for its place in the word."""
     body = LOWER[data] if lower else data
-    start, end, doc = runs(is_word[data], offs)
-    h = mix(span_hash(prefix_hash(body), start, end) + (end - start).astype(U)) if len(start) else np.zeros(0, U)
-    return start, end, doc, h
+    inside = is_word[data]
+    start, end, doc = runs(inside, offs)
+    if not len(start):
+        return start, end, doc, np.zeros(0, U)
+    size = end - start
+    first = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    total = np.add.reduceat(_BYTE_VALUES[body[inside]] * coefficients(int(size.max()))[place], first)
+    return start, end, doc, mix(total + size.astype(U))
 
 
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:

@@ -44,3 +44,18 @@ def test_against_brute_force(docs_of):
     want = [(d, None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if (*key[d, t], n) not in gone)) for d, t in rows]
     got = [(r[0].doc_id, r[1]) for r in dedup_lines(docs, 8).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_lines_of_two_words_in_mirrored_order_are_two_lines(docs_of):
+    # sums of powers modulo 2**64 take these for one line, whatever the base
+    order = [bin(i).count("1") & 1 for i in range(1024)]
+    one, other = (" ".join("ab"[b ^ flip] for b in order) for flip in (0, 1))
+    got = {r[0].doc_id: (r[1], r[3]) for r in dedup_lines(docs_of([(1, one), (2, other), (3, one)]), 8).collect()}
+    assert got == {1: (one, 0), 2: (other, 0), 3: ("", 1)}
+
+
+def test_words_in_mirrored_order_are_two_words(docs_of):
+    order = [bin(i).count("1") & 1 for i in range(2048)]
+    one, other = ("".join("ab"[b ^ flip] for b in order) for flip in (0, 1))
+    got = {r[0].doc_id: r[3] for r in dedup_lines(docs_of([(1, one), (2, other), (3, f"{one}\n{other}")]), 8).collect()}
+    assert got == {1: 0, 2: 0, 3: 2}
