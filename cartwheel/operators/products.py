@@ -32,15 +32,18 @@ _ELEMENT = "struct<{}>".format(", ".join(
 PRODUCTS_TYPE = f"array<{_ELEMENT}>"
 
 
+def products_variant(cell: Column, dtype: T.DataType | None = None) -> Column:
+    """``products`` cell → VARIANT (NULL when the cell is not JSON)."""
+    if isinstance(dtype, T.VariantType):
+        return cell
+    if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
+        return F.try_parse_json(F.to_json(cell))
+    return F.try_parse_json(cell.cast("string"))
+
+
 def parse_products(cell: Column, dtype: T.DataType | None = None) -> Column:
     """``products`` cell → ``array<struct>`` (NULL when the cell is not a JSON list)."""
-    if isinstance(dtype, T.VariantType):
-        parsed = cell
-    elif isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
-        parsed = F.try_parse_json(F.to_json(cell))
-    else:
-        parsed = F.try_parse_json(cell.cast("string"))
-    return F.try_variant_get(parsed, "$", PRODUCTS_TYPE)
+    return F.try_variant_get(products_variant(cell, dtype), "$", PRODUCTS_TYPE)
 
 
 def explode_products(raw: DataFrame, carry: list[Column]) -> DataFrame:

@@ -238,5 +238,13 @@ ORACLE_SQL["dirty_dq_raw_orders"] = """
            CAST(sum(n * (CAST(k % 17 = 0 AS INTEGER) + CAST(k % 53 = 0 AS INTEGER))) AS BIGINT) AS coercion_failures
     FROM (SELECT o_orderkey AS k, 1 + CAST(o_orderkey % 13 = 0 AS INTEGER) + CAST(o_orderkey % 11 = 0 AS INTEGER) AS n
           FROM orders) o"""
+ORACLE_SQL["dirty_rejected_values"] = """
+    WITH o AS (SELECT o_orderkey AS k, CAST(o_orderkey % 13 = 0 AS INTEGER) AS again,
+                      1 + CAST(o_orderkey % 13 = 0 AS INTEGER) + CAST(o_orderkey % 11 = 0 AS INTEGER) AS n FROM orders),
+    r AS (SELECT 'order' AS entity, 'order_dow' AS column_name, 'not a number' AS reason, n FROM o WHERE k % 17 = 0
+          UNION ALL SELECT 'order', 'days_since_prior_order', 'not a number', n FROM o WHERE k % 53 = 0
+          UNION ALL SELECT 'order', 'user_id', 'missing key', n - again FROM o WHERE k % 31 = 0
+          UNION ALL SELECT 'products', 'products', 'not a list', n FROM o WHERE k % 41 = 0 AND k % 43 <> 0 AND k % 47 <> 0)
+    SELECT entity, column_name, reason, CAST(sum(n) AS BIGINT) AS rejected FROM r GROUP BY ALL"""
 ORACLE_SQL["mixed_fact_orders"] = FACTS + _BODIES["fact_orders"]
 ORACLE_SQL["mixed_fact_order_products"] = FACTS + "SELECT * FROM fact_order_products WHERE order_id % 3 <> 2"

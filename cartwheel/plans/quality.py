@@ -84,6 +84,12 @@ def dq_raw_orders(raw: DataFrame) -> DataFrame:
     )
 
 
+def dq_rejected_values(raw: DataFrame) -> DataFrame:
+    """What loading a raw frame would not take over as written: counts by entity, column and reason."""
+    from cartwheel.operators.rejects import rejected_values
+    return rejected_values(raw).groupBy("entity", "column_name", "reason").agg(rows().alias("rejected"))
+
+
 def dq_orphan_products(fo: DataFrame, fp: DataFrame) -> DataFrame:
     """Product rows whose order_id has no row in fact_orders.
 

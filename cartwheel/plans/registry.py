@@ -132,6 +132,11 @@ def dirty_fact_order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_fact_order_products(fixtures.delivered_raw_orders(spark, sf_dir), fixtures.FIXTURE_LOADED_AT).drop("loaded_at")
 
 
+def dirty_rejected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of the dirty deliveries that a load would not take over, by entity, column and reason."""
+    return D.dq_rejected_values(fixtures.delivered_raw_orders(spark, sf_dir))
+
+
 def dirty_dq_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw-order quality of the dirty deliveries."""
     return D.dq_raw_orders(fixtures.delivered_raw_orders(spark, sf_dir))
@@ -168,6 +173,7 @@ QUERIES: dict[str, QueryFn] = {
     "dirty_fact_orders": dirty_fact_orders,
     "dirty_fact_order_products": dirty_fact_order_products,
     "dirty_dq_raw_orders": dirty_dq_raw_orders,
+    "dirty_rejected_values": dirty_rejected_values,
     "mixed_fact_orders": mixed_fact_orders,
     "mixed_fact_order_products": mixed_fact_order_products,
 }

@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from cartwheel.operators.rejects import REJECTS
 from cartwheel.schemas import FACT_ORDER_PRODUCTS, FACT_ORDERS, nullable
 from cartwheel.sources import snapshots, storage
 from cartwheel.sources.snapshots import Batch, Snapshot
@@ -43,7 +44,7 @@ def table_path(root: str, name: str) -> str:
 
 
 def table_schema(name: str) -> T.StructType:
-    schema = TABLES[name][0] if name in TABLES else T.StructType.fromDDL(_LOADED)
+    schema = TABLES[name][0] if name in TABLES else T.StructType.fromDDL(_NOTES[name])
     return T.StructType(nullable(schema).fields + [T.StructField(BATCH_COLUMN, T.LongType(), True)])
 
 
@@ -181,7 +182,7 @@ def preview(spark: SparkSession, root: str, name: str, n: int = 10,
 def stage_batch(df: DataFrame, root: str, name: str, batch_id: int) -> Batch:
     """Write one batch of a table into a folder of its own, which no reader sees before
     it is published. ``df`` arrives clustered by its de-duplication key (order_id within
-    a source file); sorting within partitions by the table's sort key gives every
+    a source file); a batch without rows leaves no folder. Sorting within partitions by the table's sort key gives every
     output file one sorted run with tight row-group ranges, without another shuffle.
     """
     spark = df.sparkSession
@@ -212,6 +213,8 @@ def stage_batch(df: DataFrame, root: str, name: str, batch_id: int) -> Batch:
     rows = written.get.get("n")
     if rows is None:                     # no metric at all says nothing about the rows
         rows = spark.read.parquet(path).count() if files else 0
+    if not rows:                         # no snapshot will name it
+        storage.delete(spark, path)
     return Batch(name, int(batch_id), place, int(rows), sum(files), len(files))
 
 
@@ -224,7 +227,12 @@ def write_batch(df: DataFrame, root: str, name: str, batch_id: int) -> None:
 
 
 LOADED_TABLE = "_loaded_files"
-_LOADED = "landing_file string, modified bigint, bytes bigint"
+REJECTS_TABLE = "_rejected_values"
+# Tables beside the facts, live by the same snapshots.
+_NOTES = {
+    LOADED_TABLE: "landing_file string, modified bigint, bytes bigint",
+    REJECTS_TABLE: f"{REJECTS}, loaded_at timestamp",
+}
 
 
 def loaded_files(spark: SparkSession, root: str, snapshot: Snapshot | None = None) -> DataFrame:
@@ -232,8 +240,13 @@ def loaded_files(spark: SparkSession, root: str, snapshot: Snapshot | None = Non
     return read_table(spark, root, LOADED_TABLE, snapshot)
 
 
+def rejected(spark: SparkSession, root: str, snapshot: Snapshot | None = None) -> DataFrame:
+    """The values that the live batches did not load as written, with place, reason and batch."""
+    return read_table(spark, root, REJECTS_TABLE, snapshot)
+
+
 def compact(spark: SparkSession, root: str, target_bytes: int = 256 << 20, fewest: int = 8) -> dict[str, int]:
-    """Merge small batches of both facts and of the note of loaded files; returns the
+    """Merge small batches of both facts, of the rejects and of the note of loaded files; returns the
     number of batches merged in each table.
 
     A table's batches of less than ``target_bytes`` are merged once there are
@@ -245,7 +258,7 @@ def compact(spark: SparkSession, root: str, target_bytes: int = 256 << 20, fewes
     """
     base = snapshots.current(spark, root)
     new, gone, merged = [], set(), {}
-    for name in (*TABLES, LOADED_TABLE):
+    for name in (*TABLES, *_NOTES):
         small = [b for b in base.of(name) if b.bytes < target_bytes]
         if len(small) < max(fewest, 2):
             continue
@@ -266,7 +279,7 @@ def compact(spark: SparkSession, root: str, target_bytes: int = 256 << 20, fewes
 def clean(spark: SparkSession, root: str) -> int:
     """Delete the folders of batches that no kept snapshot names (of loads that crashed, and
     of merged batches). Not while a load runs."""
-    return snapshots.clean(spark, root, [*TABLES, LOADED_TABLE], BATCH_COLUMN)
+    return snapshots.clean(spark, root, [*TABLES, *_NOTES], BATCH_COLUMN)
 
 
 def register_views(spark: SparkSession, root: str) -> None:

@@ -9,7 +9,9 @@ What has been loaded is part of the warehouse's snapshot, beside the facts thems
 3. *schema groups*: the footers of a batch's files are read in parallel and grouped by the types of
    the contract's columns. A file without a required column is an error that names it. Every group
    is scanned with its own schema and coerced; the groups meet as typed rows;
-4. *commit*: both facts and the note of the files are staged and published in one snapshot.
+4. *rejects*: every value that is not loaded as written becomes a row of the reject table, with its place and reason
+   (``operators.rejects``); the load's counts are taken from these rows;
+5. *commit*: both facts, the rejects and the note of the files are staged and published in one snapshot.
 
 A crash at any point before the publication leaves nothing visible, and the next run does
 the batch again; after it, nothing of the batch is pending any more. Processed files can
@@ -37,13 +39,13 @@ from pyspark.sql import types as T
 from cartwheel.operators.facts import (
     MissingColumnsError,
     coerce_orders,
-    coercion_failures,
     empty_fact_order_products,
     first_orders,
     first_products,
     flatten_products,
+    loaded_at_literal,
 )
-from cartwheel.operators.products import unparsed_cell
+from cartwheel.operators.rejects import failed_order_values, rejected_values, unparsed_cells
 from cartwheel.schemas import ORDER_COLUMNS, PRODUCTS_COLUMN, ROW_BLOCK, ROW_INDEX, SOURCE_FILE
 from cartwheel.session import checkpoint_dir
 from cartwheel.sources import landing, snapshots, storage, warehouse
@@ -65,11 +67,14 @@ class IngestStats:
     products_loaded: int = 0
     unparsed_product_cells: int = 0
     coercion_failures: int = 0
+    rejected_values: int = 0
     total_orders_in_db: int | None = None
     total_products_in_db: int | None = None
 
     def as_dict(self) -> dict:
         d = dict(self.__dict__)
+        if not self.rejected_values:
+            d.pop("rejected_values")
         if self.files_processed == 0:
             d.pop("total_orders_in_db")
             d.pop("total_products_in_db")
@@ -201,28 +206,22 @@ def scan_files(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
 
 def stage_facts(raws: list[DataFrame], warehouse_root: str, batch_id: int,
                 loaded_at: datetime) -> tuple[list[snapshots.Batch], IngestStats]:
-    """Write both facts of a batch, given as raw frames that share no de-duplication scope."""
-    orders, products, counted = [], [], []
-    for raw in raws:
-        failed = Observation()
-        counted.append(("coercion_failures", failed))
-        orders.append(coerce_orders(raw.observe(failed, coercion_failures(raw).alias("n"))))
-        if PRODUCTS_COLUMN in raw.columns:
-            # Counted on the same pass that flattens the cells.
-            cells = Observation()
-            counted.append(("unparsed_product_cells", cells))
-            dtype = raw.schema[PRODUCTS_COLUMN].dataType
-            products.append(flatten_products(raw.observe(
-                cells, F.count_if(unparsed_cell(F.col(PRODUCTS_COLUMN), dtype)).alias("n"))))
+    """Write both facts and the rejects of a batch, given as raw frames that share no de-duplication scope."""
+    orders = [coerce_orders(raw) for raw in raws]
+    products = [flatten_products(raw) for raw in raws if PRODUCTS_COLUMN in raw.columns]
     fo = first_orders(reduce(DataFrame.unionByName, orders), loaded_at)
     fp = (first_products(reduce(DataFrame.unionByName, products), loaded_at) if products
           else empty_fact_order_products(raws[0].sparkSession))
-    staged = [warehouse.stage_batch(fo, warehouse_root, warehouse.FACT_ORDERS_TABLE, batch_id),
-              warehouse.stage_batch(fp, warehouse_root, warehouse.FACT_ORDER_PRODUCTS_TABLE, batch_id)]
-    stats = IngestStats(orders_loaded=staged[0].rows, products_loaded=staged[1].rows)
-    for name, observed in counted:
-        setattr(stats, name, getattr(stats, name) + int(observed.get.get("n", 0) or 0))
-    return staged, stats
+    counts = Observation()
+    rejects = (reduce(DataFrame.unionByName, [rejected_values(raw) for raw in raws])
+               .withColumn("loaded_at", loaded_at_literal(loaded_at))
+               .observe(counts, unparsed_cells().alias("cells"), failed_order_values().alias("values")))
+    staged = [warehouse.stage_batch(df, warehouse_root, name, batch_id) for df, name in (
+        (fo, warehouse.FACT_ORDERS_TABLE), (fp, warehouse.FACT_ORDER_PRODUCTS_TABLE), (rejects, warehouse.REJECTS_TABLE))]
+    counted = counts.get if staged[2].rows else {}
+    return staged, IngestStats(
+        orders_loaded=staged[0].rows, products_loaded=staged[1].rows, rejected_values=staged[2].rows,
+        unparsed_product_cells=int(counted.get("cells", 0) or 0), coercion_failures=int(counted.get("values", 0) or 0))
 
 
 def load_batch(raw: DataFrame, warehouse_root: str, batch_id: int,
@@ -290,7 +289,8 @@ def ingest(spark: SparkSession, landing_dir: str, warehouse_root: str,
             if conflicts > RETRIES:
                 raise
             continue
-        for name in ("files_processed", "orders_loaded", "products_loaded", "unparsed_product_cells", "coercion_failures"):
+        for name in ("files_processed", "orders_loaded", "products_loaded", "unparsed_product_cells", "coercion_failures",
+                     "rejected_values"):
             setattr(totals, name, getattr(totals, name) + getattr(stats, name))
         if archive_dir:
             _archive(spark, batches[0], archive_dir)

@@ -171,7 +171,7 @@ def test_units_are_never_cut():
     assert form_batches([], 2) == []
 
 
-@pytest.mark.parametrize("dies_at", range(4))
+@pytest.mark.parametrize("dies_at", range(5))       # after each of the four staged tables, and after the swap
 def test_a_load_that_dies_anywhere_loads_once(spark, env, monkeypatch, dies_at):
     put(env, "a.json", range(4))
     land_payloads(spark, env["payloads"], env["landing"])
@@ -192,7 +192,7 @@ def test_a_load_that_dies_anywhere_loads_once(spark, env, monkeypatch, dies_at):
         m.setattr(snapshots, "publish", publish)
         with pytest.raises(RuntimeError, match="lost"):
             ingest(spark, env["landing"], env["wh"])
-    visible = 4 if dies_at == 3 else 0
+    visible = 4 if dies_at == 4 else 0
     assert len(orders(spark, env)) == products(spark, env) == visible
     ingest(spark, env["landing"], env["wh"])
     ingest(spark, env["landing"], env["wh"], str(dies_at))              # a fresh checkpoint changes nothing
