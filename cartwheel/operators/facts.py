@@ -128,11 +128,31 @@ def flatten_products(raw: DataFrame) -> DataFrame:
     return explode_products(raw, carry).where(F.col("order_id").isNotNull())
 
 
+# Positions in a product list take 25 bits: a list is a VARIANT of at most 128 MiB, in which an
+# element of a list that long takes five bytes (four of its offset, one of its value).
+LIST_BITS = 25
+ROW_BITS = 63 - LIST_BITS
+
+
+def list_rank(row: Column, pos: Column) -> Column:
+    """(row, list position) as one BIGINT of the same order; an error where it would not fit."""
+    fits = (row >= 0) & (row < (1 << ROW_BITS)) & (pos < (1 << LIST_BITS))
+    return F.when(fits, row * (1 << LIST_BITS) + pos).otherwise(
+        F.raise_error(F.lit(f"row positions of {ROW_BITS} bits are needed to rank products")).cast("bigint"))
+
+
 def first_products(rows: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
-    """``fact_order_products`` from flattened rows: the first of each product line and file."""
+    """``fact_order_products`` from flattened rows: the first of each product line and file.
+
+    With a row position alone, row and list position become one rank, so that product columns
+    a query does not use are not carried through the shuffle."""
     file_keys, rank = _provenance(rows)
     payload = [c for c in FACT_ORDER_PRODUCTS_COLUMNS if c not in (*PRODUCT_KEY, "loaded_at")]
-    first = keep_first(rows, [*file_keys, *PRODUCT_KEY], [*rank, "pos"], payload)
+    order = [*rank, "pos"]
+    if rank == [ROW_INDEX]:
+        rows = rows.withColumn("pos", list_rank(F.col(ROW_INDEX), F.col("pos")))
+        order = ["pos"]
+    first = keep_first(rows, [*file_keys, *PRODUCT_KEY], order, payload)
     return first.select(*FACT_ORDER_PRODUCTS_COLUMNS[:-1],
                         loaded_at_literal(loaded_at).alias("loaded_at"))
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from cartwheel.operators.facts import (
     MissingColumnsError,
@@ -110,3 +111,31 @@ def test_dq_raw_orders_counts_what_would_be_lost(spark):
         [("1", "x", '[{"a":NaN}]'), ("2", "3", "[]"), (None, "1.5", "{}"), ("4", "", None)],
         "order_id string, order_number string, products string")
     assert [tuple(r) for r in D.dq_raw_orders(raw).collect()] == [(4, 2, 2)]
+
+
+def test_list_rank_orders_as_row_then_position(spark):
+    from cartwheel.operators.facts import LIST_BITS, ROW_BITS, list_rank
+    rows = [(r, p) for r in (0, 1, 2, (1 << ROW_BITS) - 1) for p in (0, 1, (1 << LIST_BITS) - 1)]
+    ranked = spark.createDataFrame(rows, "r bigint, p int").select("r", "p", list_rank(F.col("r"), F.col("p")).alias("k")).collect()
+    assert [(x.r, x.p) for x in sorted(ranked, key=lambda x: x.k)] == sorted(rows)
+    assert len({x.k for x in ranked}) == len(rows)
+
+
+@pytest.mark.parametrize("row, pos", [(1 << 38, 0), (0, 1 << 25), (-1, 0), (None, 0)])
+def test_list_rank_refuses_what_does_not_fit(spark, row, pos):
+    from cartwheel.operators.facts import list_rank
+    df = spark.createDataFrame([(row, pos)], "r bigint, p int").select(list_rank(F.col("r"), F.col("p")).alias("k"))
+    with pytest.raises(Exception, match="needed to rank products"):
+        df.collect()
+
+
+def test_first_product_by_row_then_list_position(spark):
+    from cartwheel.schemas import ROW_INDEX
+    def line(name):
+        return f'{{"product_id": 5, "add_to_cart_order": 1, "product_name": "{name}"}}'
+    cells = {2: "[" + line("late") + "]", 1: "[" + line("first") + "," + line("second") + "]", 3: "[" + line("last") + "]"}
+    rows = [("7", "1", "1", "0", "7", None, "prior", cell, index) for index, cell in cells.items()]
+    raw = raw_frame(spark, rows, schema="order_id string, user_id string, order_number string, order_dow string, order_hour_of_day string, "
+                    f"days_since_prior_order string, eval_set string, products string, {ROW_INDEX} bigint")
+    got = build_fact_order_products(raw.repartition(3)).collect()
+    assert [r.product_name for r in got] == ["first"]

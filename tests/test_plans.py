@@ -62,3 +62,21 @@ def test_unused_payload_is_pruned_through_the_dedup(spark):
     assert "o_orderdate" not in plan       # nor its input read
     needs_sequence = plan_of(entry_module.queries()["reorder_interval_distribution"](spark, SF_SMALL))
     assert "Window" in needs_sequence
+
+
+def dedup_of(spark, name):
+    plan = plan_of(entry_module.queries()[name](spark, SF_SMALL))
+    return plan, [line for line in plan.splitlines() if "Aggregate(" in line and "min_by(" in line]
+
+
+@pytest.mark.parametrize("name", ["product_reorder_rate", "product_reorder_status"])
+def test_numeric_product_queries_deduplicate_in_a_hash_map(spark, name):
+    plan, aggregates = dedup_of(spark, name)
+    assert "SortAggregate" not in plan
+    assert aggregates and not any("product_name" in line or "department" in line or "aisle" in line for line in aggregates)
+
+
+def test_unused_product_columns_are_pruned_through_the_dedup(spark):
+    _, aggregates = dedup_of(spark, "products_by_department")
+    assert any("department" in line for line in aggregates)
+    assert not any("aisle" in line or "product_name" in line or "reordered" in line for line in aggregates)
