@@ -12,8 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from cartwheel.plans.quality import validate_load
 from cartwheel.sources import warehouse
+from cartwheel.sources.gate import validate_warehouse
 from cartwheel.sources.landing import land_payloads
 from cartwheel.streaming.ingest import ingest
 
@@ -35,8 +35,5 @@ def run_daily_load(spark: SparkSession, payload_dir: str | None, landing_dir: st
     landed = (land_payloads(spark, payload_dir, landing_dir, lines=lines, archive_dir=archive_dir)
               if payload_dir else 0)
     stats = ingest(spark, landing_dir, warehouse_root, checkpoint, archive_dir)
-    report = validate_load(
-        warehouse.read_table(spark, warehouse_root, warehouse.FACT_ORDERS_TABLE),
-        warehouse.read_table(spark, warehouse_root, warehouse.FACT_ORDER_PRODUCTS_TABLE),
-    )
+    report = validate_warehouse(spark, warehouse_root)
     return {"rows_landed": landed, **stats, "gate": report.__dict__}

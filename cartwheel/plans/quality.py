@@ -32,18 +32,18 @@ def dq_order_nulls(fo: DataFrame) -> DataFrame:
     )
 
 
-def _bad_dow():
+def bad_dow():
     return (F.col("order_dow") < 0) | (F.col("order_dow") > 6)
 
 
-def _bad_hour():
+def bad_hour():
     return (F.col("order_hour_of_day") < 0) | (F.col("order_hour_of_day") > 23)
 
 
 def dq_order_ranges(fo: DataFrame) -> DataFrame:
     return fo.agg(
-        F.count_if(_bad_dow()).alias("invalid_order_dow"),
-        F.count_if(_bad_hour()).alias("invalid_order_hour"),
+        F.count_if(bad_dow()).alias("invalid_order_dow"),
+        F.count_if(bad_hour()).alias("invalid_order_hour"),
         F.count_if(F.col("order_number") < 1).alias("invalid_order_number"),
         F.count_if(F.col("days_since_prior_order") < 0).alias("invalid_days_since_prior_order"),
     )
@@ -129,8 +129,8 @@ def load_metrics(fo: DataFrame, fp: DataFrame) -> DataFrame:
         rows().alias("orders_count"),
         none.alias("products_count"),
         (rows() - F.count_distinct("order_id")).alias("duplicate_orders"),
-        F.count_if(_bad_dow()).alias("invalid_order_dow"),
-        F.count_if(_bad_hour()).alias("invalid_order_hour"),
+        F.count_if(bad_dow()).alias("invalid_order_dow"),
+        F.count_if(bad_hour()).alias("invalid_order_hour"),
     )
     product_side = fp.agg(rows().alias("products_count")).select(
         *[(F.col(c) if c == "products_count" else none).alias(c) for c in cols])
@@ -155,8 +155,17 @@ def validate_load(fo: DataFrame, fp: DataFrame) -> LoadReport:
     """Run the gate: raise on the first failing rule, in the reference's order
     (empty orders, duplicates, bad day of week, bad hour). The product count
     is reported, not checked."""
+    return check_report(load_report(fo, fp))
+
+
+def load_report(fo: DataFrame, fp: DataFrame) -> LoadReport:
+    """The gate's counts, from a scan of both facts."""
     row = load_metrics(fo, fp).first()
-    report = LoadReport(**{k: int(row[k]) for k in row.asDict()})
+    return LoadReport(**{k: int(row[k]) for k in row.asDict()})
+
+
+def check_report(report: LoadReport) -> LoadReport:
+    """Raise on the first failing rule of the gate."""
     if report.orders_count == 0:
         raise LoadValidationError("fact_orders is empty")
     if report.duplicate_orders > 0:

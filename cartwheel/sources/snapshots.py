@@ -36,12 +36,24 @@ class Batch:
     rows: int
     bytes: int
     files: int
+    low: int | None = None          # bounds of the order ids, where they are known
+    high: int | None = None
+
+
+@dataclass(frozen=True)
+class Totals:
+    """What the load gate asks of the live order rows (``gate``)."""
+    orders: int = 0
+    unique_orders: int = 0
+    bad_dow: int = 0
+    bad_hour: int = 0
 
 
 @dataclass(frozen=True)
 class Snapshot:
     version: int = 0
     batches: tuple[Batch, ...] = field(default=())
+    totals: Totals | None = field(default=Totals())     # None: not known, to be counted
 
     def of(self, table: str) -> list[Batch]:
         return [b for b in self.batches if b.table == table]
@@ -49,11 +61,16 @@ class Snapshot:
     def next_batch(self) -> int:
         return max((b.batch for b in self.batches), default=-1) + 1
 
-    def with_batches(self, new: list[Batch], gone: set[tuple[str, int]]) -> Snapshot:
+    def rows(self, table: str) -> int | None:
+        """The live rows of a table; None where a batch from before the first snapshot is among them."""
+        counts = [b.rows for b in self.of(table)]
+        return None if any(n < 0 for n in counts) else sum(counts)
+
+    def with_batches(self, new: list[Batch], gone: set[tuple[str, int]], totals: Totals | None = None) -> Snapshot:
         """The next snapshot: without the ``(table, batch)`` of ``gone``, with the new ones that have rows."""
         gone = gone | {(b.table, b.batch) for b in new}
         stay = [b for b in self.batches if (b.table, b.batch) not in gone]
-        return Snapshot(self.version + 1, (*stay, *(b for b in new if b.rows)))
+        return Snapshot(self.version + 1, (*stay, *(b for b in new if b.rows)), totals)
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
@@ -66,7 +83,8 @@ def current(spark: SparkSession, root: str) -> Snapshot:
     found = versions(spark, root)
     if found:
         content = storage.read_json(spark, f"{root}/{FOLDER}/{found[-1]}.json")
-        return Snapshot(content["version"], tuple(Batch(**b) for b in content["batches"]))
+        totals = content.get("totals")
+        return Snapshot(content["version"], tuple(Batch(**b) for b in content["batches"]), totals and Totals(**totals))
     from cartwheel.sources.warehouse import BATCH_COLUMN, LOADED_TABLE, TABLES
     if storage.names(spark, f"{root}/{LOADED_TABLE}") and any(
             n.endswith(".parquet") for f, _ in storage.names(spark, f"{root}/{LOADED_TABLE}")
@@ -79,15 +97,17 @@ def current(spark: SparkSession, root: str) -> Snapshot:
                 files = [size for n, size in storage.names(spark, f"{root}/{table}/{name}") if n.endswith(".parquet")]
                 if files:
                     old.append(Batch(table, int(name.partition("=")[2]), name, -1, sum(files), len(files)))
-    return Snapshot(0, tuple(old))
+    return Snapshot(0, tuple(old), None if old else Totals())
 
 
 def publish(spark: SparkSession, root: str, base: Snapshot, new: list[Batch],
-            gone: set[tuple[str, int]] = frozenset()) -> Snapshot:
-    """Make the next snapshot from ``base``; ``SnapshotConflict`` if somebody else has."""
-    after = base.with_batches(new, set(gone))
+            gone: set[tuple[str, int]] = frozenset(), totals: Totals | None = None) -> Snapshot:
+    """Make the next snapshot from ``base``; ``SnapshotConflict`` if somebody else has.
+    Without ``totals`` those of the new snapshot are unknown until they are counted."""
+    after = base.with_batches(new, set(gone), totals)
     storage.make_folder(spark, f"{root}/{FOLDER}")
-    content = {"version": after.version, "batches": [vars(b) for b in after.batches]}
+    content = {"version": after.version, "batches": [vars(b) for b in after.batches],
+               "totals": totals and vars(totals)}
     try:
         storage.write_new(spark, f"{root}/{FOLDER}/{after.version}.json", content)
     except storage.Taken as error:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -155,6 +156,12 @@ def read_table(spark: SparkSession, root: str, name: str, snapshot: Snapshot | N
     return spark.read.schema(table_schema(name)).option("basePath", path).parquet(*[f"{path}/{b.path}" for b in live])
 
 
+def live_rows(spark: SparkSession, root: str, name: str, snapshot: Snapshot) -> int:
+    """The rows of a table in a snapshot, which notes them; batches from before snapshots are counted."""
+    noted = snapshot.rows(name)
+    return read_table(spark, root, name, snapshot).count() if noted is None else noted
+
+
 def describe(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Column names and types of the stored table, one row per column; a table
     without files yet has its contract's. A missing table is an error."""
@@ -268,11 +275,14 @@ def compact(spark: SparkSession, root: str, target_bytes: int = 256 << 20, fewes
             df = df.repartitionByRange(files, *TABLES[name][1][:1])
         else:
             df = df.coalesce(files)
-        new.append(stage_batch(df, root, name, max(b.batch for b in small)))
+        whole = stage_batch(df, root, name, max(b.batch for b in small))
+        if all(b.low is not None for b in small):
+            whole = replace(whole, low=min(b.low for b in small), high=max(b.high for b in small))
+        new.append(whole)
         gone |= {(name, b.batch) for b in small}
         merged[name] = len(small)
     if new:
-        snapshots.publish(spark, root, base, new, gone)
+        snapshots.publish(spark, root, base, new, gone, base.totals)
     return merged
 
 

@@ -48,7 +48,7 @@ from cartwheel.operators.facts import (
 from cartwheel.operators.rejects import failed_order_values, rejected_values, unparsed_cells
 from cartwheel.schemas import ORDER_COLUMNS, PRODUCTS_COLUMN, ROW_BLOCK, ROW_INDEX, SOURCE_FILE
 from cartwheel.session import checkpoint_dir
-from cartwheel.sources import landing, snapshots, storage, warehouse
+from cartwheel.sources import gate, landing, snapshots, storage, warehouse
 
 # The text contract of landed files, for streams over an empty folder.
 LANDING_SCHEMA = T.StructType(
@@ -231,7 +231,8 @@ def load_batch(raw: DataFrame, warehouse_root: str, batch_id: int,
     loaded_at = loaded_at or _now()
     base = snapshots.current(spark, warehouse_root)
     staged, stats = stage_facts([raw], warehouse_root, batch_id, loaded_at)
-    snapshots.publish(spark, warehouse_root, base, staged)
+    staged, totals = gate.with_totals(spark, warehouse_root, base, staged)
+    snapshots.publish(spark, warehouse_root, base, staged, frozenset(), totals)
     return stats
 
 
@@ -247,7 +248,8 @@ def load_files(spark: SparkSession, files: list[Row], warehouse_root: str, base:
     staged, stats = stage_facts(scan_files(spark, [f.path for f in files]), warehouse_root, batch, loaded_at or _now())
     note = spark.createDataFrame(files, storage.LISTED).withColumnRenamed("path", "landing_file").coalesce(1)
     staged.append(warehouse.stage_batch(note, warehouse_root, warehouse.LOADED_TABLE, batch))
-    snapshots.publish(spark, warehouse_root, base, staged)
+    staged, totals = gate.with_totals(spark, warehouse_root, base, staged)
+    snapshots.publish(spark, warehouse_root, base, staged, frozenset(), totals)
     stats.files_processed = len(files)
     return stats
 
@@ -296,10 +298,8 @@ def ingest(spark: SparkSession, landing_dir: str, warehouse_root: str,
             _archive(spark, batches[0], archive_dir)
     if totals.files_processed:
         after = snapshots.current(spark, warehouse_root)
-        totals.total_orders_in_db = warehouse.read_table(
-            spark, warehouse_root, warehouse.FACT_ORDERS_TABLE, after).count()
-        totals.total_products_in_db = warehouse.read_table(
-            spark, warehouse_root, warehouse.FACT_ORDER_PRODUCTS_TABLE, after).count()
+        totals.total_orders_in_db = warehouse.live_rows(spark, warehouse_root, warehouse.FACT_ORDERS_TABLE, after)
+        totals.total_products_in_db = warehouse.live_rows(spark, warehouse_root, warehouse.FACT_ORDER_PRODUCTS_TABLE, after)
     return totals.as_dict()
 
 
