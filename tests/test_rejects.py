@@ -98,3 +98,22 @@ def test_many_small_reject_batches_are_merged(spark):
     assert len(before) == 6
     assert warehouse.compact(spark, wh, fewest=2)["_rejected_values"] == 3
     assert listed(warehouse.rejected(spark, wh)) == before
+
+
+def test_rejects_are_found_in_generated_code(spark):
+    """A lambda over the rejects (array_compact) had every element of every list interpreted."""
+    plan = rejected_values(raw_frame(spark, ROWS))._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan
+    assert plan.count("parseJson") == 1      # once for the cell's own reject and its elements
+
+
+def test_every_element_of_a_row_in_which_all_is_wrong(spark):
+    bad = '[{"product_id":"p","add_to_cart_order":"c","reordered":0.5},null,{"product_id":1},"x"]'
+    rows = [("z", " ", "a", "b", "c", "d", "prior", bad)]
+    numbers = [("order", c, None, v, "not a number") for c, v in zip(
+        ("order_id", "order_number", "order_dow", "order_hour_of_day", "days_since_prior_order"), "zabcd")]
+    fields = [("product", c, 0, v, "not a number") for c, v in zip(("product_id", "add_to_cart_order", "reordered"), ("p", "c", "0.5"))]
+    assert listed(rejected_values(raw_frame(spark, rows))) == sorted([
+        *numbers, *fields, ("order", "user_id", None, " ", "missing key"),
+        ("product", "order_id", 0, None, "missing key"), ("product", "order_id", 2, None, "missing key"),
+        ("product", "products", 1, "null", "not an object"), ("product", "products", 3, "x", "not an object")], key=repr)
