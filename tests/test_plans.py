@@ -80,3 +80,18 @@ def test_unused_product_columns_are_pruned_through_the_dedup(spark):
     _, aggregates = dedup_of(spark, "products_by_department")
     assert any("department" in line for line in aggregates)
     assert not any("aisle" in line or "product_name" in line or "reordered" in line for line in aggregates)
+
+
+def test_counts_of_all_orders_are_never_broadcast(spark):
+    """Product rows come out of a VARIANT, which the planner takes for far smaller than they are: with
+    60 copies of sf0.1 it broadcast one row per order, and the driver ran out of memory."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        df = entry_module.queries()["largest_basket_orders"](spark, SF_SMALL)
+        df.collect()
+        plan = plan_of(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    top = plan[:plan.index("LeftOuter")].splitlines()[-1]
+    assert "SortMergeJoin" in top, plan
