@@ -18,7 +18,8 @@ any global order of tokens they share one among the first
   one leader only, so an entry with m sets gives m - 1 pairs, and
   after each round entries whose sets are connected already drop out. What
   is left apart is then compared in full: sets outside an entry's largest
-  component with those in other components.
+  component with those in other components. This comes after ``rounds`` rounds, or as
+  soon as it takes at most ``FEW`` comparisons for each set of an entry on average.
 * Parities: each set has ``PARITY_BITS`` bits, the parities of its tokens by hash. Two sets
   differ in at least as many tokens as in bits, so a candidate with more differing bits
   than its sizes allow is no link; this never drops a link. Where candidates are made, the bits are tested folded
@@ -47,6 +48,7 @@ CLASS_BITS = 18
 CLASSES = 1 << CLASS_BITS
 PARITY_BITS = 1024
 FOLDED_BITS = 256
+FEW = 16
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,18 +233,21 @@ def _links(docs: DataFrame, k: int, percent: int, frequent: int, rounds: int, fo
     release(spark, folders, rows, index, sets)
     bits = sets.select("sig", "bits")
     folded = materialize(sets.select("sig", _folded("bits").alias("bits")), "folded")
-    found, labels, tried = None, None, None
-    for turn in range(rounds + 1):
+    found, labels, tried, turn = None, None, None, -1
+    while turn < rounds:
+        turn += 1
         if labels is None:
             at = index.withColumn("comp", F.col("sig"))
         else:
             at = index.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("label", "sig")).drop("label")
-            split = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-            index = materialize(at.join(split, "key").select("key", "sig", "n", "comp"), "index")
-            at = index
-            index = index.drop("comp")
-            if at.isEmpty():
+            split = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("key", "m")
+            left = materialize(at.join(split, "key").select("key", "sig", "n", "comp", "m"), "index")
+            at, index = left.drop("m"), left.select("key", "sig", "n")
+            size, in_full = left.agg(F.count("*"), F.sum("m")).first()
+            if not size:
                 break
+            if in_full <= FEW * size:
+                turn = rounds
         if turn < rounds:
             order = F.xxhash64("sig", F.lit(turn))
             leader = at.groupBy("key").agg(F.min(F.struct(order.alias("o"), "sig", "n", "comp")).alias("l"))

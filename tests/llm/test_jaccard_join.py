@@ -50,3 +50,27 @@ def test_size_bounds_reach_every_partner():
         for small in range(1, 500):
             i = max(k for k, x in enumerate(b) if x <= small)
             assert 100 * small // percent < b[i + 2]
+
+
+def test_few_sets_apart_are_compared_in_full_at_once(keyed_of, monkeypatch):
+    """Rounds by leaders go on only while entries are long: the full round takes whatever a token still joins."""
+    rnd = random.Random(11)
+    words = [f"w{i}" for i in range(30)]
+    rows = []
+    for group in range(12):
+        shared = [f"g{group}_{i}" for i in range(12)]           # rare words, which a group's texts share
+        for _ in range(4):
+            text = shared + [rnd.choice(words) for _ in range(40)]
+            rows.append((len(rows), " ".join(text)))
+            rows.append((len(rows), " ".join(text[:-1] + ["other"])))
+    written, write = [], J.materialize
+    monkeypatch.setattr(J, "materialize", lambda df, name: written.append(name) or write(df, name))
+
+    def found():
+        written.clear()
+        return sorted([tuple(r) for r in J.jaccard_groups(keyed_of(rows), 3, 70).select("id", "n", "component").collect()], key=repr)
+    assert found() == brute(rows, 3, 70)
+    assert written.count("near_pairs") == 2
+    monkeypatch.setattr(J, "FEW", 0)
+    assert found() == brute(rows, 3, 70)
+    assert written.count("near_pairs") == 4
