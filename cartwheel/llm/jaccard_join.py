@@ -14,6 +14,10 @@ any global order of tokens they share one among the first
   with a more frequent token in their prefix are extended to whole sets and indexed by
   combinations of tokens, about eight at t = 0.9: if the first common token of
   two similar sets is frequent, both are, and they agree in one combination at least.
+* Pruning: an entry of at most ``frequent`` sets tests its sets by pairs, by their sizes, the token's places
+  in their prefixes and their parities (below). It goes if no two of its sets may link; one of over ``SHORT`` sets
+  is split into groups that possible links connect. What sets share by chance so costs one shuffle, not one in
+  every round, and only texts of sets that are left are read again. Two similar sets pass at their first common token.
 * Candidates: equal sets count once. In rounds, each index entry proposes links to
   one leader only, so an entry with m sets gives m - 1 pairs, and
   after each round entries whose sets are connected already drop out. What
@@ -33,11 +37,10 @@ Tokens are 64-bit hashes of their words.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import attach, free_name, key_names, keyed, materialize, noted, release, table, with_key
@@ -49,6 +52,9 @@ CLASSES = 1 << CLASS_BITS
 PARITY_BITS = 1024
 FOLDED_BITS = 256
 FEW = 16
+SHORT = 8
+PAIRS_AT_ONCE = 1 << 20
+FILTER_BITS = 22
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,21 +92,15 @@ def _shingles(data: np.ndarray, offs: np.ndarray, k: int):
     return doc[mine], mine, token, h, size
 
 
-def _parities(doc: np.ndarray, token: np.ndarray, n_docs: int) -> pa.ListArray:
-    """For each text the parities of its tokens, dealt by hash into ``PARITY_BITS`` places."""
-    width = PARITY_BITS // 64
-    place = (mix(token ^ U(0xA0761D6478BD642F)) % U(PARITY_BITS)).astype(np.int64)
+def _parities(doc: np.ndarray, token: np.ndarray, n_docs: int, places: int = PARITY_BITS) -> pa.ListArray:
+    """For each text the parities of its tokens, dealt by hash into ``places`` places."""
+    width = places // 64
+    place = (mix(token ^ U(0xA0761D6478BD642F)) % U(places)).astype(np.int64)
     bits = np.zeros(n_docs * width, U)
     np.bitwise_xor.at(bits, doc * width + place // 64, U(1) << (place % 64).astype(U))
     return pa.ListArray.from_arrays(pa.array(np.arange(0, len(bits) + 1, width, dtype=np.int32)), pa.array(bits.view(np.int64)))
 
 
-def _folded(bits: str):
-    """The parities of ``FOLDED_BITS`` places, each a union of places of ``bits``."""
-    width = FOLDED_BITS // 64
-    return F.array(*[reduce(Column.bitwiseXOR, [F.col(bits)[j] for j in range(i, PARITY_BITS // 64, width)]) for i in range(width)])
-
-
 def _possible(a: str, b: str, n: str, m: str, percent: int, bits: int):
     """Sizes ``n, m`` and ``bits`` parities ``a, b`` leave room for a link."""
     apart = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(bits // 64)), F.lit(0))
@@ -147,8 +147,9 @@ def _sets(k: int, percent: int, scores: np.ndarray | None):
                 mine = rank < keep[doc]
                 ends = np.append(0, np.cumsum(keep)).astype(np.int32)
                 arrays += [pa.array(sig.view(np.int64)), pa.array(n.astype(np.int64)),
-                           pa.ListArray.from_arrays(pa.array(ends), pa.array(token[mine].view(np.int64)))]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*names, "sig", "n", "prefix"])
+                           pa.ListArray.from_arrays(pa.array(ends), pa.array(token[mine].view(np.int64))),
+                           _parities(doc, token, hi - lo, FOLDED_BITS)]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*names, "sig", "n", "prefix", "folded"])
     return rows
 
 
@@ -186,21 +187,74 @@ def _combinations(percent: int):
     return rows
 
 
+def _plausible(percent: int):
+    """Splits entries, lists of ``sig, n, rest`` and folded parities, into the sets worth a comparison."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            offs = lists.offsets.to_numpy().astype(np.int64)
+            offs -= offs[0]
+            sig, n, rest, *bits = (c.to_numpy(zero_copy_only=False) for c in lists.flatten().flatten())
+            bits = [b.view(U) for b in bits]                 # of signed numbers numpy counts the bits of the absolute value
+            m = np.diff(offs)
+            of = np.repeat(np.arange(len(m)), m)             # each set's entry
+            after = offs[of + 1] - np.arange(len(of)) - 1    # sets that follow it there
+            total = np.append(0, np.cumsum(after))
+            label = np.arange(len(of))                       # the first set that a chain of possible links reaches
+            lo = 0
+            while lo < len(m):                               # some entries at a time
+                hi = max(lo + 1, int(np.searchsorted(total[offs], total[offs[lo]] + PAIRS_AT_ONCE, side="right")) - 1)
+                x = np.repeat(np.arange(offs[lo], offs[hi]), after[offs[lo]:offs[hi]])
+                y = x + 1 + np.arange(len(x)) - (total[x] - total[offs[lo]])
+                # all that the two can share from here on: this is their first common token or of no use
+                near = (np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * percent) & (
+                    np.minimum(rest[x], rest[y]) * (100 + percent) >= (n[x] + n[y]) * percent)
+                x, y = x[near], y[near]
+                apart = sum((np.bitwise_count(b[x] ^ b[y]).astype(np.int64) for b in bits), np.zeros(len(x), np.int64))
+                near = apart * (100 + percent) <= (n[x] + n[y]) * (100 - percent)
+                x, y = x[near], y[near]
+                while (label[x] != label[y]).any():
+                    least = np.minimum(label[x], label[y])
+                    np.minimum.at(label, x, least)
+                    np.minimum.at(label, y, least)
+                lo = hi
+            paired = np.bincount(label, minlength=len(of))[label] > 1
+            short = m[of] <= SHORT
+            mine = np.where(short, np.bincount(of[paired], minlength=len(m))[of] > 0, paired)
+            key = batch.column(0).to_numpy(zero_copy_only=False)[of]
+            key = np.where(short, key, mix(key.view(U) ^ mix(sig[label].view(U))).view(np.int64))
+            yield pa.record_batch({"key": key[mine], "sig": sig[mine], "n": n[mine]})
+    return rows
+
+
+def _those_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``docs`` whose hash falls in a class that holds a row of ``wanted``: all of these and few others. The table of
+    classes has a fixed size, so it is broadcast, and texts that no join needs are not shuffled."""
+    word, bit = F.col("rk").bitwiseAND((1 << FILTER_BITS - 6) - 1), F.shiftrightunsigned("rk", 58).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    classes = wanted.groupBy(word.alias("word")).agg(F.bit_or(one).alias("bits"))
+    return (docs.withColumn("word", word).join(F.broadcast(classes), "word")
+            .where(F.col("bits").bitwiseAND(one) != 0).drop("word", "bits"))
+
+
 def _entries(docs: DataFrame, uniq: DataFrame, k: int, percent: int, frequent: int) -> tuple[DataFrame, DataFrame]:
     """Index entries ``key, sig, n`` of keys that at least two sets share, and the whole sets of those."""
-    own = (F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1).cast("int")
-    single = uniq.select("sig", "n", F.explode(F.slice("prefix", 1, own)).alias("key"))
+    single = uniq.select("sig", "n", F.posexplode("prefix").alias("place", "key")).select("sig", (F.col("n") - F.col("place")).alias("rest"), "key")
     shared = materialize(single.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "shared_tokens")
     found = materialize(single.join(shared, "key"), "entries")
+    parts = [F.col("folded")[i].alias(f"part{i}") for i in range(FOLDED_BITS // 64)]
+    lists = (found.where(F.col("m") <= frequent).select("key", "sig", "rest").join(uniq.select("sig", "n", "folded"), "sig")
+             .groupBy("key").agg(F.collect_list(F.struct("sig", "n", "rest", *parts)).alias("sets")))
+    few = materialize(lists.mapInArrow(_plausible(percent), "key long, sig long, n long"), "plausible")
     # which sets have a frequent token goes along with the texts: whole sets are not shuffled for it
-    involved = uniq.join(found.groupBy("sig").agg((F.max("m") > frequent).alias("often")), "sig").select("sig", "often", "at.did", "at.rk")
+    marks = found.where(F.col("m") > frequent).select("sig", F.lit(True).alias("often")).unionByName(few.select("sig", F.lit(False).alias("often")))
+    involved = materialize(uniq.select("sig", "at.did", "at.rk").join(marks.groupBy("sig").agg(F.max("often").alias("often")), "sig"), "involved")
     # repeated rows go where the join has put them together: no further shuffle
-    texts = docs.select("did", "rk", "text").join(involved, ["did", "rk"]).dropDuplicates(["did", "rk"]).select("sig", "often", "text")
+    texts = _those_of(docs.select("did", "rk", "text"), involved).join(involved, ["did", "rk"]).dropDuplicates(["did", "rk"]).select("sig", "often", "text")
     sets = materialize(texts.mapInArrow(_sets(k, percent, None), "sig long, often boolean, tokens array<long>, bits array<long>"), "whole_sets")
     many = materialize(sets.where("often").select("sig", "tokens").mapInArrow(_combinations(percent), "key long, sig long, n long"), "combinations")
     more = many.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    index = found.where(F.col("m") <= frequent).select("key", "sig", "n").unionByName(many.join(more, "key"))
-    return materialize(index, "index"), sets
+    return materialize(few.unionByName(many.join(more, "key")), "index"), sets
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -226,13 +280,13 @@ def _links(docs: DataFrame, k: int, percent: int, frequent: int, rounds: int, fo
     spark = docs.sparkSession
     scores = word_classes(docs)
     rows = materialize(docs.select("id", "did", "rk", "text").mapInArrow(
-        _sets(k, percent, scores), "id long, did long, rk long, sig long, n long, prefix array<long>"), "sets")
+        _sets(k, percent, scores), "id long, did long, rk long, sig long, n long, prefix array<long>, folded array<long>"), "sets")
     uniq = materialize(rows.where("n > 0").groupBy("sig", "n").agg(
-        F.min(F.struct("did", "rk")).alias("at"), F.first("prefix").alias("prefix")), "distinct_sets")
+        F.min(F.struct("did", "rk")).alias("at"), F.first("prefix").alias("prefix"), F.first("folded").alias("folded")), "distinct_sets")
     index, sets = _entries(docs, uniq, k, percent, frequent)
-    release(spark, folders, rows, index, sets)
     bits = sets.select("sig", "bits")
-    folded = materialize(sets.select("sig", _folded("bits").alias("bits")), "folded")
+    folded = materialize(uniq.select("sig", F.col("folded").alias("bits")).join(sets.select("sig"), "sig", "left_semi"), "folded")
+    release(spark, folders, rows, index, sets, folded)
     found, labels, tried, turn = None, None, None, -1
     while turn < rounds:
         turn += 1
@@ -240,10 +294,11 @@ def _links(docs: DataFrame, k: int, percent: int, frequent: int, rounds: int, fo
             at = index.withColumn("comp", F.col("sig"))
         else:
             at = index.join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn("comp", F.coalesce("label", "sig")).drop("label")
-            split = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi").select("key", "m")
-            left = materialize(at.join(split, "key").select("key", "sig", "n", "comp", "m"), "index")
-            at, index = left.drop("m"), left.select("key", "sig", "n")
-            size, in_full = left.agg(F.count("*"), F.sum("m")).first()
+            parts = at.groupBy("key", "comp").agg(F.count("*").alias("m"))
+            split = parts.groupBy("key").agg((F.sum("m") - F.max("m")).alias("beside")).where("beside > 0")
+            left = materialize(at.join(split, "key").select("key", "sig", "n", "comp", "beside"), "index")
+            at, index = left.drop("beside"), left.select("key", "sig", "n")
+            size, in_full = left.agg(F.count("*"), F.sum("beside")).first()     # each set with all outside the largest component
             if not size:
                 break
             if in_full <= FEW * size:
@@ -276,7 +331,7 @@ def _links(docs: DataFrame, k: int, percent: int, frequent: int, rounds: int, fo
         labels = components(found)
         release(spark, folders, rows, index, sets, folded, found, tried, labels)
     release(spark, folders, rows, labels)
-    return rows.drop("prefix"), labels
+    return rows.drop("prefix", "folded"), labels
 
 
 def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:

@@ -74,3 +74,46 @@ def test_few_sets_apart_are_compared_in_full_at_once(keyed_of, monkeypatch):
     monkeypatch.setattr(J, "FEW", 0)
     assert found() == brute(rows, 3, 70)
     assert written.count("near_pairs") == 4
+
+
+def _mixed(rnd):
+    """Groups of texts that share rare words by chance, each text with a near copy or two, of many sizes."""
+    words, rows = [f"w{i}" for i in range(40)], []
+    for group, size in enumerate((14, 14, 60, 60, 300)):
+        shared = [f"g{group}_{i}" for i in range(8)]
+        for _ in range(12):
+            text = shared + [rnd.choice(words) for _ in range(size)]
+            for c in range(rnd.randrange(1, 4)):
+                copy = list(text)
+                for _ in range(c):
+                    copy[rnd.randrange(size)] = rnd.choice(words)
+                rows.append((len(rows), " ".join(copy)))
+    return rows
+
+
+def test_entries_are_split_without_loss(keyed_of, monkeypatch):
+    rows = _mixed(random.Random(23))
+    want = {(k, p): brute(rows, k, p) for k, p in ((3, 90), (5, 80), (3, 60))}
+    for short, at_once in ((8, 1 << 20), (0, 5)):
+        monkeypatch.setattr(J, "SHORT", short)
+        monkeypatch.setattr(J, "PAIRS_AT_ONCE", at_once)
+        for (k, p), rest in want.items():
+            got = J.jaccard_groups(keyed_of(rows), k, p).select("id", "n", "component").collect()
+            assert sorted([tuple(r) for r in got], key=repr) == rest, (short, k, p)
+
+
+def test_sets_that_share_tokens_by_chance_leave_the_index(keyed_of, monkeypatch):
+    """Texts with a rare passage in common, none similar to another, but for one pair."""
+    rnd = random.Random(3)
+    rows = [(i, " ".join([f"g{i % 8}_{j}" for j in range(6)] + [f"w{rnd.randrange(40)}" for _ in range(90)])) for i in range(40)]
+    rows.append((40, rows[0][1] + " more"))
+    counts, write = {}, J.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        counts.setdefault(name, out.count())
+        return out
+    monkeypatch.setattr(J, "materialize", counted)
+    got = J.jaccard_groups(keyed_of(rows), 3, 90).select("id", "n", "component").collect()
+    assert sorted([tuple(r) for r in got], key=repr) == brute(rows, 3, 90)
+    assert counts["entries"] > 41 and counts["whole_sets"] == 2
