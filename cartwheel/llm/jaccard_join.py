@@ -23,7 +23,10 @@ any global order of tokens they share one among the first
   after each round entries whose sets are connected already drop out. What
   is left apart is then compared in full: sets outside an entry's largest
   component with those in other components. This comes after ``rounds`` rounds, or as
-  soon as it takes at most ``FEW`` comparisons for each set of an entry on average.
+  soon as it takes at most ``FEW`` comparisons for each set of an entry on average. Similar sets share many entries;
+  there the two are proposed by the first of them: each set goes with its ``LEAST`` least keys, and an entry
+  leaves out two sets whose lists share a lesser key, since that one is an entry of both. Two sets whose lists share
+  none may be proposed more than once.
 * Parities: each set has ``PARITY_BITS`` bits, the parities of its tokens by hash. Two sets
   differ in at least as many tokens as in bits, so a candidate with more differing bits
   than its sizes allow is no link; this never drops a link. Where candidates are made, the bits are tested folded
@@ -52,6 +55,7 @@ CLASSES = 1 << CLASS_BITS
 PARITY_BITS = 1024
 FOLDED_BITS = 256
 FEW = 16
+LEAST = 8
 SHORT = 8
 PAIRS_AT_ONCE = 1 << 20
 FILTER_BITS = 22
@@ -108,6 +112,11 @@ def _possible(a: str, b: str, n: str, m: str, percent: int, bits: int):
     return near & (apart * (100 + percent) <= (F.col(n) + F.col(m)) * (100 - percent))
 
 
+def _not_before(key: str, a: str, b: str):
+    """Lists ``a, b`` of the least keys of two sets share none below ``key``."""
+    return F.coalesce(F.array_min(F.array_intersect(a, b)) >= F.col(key), F.lit(True))
+
+
 def _sets(k: int, percent: int, scores: np.ndarray | None):
     """Set hash, size and ordered prefix of each text; without scores the whole set."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,14 +316,21 @@ def _links(docs: DataFrame, k: int, percent: int, frequent: int, rounds: int, fo
             order = F.xxhash64("sig", F.lit(turn))
             leader = at.groupBy("key").agg(F.min(F.struct(order.alias("o"), "sig", "n", "comp")).alias("l"))
             rest = leader.select("key", F.col("l.sig").alias("s"), F.col("l.n").alias("sn"), F.col("l.comp").alias("sc"))
+            marks = folded
         else:
             parts = at.groupBy("key", "comp").agg(F.count("*").alias("m"))
             main = parts.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("main"))
-            rest = at.join(main, "key").where("comp <> main.comp").select("key", F.col("sig").alias("s"), F.col("n").alias("sn"), F.col("comp").alias("sc"))
-        rest = rest.join(folded.select(F.col("sig").alias("s"), F.col("bits").alias("sb")), "s")
-        near = (at.join(folded, "sig").join(rest, "key").where("comp <> sc").where(_possible("bits", "sb", "n", "sn", percent, FOLDED_BITS))
-                .select(F.least("sig", "s").alias("a"), F.greatest("sig", "s").alias("b"),
-                        F.least("n", "sn").alias("n"), F.greatest("n", "sn").alias("m")).distinct())
+            rest = at.join(main, "key").where("comp <> main.comp").select("key", F.col("sig").alias("s"), F.col("n").alias("sn"), F.col("comp").alias("sc"),
+                                                                          F.col("main.comp").alias("main"))
+            least = at.groupBy("sig").agg(F.slice(F.sort_array(F.collect_list("key")), 1, LEAST).alias("least"))
+            marks = folded.join(least, "sig")
+        rest = rest.join(marks.withColumnsRenamed({"sig": "s", "bits": "sb", "least": "sleast"}), "s")
+        near = at.join(marks, "sig").join(rest, "key").where("comp <> sc").where(_possible("bits", "sb", "n", "sn", percent, FOLDED_BITS))
+        if turn == rounds:
+            # of two sets that are both outside the largest component either meets the other
+            near = near.where("comp = main or sig < s").where(_not_before("key", "least", "sleast"))
+        near = near.select(F.least("sig", "s").alias("a"), F.greatest("sig", "s").alias("b"),
+                           F.least("n", "sn").alias("n"), F.greatest("n", "sn").alias("m")).distinct()
         if tried is not None:
             near = near.join(tried, ["a", "b"], "left_anti")
         near = materialize(near, "near_pairs")

@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql.classic.dataframe import DataFrame
+
 from llm_fixtures import docs_of, keyed_of  # noqa: F401
 import cartwheel.llm.jaccard_join as J
 
@@ -118,3 +120,38 @@ def test_sets_that_share_tokens_by_chance_leave_the_index(keyed_of, monkeypatch)
     assert sorted([tuple(r) for r in got], key=repr) == brute(rows, 3, 90)
     # the pair's entries are short and stay whole, with the four other texts of its passage
     assert counts["entries"] > 41 and counts["whole_sets"] == 6
+
+
+def test_two_sets_that_share_many_entries_are_proposed_by_one(keyed_of, monkeypatch):
+    """Copies of one long text, too far apart for a link: every two share some dozens of entries."""
+    rnd = random.Random(29)
+    base, rows = [f"w{rnd.randrange(10 ** 6)}" for _ in range(600)], []
+    for c in range(12):
+        copy = list(base)
+        for e, at in enumerate(rnd.sample(range(0, 600, 3), 6)):
+            copy[at] = f"c{c}_{e}"
+        rows.append((len(rows), " ".join(copy)))
+    rows.append((len(rows), rows[0][1] + " more"))
+    proposed, distinct = [], DataFrame.distinct
+
+    def counted(df):
+        out = distinct(df)
+        if df.columns == ["a", "b", "n", "m"]:
+            proposed.append((df.count(), out.count()))
+        return out
+    monkeypatch.setattr(DataFrame, "distinct", counted)
+    got = J.jaccard_groups(keyed_of(rows), 3, 90).select("id", "n", "component").collect()
+    assert sorted([tuple(r) for r in got], key=repr) == brute(rows, 3, 90)
+    made, once = proposed[-1]
+    assert len(proposed) > 1 and once >= 50 and made <= 2 * once, proposed
+
+
+def test_no_link_is_lost_whatever_the_lists_of_least_keys_hold(keyed_of, monkeypatch):
+    rows = _mixed(random.Random(31))
+    want = {(k, p): brute(rows, k, p) for k, p in ((3, 90), (3, 60))}
+    for least, rounds in ((1, 0), (8, 1)):                          # no round by leaders, or one
+        monkeypatch.setattr(J, "LEAST", least)
+        for (k, p), rest in want.items():
+            monkeypatch.setattr(J.links, "__defaults__", (k, p, 4, rounds))
+            got = J.jaccard_groups(keyed_of(rows), k, p).select("id", "n", "component").collect()
+            assert sorted([tuple(r) for r in got], key=repr) == rest, (least, rounds, k, p)
