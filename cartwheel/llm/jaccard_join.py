@@ -18,6 +18,9 @@ any global order of tokens they share one among the first
   in their prefixes and their parities (below). It goes if no two of its sets may link; one of over ``SHORT`` sets
   is split into groups that possible links connect. What sets share by chance so costs one shuffle, not one in
   every round, and only texts of sets that are left are read again. Two similar sets pass at their first common token.
+* Disk: of a whole set only parities and combinations are written, its tokens once a pair is left to verify. What is
+  shuffled for tokens, combinations or pairs is shuffled in up to ``SLICES`` slices by key, one after another, of
+  ``AT_ONCE`` tokens or more each, so it takes its share of disk only, however many tokens sets share by chance.
 * Candidates: equal sets count once. In rounds, each index entry proposes links to
   one leader only, so an entry with m sets gives m - 1 pairs, and
   after each round entries whose sets are connected already drop out. What
@@ -27,10 +30,12 @@ any global order of tokens they share one among the first
   there the two are proposed by the first of them: each set goes with its ``LEAST`` least keys, and an entry
   leaves out two sets whose lists share a lesser key, since that one is an entry of both. Two sets whose lists share
   none may be proposed more than once.
-* Parities: each set has ``PARITY_BITS`` bits, the parities of its tokens by hash. Two sets
+* Parities: each set has ``PARITY_BITS`` bits, the parities of its tokens by hash; a longer set has a bit for each token,
+  up to ``MOST_BITS``, since few bits are all unequal by chance where many tokens may differ. Two sets
   differ in at least as many tokens as in bits, so a candidate with more differing bits
   than its sizes allow is no link; this never drops a link. Where candidates are made, the bits are tested folded
-  to ``FOLDED_BITS`` (parities of unions of places), which each index entry carries; pairs that pass are tested by all bits.
+  to ``FOLDED_BITS`` (parities of unions of places), which each index entry carries; pairs that pass are tested by all
+  bits of the set that has fewer.
 * Verification: exact overlap of the two sets.
 
 Null or empty texts and texts without words have no set and link with nothing.
@@ -40,6 +45,7 @@ Tokens are 64-bit hashes of their words.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +59,10 @@ from cartwheel.llm.textkit import SPACE, U, chunks, mix, words
 CLASS_BITS = 18
 CLASSES = 1 << CLASS_BITS
 PARITY_BITS = 1024
+MOST_BITS = 1 << 15
 FOLDED_BITS = 256
+SLICES = 8
+AT_ONCE = 1 << 23
 FEW = 16
 LEAST = 8
 SHORT = 8
@@ -73,9 +82,9 @@ def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def word_classes(docs: DataFrame) -> np.ndarray:
     """A rarity score for each class of words: the logarithm of its count, in steps."""
-    counts = docs.select("text").mapInArrow(_class_counts, "cls int, n long").groupBy("cls").agg(F.sum("n").alias("n")).collect()
+    counts = docs.select("text").mapInArrow(_class_counts, "cls int, n long").groupBy("cls").agg(F.sum("n").alias("n"))
     out = np.zeros(CLASSES, np.int64)
-    for r in counts:                                        # at most CLASSES rows
+    for r in materialize(counts, "word_classes").collect():  # at most CLASSES rows; written, so that the shuffle goes
         out[r["cls"]] = r["n"]
     return np.round(16 * np.log2(out + 1)).astype(np.int64)
 
@@ -96,13 +105,25 @@ def _shingles(data: np.ndarray, offs: np.ndarray, k: int):
     return doc[mine], mine, token, h, size
 
 
-def _parities(doc: np.ndarray, token: np.ndarray, n_docs: int, places: int = PARITY_BITS) -> pa.ListArray:
-    """For each text the parities of its tokens, dealt by hash into ``places`` places."""
-    width = places // 64
-    place = (mix(token ^ U(0xA0761D6478BD642F)) % U(places)).astype(np.int64)
-    bits = np.zeros(n_docs * width, U)
-    np.bitwise_xor.at(bits, doc * width + place // 64, U(1) << (place % 64).astype(U))
-    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(bits) + 1, width, dtype=np.int32)), pa.array(bits.view(np.int64)))
+def _parities(doc: np.ndarray, token: np.ndarray, width: np.ndarray) -> pa.ListArray:
+    """For each text the parities of its tokens, dealt by hash into ``width`` words of 64 places."""
+    first = np.append(0, np.cumsum(width))
+    place = (mix(token ^ U(0xA0761D6478BD642F)) % (width[doc] * 64).astype(U)).astype(np.int64)
+    bits = np.zeros(int(first[-1]), U)
+    np.bitwise_xor.at(bits, first[doc] + place // 64, U(1) << (place % 64).astype(U))
+    return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(bits.view(np.int64)))
+
+
+def _widths(n: np.ndarray) -> np.ndarray:
+    """Words of parities for sets of ``n`` tokens: powers of two, so that one width divides another."""
+    bits = 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64)
+    return np.clip(bits, PARITY_BITS, MOST_BITS) // 64
+
+
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets from 0 and values of a list column."""
+    offs = column.offsets.to_numpy().astype(np.int64)
+    return offs - offs[0], column.values.to_numpy(zero_copy_only=False)[offs[0]:offs[-1]].view(U)
 
 
 def _possible(a: str, b: str, n: str, m: str, percent: int, bits: int):
@@ -112,6 +133,25 @@ def _possible(a: str, b: str, n: str, m: str, percent: int, bits: int):
     return near & (apart * (100 + percent) <= (F.col(n) + F.col(m)) * (100 - percent))
 
 
+def _alike(percent: int):
+    """Of the pairs ``a, b, n, m``, given the parities ``ab, bb`` of their sets, those that may be links."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3))
+            lists = [_lists(batch.column(c)) for c in (4, 5)]
+            width = np.minimum(*(np.diff(offs) for offs, _ in lists))
+            first = np.cumsum(width) - width
+            folded = np.zeros(int(width.sum()), U)
+            for offs, bits in lists:
+                of = np.repeat(np.arange(len(n)), np.diff(offs))
+                np.bitwise_xor.at(folded, first[of] + (np.arange(len(of)) - offs[of]) % width[of], bits)
+            apart = np.zeros(len(n), np.int64)
+            np.add.at(apart, np.repeat(np.arange(len(n)), width), np.bitwise_count(folded))
+            near = apart * (100 + percent) <= (n + m) * (100 - percent)
+            yield batch.select(["a", "b", "n", "m"]).filter(pa.array(near))
+    return rows
+
+
 def _not_before(key: str, a: str, b: str):
     """Lists ``a, b`` of the least keys of two sets share none below ``key``."""
     return F.coalesce(F.array_min(F.array_intersect(a, b)) >= F.col(key), F.lit(True))
@@ -143,9 +183,8 @@ def _sets(k: int, percent: int, scores: np.ndarray | None):
                 names = list(batch.schema.names[:-1])
                 arrays = [c.slice(lo, hi - lo) for c in lead]
                 if scores is None:
-                    arrays += [pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)).astype(np.int32)), pa.array(token.view(np.int64))),
-                               _parities(doc, token, hi - lo)]
-                    yield pa.RecordBatch.from_arrays(arrays, names=[*names, "tokens", "bits"])
+                    arrays.append(pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)).astype(np.int32)), pa.array(token.view(np.int64))))
+                    yield pa.RecordBatch.from_arrays(arrays, names=[*names, "tokens"])
                     continue
                 # an order-free hash of the set
                 total = np.zeros(hi - lo, U)
@@ -157,7 +196,7 @@ def _sets(k: int, percent: int, scores: np.ndarray | None):
                 ends = np.append(0, np.cumsum(keep)).astype(np.int32)
                 arrays += [pa.array(sig.view(np.int64)), pa.array(n.astype(np.int64)),
                            pa.ListArray.from_arrays(pa.array(ends), pa.array(token[mine].view(np.int64))),
-                           _parities(doc, token, hi - lo, FOLDED_BITS)]
+                           _parities(doc, token, np.full(hi - lo, FOLDED_BITS // 64))]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*names, "sig", "n", "prefix", "folded"])
     return rows
 
@@ -170,29 +209,44 @@ def size_bounds(percent: int, most: int) -> list[int]:
     return [*out, max(out[-1] + 1, -(-100 * out[-1] // percent))]
 
 
-def _combinations(percent: int):
-    """Token combinations of each set. In a class of sizes, similar sets differ in at most
+def _combinations(token: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Token combinations of sets of ``n`` tokens each: set and key. In a class of sizes, similar sets differ in at most
     h tokens; with tokens dealt by hash into h + 1 combinations, one at least is equal."""
+    doc = np.repeat(np.arange(len(n)), n)
+    bounds = np.array(size_bounds(percent, int(n.max(initial=1))), np.int64)
+    bucket = np.searchsorted(bounds, n, side="right") - 1
+    sets, keys = [], []
+    for above in (0, 1):
+        cls = bucket + above
+        parts = 2 * (bounds[cls + 1] - 1) * (100 - percent) // (100 + percent) + 1
+        first = np.cumsum(parts) - parts
+        part = (mix(token ^ mix(cls[doc].astype(U))) % parts[doc].astype(U)).astype(np.int64)
+        total = np.zeros(int(parts.sum()), U)
+        np.add.at(total, first[doc] + part, mix(token + U(0x94D049BB)))
+        of = np.repeat(np.arange(len(n)), parts)
+        place = (np.arange(len(of)) - first[of]).astype(U)
+        sets.append(of)
+        keys.append(mix(total ^ mix(cls[of].astype(U) << U(32) | place)))
+    return np.concatenate(sets), np.concatenate(keys)
+
+
+def _described(k: int, percent: int):
+    """Of each text with its ``sig, did, rk, often``: the size and parities of its whole set, and if ``often`` its combinations."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sig, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
-            offs = lists.offsets.to_numpy().astype(np.int64)
-            token = lists.values.to_numpy(zero_copy_only=False)[offs[0]:offs[-1]].view(U)
+        for batch in _sets(k, percent, None)(batches):
+            often = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
+            offs, token = _lists(batch.column(4))
             n = np.diff(offs)
             doc = np.repeat(np.arange(len(n)), n)
-            bounds = np.array(size_bounds(percent, int(n.max(initial=1))), np.int64)
-            bucket = np.searchsorted(bounds, n, side="right") - 1
-            for above in (0, 1):
-                cls = bucket + above
-                parts = 2 * (bounds[cls + 1] - 1) * (100 - percent) // (100 + percent) + 1
-                first = np.cumsum(parts) - parts
-                part = (mix(token ^ mix(cls[doc].astype(U))) % parts[doc].astype(U)).astype(np.int64)
-                total = np.zeros(int(parts.sum()), U)
-                np.add.at(total, first[doc] + part, mix(token + U(0x94D049BB)))
-                of = np.repeat(np.arange(len(n)), parts)
-                place = (np.arange(len(of)) - first[of]).astype(U)
-                key = mix(total ^ mix(cls[of].astype(U) << U(32) | place))
-                yield pa.record_batch({"key": key.view(np.int64), "sig": sig[of], "n": n[of]})
+            of, key = _combinations(token[often[doc]], n[often], percent)
+            order = np.argsort(of, kind="stable")
+            count = np.zeros(len(n), np.int64)
+            count[often] = np.bincount(of, minlength=int(often.sum()))
+            ends = np.append(0, np.cumsum(count)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(n), _parities(doc, token, _widths(n)),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(key[order].view(np.int64)))],
+                names=["sig", "did", "rk", "n", "bits", "keys"])
     return rows
 
 
@@ -246,35 +300,62 @@ def _those_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             .where(F.col("bits").bitwiseAND(one) != 0).drop("word", "bits"))
 
 
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted``, with ``did, rk`` of a row each, and that row's ``text``."""
+    # repeated rows go where the join has put them together: no further shuffle
+    return _those_of(docs.select("did", "rk", "text"), wanted).join(wanted, ["did", "rk"]).dropDuplicates(["did", "rk"])
+
+
+def _slices(tokens: int | None, column: str) -> list:
+    """Conditions that deal rows of ``tokens`` tokens in all into slices by a hash in ``column``."""
+    parts = min(SLICES, 1 + (tokens or 0) // AT_ONCE)
+    return [F.pmod(F.xxhash64(column), F.lit(parts)) == part for part in range(parts)]
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def _entries(docs: DataFrame, uniq: DataFrame, k: int, percent: int, frequent: int) -> tuple[DataFrame, DataFrame]:
-    """Index entries ``key, sig, n`` of keys that at least two sets share, and the whole sets of those."""
-    single = uniq.select("sig", "n", F.posexplode("prefix").alias("place", "key")).select("sig", (F.col("n") - F.col("place")).alias("rest"), "key")
-    shared = materialize(single.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "shared_tokens")
-    found = materialize(single.join(shared, "key"), "entries")
+    """Index entries ``key, sig, n`` of keys that at least two sets share, and ``sig, did, rk, n, bits`` of those sets."""
+    tokens = uniq.select("sig", "n", F.posexplode("prefix").alias("place", "key")).select("sig", (F.col("n") - F.col("place")).alias("rest"), "key")
     parts = [F.col("folded")[i].alias(f"part{i}") for i in range(FOLDED_BITS // 64)]
-    lists = (found.where(F.col("m") <= frequent).select("key", "sig", "rest").join(uniq.select("sig", "n", "folded"), "sig")
-             .groupBy("key").agg(F.collect_list(F.struct("sig", "n", "rest", *parts)).alias("sets")))
-    few = materialize(lists.mapInArrow(_plausible(percent), "key long, sig long, n long"), "plausible")
+    few, often = [], []
+    for mine in _slices(uniq.agg(F.sum(F.expr(f"n - ceil(n * {percent} / 100) + 1"))).first()[0], "key"):
+        with noted() as folders:
+            single = tokens.where(mine)
+            shared = materialize(single.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "shared_tokens")
+            found = materialize(single.join(shared, "key"), "entries")
+            lists = (found.where(F.col("m") <= frequent).select("key", "sig", "rest").join(uniq.select("sig", "n", "folded"), "sig")
+                     .groupBy("key").agg(F.collect_list(F.struct("sig", "n", "rest", *parts)).alias("sets")))
+            few.append(materialize(lists.mapInArrow(_plausible(percent), "key long, sig long, n long"), "plausible"))
+            often.append(materialize(found.where(F.col("m") > frequent).select("sig").distinct(), "often"))
+        release(docs.sparkSession, folders, few[-1], often[-1])
     # which sets have a frequent token goes along with the texts: whole sets are not shuffled for it
-    marks = found.where(F.col("m") > frequent).select("sig", F.lit(True).alias("often")).unionByName(few.select("sig", F.lit(False).alias("often")))
+    marks = _union([df.select("sig", F.lit(True).alias("often")) for df in often] + [df.select("sig", F.lit(False).alias("often")) for df in few])
     involved = materialize(uniq.select("sig", "at.did", "at.rk").join(marks.groupBy("sig").agg(F.max("often").alias("often")), "sig"), "involved")
-    # repeated rows go where the join has put them together: no further shuffle
-    texts = _those_of(docs.select("did", "rk", "text"), involved).join(involved, ["did", "rk"]).dropDuplicates(["did", "rk"]).select("sig", "often", "text")
-    sets = materialize(texts.mapInArrow(_sets(k, percent, None), "sig long, often boolean, tokens array<long>, bits array<long>"), "whole_sets")
-    many = materialize(sets.where("often").select("sig", "tokens").mapInArrow(_combinations(percent), "key long, sig long, n long"), "combinations")
-    more = many.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    return materialize(few.unionByName(many.join(more, "key")), "index"), sets
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar enough."""
+    texts = _texts_of(docs, involved).select("sig", "did", "rk", "often", "text")
+    sets = materialize(texts.mapInArrow(_described(k, percent), "sig long, did long, rk long, n long, bits array<long>, keys array<long>"), "whole_sets")
+    many = sets.select("sig", "n", F.explode("keys").alias("key"))
+    met = []
+    for mine in _slices(sets.agg(F.sum(F.size("keys"))).first()[0], "key"):
+        some = many.where(mine)
+        more = some.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+        met.append(materialize(some.join(more, "key").select("key", "sig", "n"), "combinations"))
+    return materialize(_union(few + met), "index"), materialize(sets.drop("keys"), "set_bits")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, tokens: int, sets: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose sets, of so many ``tokens``, are similar enough."""
     ends = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-    used = materialize(sets.select("sig", "tokens").join(ends, "sig", "left_semi"), "paired_sets")
+    used = materialize(sets.select("sig", "did", "rk").join(ends, "sig"), "paired_rows")
+    used = materialize(_texts_of(docs, used).select("sig", "text").mapInArrow(_sets(k, percent, None), "sig long, tokens array<long>"), "paired_sets")
     left = used.select(F.col("sig").alias("a"), F.col("tokens").alias("ta"))
     right = used.select(F.col("sig").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
     ok = 100 * both >= percent * (F.size("ta") + F.size("tb") - both)
-    return materialize(pairs.join(left, "a").join(right, "b").where(ok).select("a", "b"), "links")
+    return _union([materialize(pairs.where(mine).select("a", "b").join(left.where(mine), "a").join(right, "b").where(ok).select("a", "b"), "links")
+                   for mine in _slices(tokens, "a")])
 
 
 def links(docs: DataFrame, k: int = 3, percent: int = 90, frequent: int = 64, rounds: int = 3):
@@ -292,6 +373,8 @@ def _links(docs: DataFrame, k: int, percent: int, frequent: int, rounds: int, fo
         _sets(k, percent, scores), "id long, did long, rk long, sig long, n long, prefix array<long>, folded array<long>"), "sets")
     uniq = materialize(rows.where("n > 0").groupBy("sig", "n").agg(
         F.min(F.struct("did", "rk")).alias("at"), F.first("prefix").alias("prefix"), F.first("folded").alias("folded")), "distinct_sets")
+    rows = materialize(rows.drop("prefix", "folded"), "rows")
+    release(spark, folders, rows, uniq)
     index, sets = _entries(docs, uniq, k, percent, frequent)
     bits = sets.select("sig", "bits")
     folded = materialize(uniq.select("sig", F.col("folded").alias("bits")).join(sets.select("sig"), "sig", "left_semi"), "folded")
@@ -336,18 +419,19 @@ def _links(docs: DataFrame, k: int, percent: int, frequent: int, rounds: int, fo
         near = materialize(near, "near_pairs")
         pairs = materialize(near.join(bits.select(F.col("sig").alias("a"), F.col("bits").alias("ab")), "a")
                             .join(bits.select(F.col("sig").alias("b"), F.col("bits").alias("bb")), "b")
-                            .where(_possible("ab", "bb", "n", "m", percent, PARITY_BITS)).select("a", "b"), "pairs")
-        if pairs.isEmpty():
+                            .select("a", "b", "n", "m", "ab", "bb").mapInArrow(_alike(percent), "a long, b long, n long, m long"), "pairs")
+        tokens = pairs.agg(F.sum(F.col("n") + F.col("m"))).first()[0]
+        if not tokens:
             if turn == rounds:
                 break
             continue
         tried = pairs if tried is None else tried.unionByName(pairs)
-        new = _verified(pairs, sets, percent)
+        new = _verified(docs, pairs, tokens, sets, k, percent)
         found = new if found is None else found.unionByName(new)
         labels = components(found)
         release(spark, folders, rows, index, sets, folded, found, tried, labels)
     release(spark, folders, rows, labels)
-    return rows.drop("prefix", "folded"), labels
+    return rows, labels
 
 
 def jaccard_groups(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:

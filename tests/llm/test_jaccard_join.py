@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql.classic.dataframe import DataFrame
 
 from llm_fixtures import docs_of, keyed_of  # noqa: F401
@@ -155,3 +157,59 @@ def test_no_link_is_lost_whatever_the_lists_of_least_keys_hold(keyed_of, monkeyp
             monkeypatch.setattr(J.links, "__defaults__", (k, p, 4, rounds))
             got = J.jaccard_groups(keyed_of(rows), k, p).select("id", "n", "component").collect()
             assert sorted([tuple(r) for r in got], key=repr) == rest, (least, rounds, k, p)
+
+
+def test_long_texts_with_a_passage_in_common_are_not_read_in_full(keyed_of, monkeypatch):
+    """Texts of more tokens than the least parities can tell apart: only the tokens of the one similar pair are written."""
+    rnd = random.Random(41)
+    passage = [f"g{j}" for j in range(12)]
+    rows = [(i, " ".join(passage + [f"w{rnd.randrange(300)}" for _ in range(4000)])) for i in range(6)]
+    rows.append((6, rows[0][1] + " more"))
+    read, columns, write = [], {}, J.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        columns[name] = set(out.columns)
+        if name == "paired_sets":
+            read.append(out.count())
+        return out
+    monkeypatch.setattr(J, "materialize", counted)
+    got = J.jaccard_groups(keyed_of(rows), 5, 80).select("id", "n", "component").collect()
+    assert sorted([tuple(r) for r in got], key=repr) == brute(rows, 5, 80)
+    assert read == [2]
+    assert [name for name, names in columns.items() if "tokens" in names] == ["paired_sets"]
+    assert not {"prefix", "folded"} & columns["rows"]
+
+
+def test_slices_lose_nothing(keyed_of, monkeypatch):
+    rows = _mixed(random.Random(37))
+    written, write = [], J.materialize
+    monkeypatch.setattr(J, "materialize", lambda df, name: written.append(name) or write(df, name))
+    monkeypatch.setattr(J, "AT_ONCE", 50)
+    monkeypatch.setattr(J, "SLICES", 3)
+    for frequent in (4, 64):                                        # with combinations of whole sets and without
+        monkeypatch.setattr(J.links, "__defaults__", (3, 80, frequent, 3))
+        written.clear()
+        got = J.jaccard_groups(keyed_of(rows), 3, 80).select("id", "n", "component").collect()
+        assert sorted([tuple(r) for r in got], key=repr) == brute(rows, 3, 80), frequent
+        assert written.count("entries") == 3 and written.count("links") >= 3
+
+
+def test_parities_of_unequal_width_keep_every_pair_in_reach():
+    rnd = np.random.default_rng(7)
+    token = rnd.integers(0, 1 << 63, 9000).astype(np.uint64)
+    sets = [token[:1020], token[:1030], token[10:2100], token[1000:2100], token[2100:], token[2600:], token[:0], token[:3]]
+    n = np.array([len(s) for s in sets])
+    doc = np.repeat(np.arange(len(sets)), n)
+    bits = J._parities(doc, np.concatenate(sets), J._widths(n))
+    assert set(np.diff(bits.offsets.to_numpy())) == {16, 32, 64, 128}
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    # a slice, since a batch need not begin where its lists do
+    batch = pa.record_batch({"a": a, "b": b, "n": n[a], "m": n[b], "ab": bits.take(pa.array(a)), "bb": bits.take(pa.array(b))}).slice(5)
+    for percent in (60, 80, 90):
+        kept = {(x["a"], x["b"]) for out in J._alike(percent)(iter([batch])) for x in out.to_pylist()}
+        for x, y in zip(a[5:].tolist(), b[5:].tolist()):
+            both = len(np.intersect1d(sets[x], sets[y]))
+            if 100 * both >= percent * (n[x] + n[y] - both):
+                assert (x, y) in kept, (percent, x, y)
+        assert percent == 60 or not {(3, 4), (0, 3)} & kept
